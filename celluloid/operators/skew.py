@@ -1,0 +1,66 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+``salted_join`` looks for keys that hold more than 1/1000 of the left rows. By counting, there are
+at most 999 of them, so broadcasting the list is safe at any data size. Left rows of a hot key are
+spread over ``SALT`` buckets by a hash of the row; right rows of a hot key are copied to each of
+these buckets; all other rows go to one bucket. The result is that of the plain join.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_SHARE = 1000
+HOT_FLOOR = 1_000_000
+SALT = 64
+BROADCAST_ROWS = 200_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR) -> DataFrame:
+    """Keys with more than ``floor`` rows and more than 1/1000 of all rows: at most 999 rows."""
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("rows")).scalar()
+    return counts.where((F.col("_rows") > floor) & (F.col("_rows") * HOT_SHARE > total)).select(*keys)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str] | str,
+    how: str = "inner",
+    spread_by: Sequence[str] | None = None,
+    floor: int = HOT_FLOOR,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """``left.join(right, on, how)`` with hot left keys split. ``how``: inner, left, left_semi, left_anti.
+
+    ``spread_by`` names the left columns that tell rows of one key apart (default: all of them).
+    ``hot`` is a key list from ``hot_keys`` where the caller has one already.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    hot = hot_keys(left, keys, floor) if hot is None else hot
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    bucket = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(SALT)).cast("int")
+    buckets = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+
+    spread = (
+        left.join(hot, keys, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
+        .drop("_hot")
+    )
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(buckets)).drop("_hot")
+    return spread.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
+def anchored_join(big: DataFrame, side: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join a large table with the rows around one entity.
+
+    These are few for nearly every entity, and then broadcasting them spares the large table its
+    shuffle. That is counted first; an entity with more rows than that takes the salted join.
+    """
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(side), on, how)
+    return salted_join(big, side, on, how)

@@ -1,0 +1,4 @@
+"""No operator of this engine is streaming-only: every input is a finished landing file.
+
+The package is kept so that the layout matches the other operator families; it holds no code.
+"""

@@ -14,8 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celluloid.operators.skew import salted_join
-
 
 def _stack(existing: DataFrame | None, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     """Both sides under one order column ``_at``; existing rows sort first."""
@@ -122,7 +120,7 @@ def replace_children(
     order: Sequence[str],
 ) -> DataFrame:
     """Drop all existing rows of the batch's parents, then add the batch, last row per key."""
-    kept = salted_join(existing, parents.select(parent).distinct(), parent, "left_anti")
+    kept = existing.join(parents.select(parent).distinct(), parent, "left_anti").select(*existing.columns)
     return kept.unionByName(upsert(None, incoming, keys, order))
 
 
@@ -140,7 +138,7 @@ def upsert_links(
     """
     stacked = _stack(existing, incoming, order)
     owner = stacked.groupBy(remote).agg(F.min_by(F.col(local), F.col("_at")).alias("_owner"))
-    judged = salted_join(stacked, owner, remote, spread_by=[local, "_at"])
+    judged = stacked.join(owner, remote)
     fits = F.col(local) == F.col("_owner")
     rest = [c for c in stacked.columns if c not in (local, "_at")]
     links = judged.where(fits).groupBy(local).agg(F.max_by(F.struct(*rest), F.col("_at")).alias("_row"))
@@ -151,7 +149,7 @@ def upsert_links(
 def clear_subject_claims(claims: DataFrame, subjects: DataFrame) -> DataFrame:
     """Claims without those of the given subjects."""
     key = "subject_wikidata_id"
-    return salted_join(claims, subjects.select(key).distinct(), key, "left_anti")
+    return claims.join(subjects.select(key).distinct(), key, "left_anti").select(*claims.columns)
 
 
 def apply_outcome(queue: DataFrame, outcome: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celluloid.operators.skew import salted_join
-
 
 def tag(df: DataFrame, **constants) -> DataFrame:
     """Add constant columns."""
@@ -57,7 +55,8 @@ def gate(df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFr
     """
     for parent, key, ref in parents:
         known = parent.select(F.col(key).alias(ref))
-        df = salted_join(df, known, ref, "left_semi")
+        # a title or person with very many rows is split by adaptive execution
+        df = df.join(known, ref, "left_semi")
     return df.select(*df.columns)
 
 

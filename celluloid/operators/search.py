@@ -85,7 +85,7 @@ def title_parts(titles: DataFrame, credits: DataFrame, people: DataFrame) -> Dat
         _part(titles, "imdb_id", "context", join_present(F.col("title_type"), F.col("genres"))),
         # only credits of stored titles make it into a document
         _part(
-            salted_join(cast, titles.select("imdb_id"), "imdb_id", "left_semi"),
+            cast.join(titles.select("imdb_id"), "imdb_id", "left_semi"),
             "imdb_id",
             "context",
             F.col("credited"),
@@ -103,7 +103,7 @@ def person_parts(people: DataFrame, credits: DataFrame, titles: DataFrame) -> Da
         _part(people, "imdb_name_id", "alt_name", F.col("primary_professions")),
         _part(people, "imdb_name_id", "context", F.col("primary_professions")),
         _part(
-            salted_join(works, people.select("imdb_name_id"), "imdb_name_id", "left_semi"),
+            works.join(people.select("imdb_name_id"), "imdb_name_id", "left_semi"),
             "imdb_name_id",
             "context",
             F.col("credited"),
@@ -129,7 +129,7 @@ def build_postings(parts: DataFrame, split_fields: Sequence[str] = ("context",))
     split = F.col("field").isin(list(split_fields))
     whole, pieces = placed.where(~split), placed.where(split)
     lengths = pieces.groupBy("id", "field").agg(F.sum("len").alias("len"))
-    pieces = salted_join(pieces.drop("len"), lengths, ["id", "field"], spread_by=["id", "part"])
+    pieces = pieces.drop("len").join(lengths, ["id", "field"])
     columns = ("id", "field", "part", "len", "words")
     rows = whole.select(*columns).unionByName(pieces.select(*columns)) if split_fields else whole.select(*columns)
     return rows.select("id", "field", "part", "len", F.explode("words").alias("w")).select(
@@ -216,7 +216,9 @@ class SearchIndex:
         columns = ("id", "clause", "score")
         rows = reduce(DataFrame.unionByName, [s.select(*columns) for s in scored])
         docs = rows.groupBy("id").agg(
-            F.sum("score").alias("score"), F.array_sort(F.collect_set("clause")).alias("clauses")
+            # sums of doubles depend on their order in the last bits; rounded, equal scores tie by id
+            F.round(F.sum("score"), 6).alias("score"),
+            F.array_sort(F.collect_set("clause")).alias("clauses"),
         )
         needed = (words if operator == "all" else []) + ([" ".join(run)] if run else [])
         if needed:

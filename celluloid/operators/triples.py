@@ -179,7 +179,7 @@ def claim_rows(warehouse: Tables) -> DataFrame:
     labels = warehouse.table("wikidata_entities").select(
         F.col("wikidata_id").alias("value_wikidata_id"), F.col("label").alias("value_wikidata_label")
     )
-    owned = salted_join(claims, links, "subject_wikidata_id")
+    owned = claims.join(links, "subject_wikidata_id")
     # a common value, such as one language, may be that of a third of all claims
     return salted_join(owned, labels, "value_wikidata_id", "left")
 

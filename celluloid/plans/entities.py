@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from celluloid.operators.claims import entity_rows, explode_claims, external_ids, prepare_items
 from celluloid.operators.mutations import merge_non_null, upsert_links
-from celluloid.operators.skew import salted_join
 from celluloid.plans.ledger import RunLog
 from celluloid.schema import TABLES
 from celluloid.session import scratch_path
@@ -23,7 +22,7 @@ VERSION = "0.1.0"
 def resolve_links(ids: DataFrame, known: DataFrame, key: str, prefix: str) -> DataFrame:
     """External ids of one kind that exist locally: (key, wikidata_id, order columns, _pos)."""
     mine = ids.where(F.col("external_id").startswith(prefix)).withColumnRenamed("external_id", key)
-    return salted_join(mine, known.select(key), key, "left_semi").select(key, "wikidata_id", *ORDER, "_pos")
+    return mine.join(known.select(key), key, "left_semi").select(key, "wikidata_id", *ORDER, "_pos")
 
 
 def entity_tables(items: DataFrame, warehouse: Tables, dedup: bool = False) -> dict[str, DataFrame]:
@@ -38,7 +37,7 @@ def entity_tables(items: DataFrame, warehouse: Tables, dedup: bool = False) -> d
     people = resolve_links(ids, warehouse.table("people"), "imdb_name_id", "nm")
 
     lines = titles.select("wikidata_id", *ORDER).unionByName(people.select("wikidata_id", *ORDER)).distinct()
-    linked = salted_join(items, lines, ["wikidata_id", *ORDER], "left_semi", spread_by=["wikidata_id", *ORDER])
+    linked = items.join(lines, ["wikidata_id", *ORDER], "left_semi")
     claims = explode_claims(linked)
     stubs = claims.where(F.col("value_wikidata_id").isNotNull()).select(
         F.col("value_wikidata_id").alias("wikidata_id"),

@@ -17,13 +17,13 @@ from celluloid.sources.warehouse import Tables
 ARRIVAL_ORDER = tuple(ARRIVAL)
 
 
-def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return SHAPES[name].frame(spark, sf_dir)
+def shape(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return SHAPES[name].frame(spark, sf_dir, spread)
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TABLES["credits"]
-    return upsert(None, shape(spark, sf_dir, "credits_raw"), spec.key, ARRIVAL_ORDER, spec.nullable_key)
+    return upsert(None, shape(spark, sf_dir, "credits_raw", spread=True), spec.key, ARRIVAL_ORDER, spec.nullable_key)
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ def _write_people_index(spark, sf_dir, target):
 
 
 def _write_documents_index(spark, sf_dir, target):
-    docs = read(spark, sf_dir, "documents")
+    docs = read(spark, sf_dir, "documents", spread=True)
     parts = search.text_parts(docs, "doc_id", "text")
     search.SearchIndex.build(parts, docs.select(F.col("doc_id").alias("id")), split_fields=()).save(target)
 
@@ -267,7 +267,7 @@ def gate_episodes(spark, sf_dir):
 @query
 def import_counters(spark, sf_dir):
     """Counters of importing the raw credits over a table that has those of even orders."""
-    raw = films.shape(spark, sf_dir, "credits_raw")
+    raw = films.shape(spark, sf_dir, "credits_raw", spread=True)
     spec = TABLES["credits"]
     kept = _gated(spark, sf_dir, "credits", raw)
     before = upsert(None, kept.where(F.col("a1") % 2 == 0), spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
@@ -283,13 +283,13 @@ def upsert_credits(spark, sf_dir):
 @query
 def upsert_akas(spark, sf_dir):
     spec = TABLES["title_akas"]
-    raw = films.shape(spark, sf_dir, "akas_raw")
+    raw = films.shape(spark, sf_dir, "akas_raw", spread=True)
     return upsert(None, raw, spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
 
 
 def _split_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Lines of early orders as the table at hand, of late ones as the new batch."""
-    raw = films.shape(spark, sf_dir, "credits_raw")
+    raw = films.shape(spark, sf_dir, "credits_raw", spread=True)
     late = F.col("a1") % 3 == 0
     spec = TABLES["credits"]
     first = upsert(None, raw.where(~late), spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
@@ -322,7 +322,7 @@ def expand_crew(spark, sf_dir):
 @query
 def merge_entities(spark, sf_dir):
     """Entity texts told line by line: the last text that is not null stays, per column."""
-    lines = films.shape(spark, sf_dir, "credits_raw").select(
+    lines = films.shape(spark, sf_dir, "credits_raw", spread=True).select(
         F.col("imdb_id").alias("wikidata_id"),
         "characters",
         F.col("job").alias("label"),
@@ -408,9 +408,15 @@ def pending_hydrations_adult(spark, sf_dir):
     return _pending(spark, sf_dir, True)
 
 
+def _land_details(spark, sf_dir, target):
+    films.detail_lines(spark, sf_dir).write.option("compression", "gzip").text(target)
+
+
+_details_at = _once("details", _land_details)
+
+
 def _details(spark, sf_dir) -> DataFrame:
-    path = films.land_lines(films.detail_lines(spark, sf_dir), "details")
-    return documents.scan_movie_details(spark, path)
+    return documents.scan_movie_details(spark, _details_at(spark, sf_dir))
 
 
 def _hydrated(spark, sf_dir) -> dict[str, DataFrame]:
@@ -688,7 +694,7 @@ def predicate_counts(t):
 
 @on_tables
 def entity_counts(t):
-    return graph.entity_count(triples.link_rows(t), triples.claim_rows(t))
+    return graph.entity_count(triples.link_rows(t), triples.owned_claims(t))
 
 
 @on_triples

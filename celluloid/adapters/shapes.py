@@ -49,22 +49,32 @@ class Shape:
         group = f" GROUP BY {self.group}" if self.group else ""
         return f"SELECT {select} FROM {self.source} WHERE {self.filter}{group}"
 
-    def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = read(spark, sf_dir, self.source).where(self.filter)
+    def frame(self, spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+        rows = read(spark, sf_dir, self.source, spread).where(self.filter)
         if not self.group:
             return rows.selectExpr(*[f"{expr} AS {name}" for name, expr in self.columns.items()])
         return spark.sql(self.sql().replace(f"FROM {self.source}", "FROM {rows}"), rows=rows)
 
 
+SPREAD_BY = {"lineitem": "l_orderkey", "documents": "doc_id"}
+
 _frames: dict[tuple[str, str], DataFrame] = {}
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its file footer is read once per session."""
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; its file footer is read once per session.
+
+    The large ones come as one file with one row group, which is one task however many cores there
+    are. With ``spread``, for costly work ahead, such a file is dealt out by a key of its own first;
+    a table of many files is read as it is.
+    """
     key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
     if key not in _frames:
         _frames[key] = spark.read.parquet(key[1])
-    return _frames[key]
+    table = _frames[key]
+    if spread and len(table.inputFiles()) == 1:
+        return table.repartition(spark.sparkContext.defaultParallelism, SPREAD_BY[name])
+    return table
 
 
 CATEGORY = (

@@ -19,7 +19,7 @@ from celluloid.functions.text import display_name, role_predicate
 from celluloid.operators import patterns as gp
 from celluloid.operators.relational import order_collaborators, order_neighbors, tag
 from celluloid.operators.skew import anchored_join
-from celluloid.operators.triples import claim_rows, link_rows, project_families
+from celluloid.operators.triples import link_rows, owned_claims, project_families
 from celluloid.schema import ENTITY_BASE, RDF_TYPE
 from celluloid.sources.sinks import table_bytes
 from celluloid.sources.warehouse import Tables
@@ -70,7 +70,8 @@ def title_neighbors(warehouse: Tables, imdb_id: str) -> DataFrame:
         _credit_edges(
             warehouse.table("credits").where(mine), warehouse.table("people"), "imdb_name_id", "primary_name", "out"
         ),
-        _edges(anchored_join(named, parents, "imdb_id"), "out", "partOfSeries", *title),
+        # an episode has one parent
+        _edges(named.join(F.broadcast(parents), "imdb_id"), "out", "partOfSeries", *title),
         _edges(anchored_join(named, children, "imdb_id"), "in", "partOfSeries", *title),
         _same_as(warehouse.table("title_wikidata_links").where(mine), warehouse.table("wikidata_entities")),
         _edges(values, "out", F.col("predicate"), F.col("text"), F.col("text")),
@@ -249,28 +250,42 @@ def entity_count(links: DataFrame, claims: DataFrame) -> DataFrame:
     return ids.distinct().agg(F.count(F.lit(1)).alias("entities"))
 
 
+# Families whose rows each write exactly one triple of a kind: family -> short predicate.
+ROW_MARKS = {"title": "type", "person": "type", "credit": "participant", "episode": "partOfSeries", "link": "sameAs"}
+
+
 def build_counters(warehouse: Tables, families: DataFrame | None = None, vocab: Vocabulary | None = None) -> DataFrame:
-    """Rows read and triples written per family, entities, total and count per predicate."""
+    """Rows read and triples written per family, entities, total and count per predicate.
+
+    One pass over the triples counts them per family and predicate; all triple counters, and the
+    row counters of families that write one marked triple per row, are sums over that small result.
+    """
+    vocab = vocab or Vocabulary()
     families = project_families(warehouse, vocab) if families is None else families
-    links, claims = link_rows(warehouse), claim_rows(warehouse)
-    rows = {
-        "title": warehouse.table("titles"),
-        "person": warehouse.table("people"),
-        "credit": warehouse.table("credits"),
-        "episode": warehouse.table("episode_edges"),
-        "rating": warehouse.table("title_ratings"),
-        "link": links,
-        "claim": claims,
-    }
-    parts = [
-        tag(df.agg(F.count(F.lit(1)).alias("value")), metric="rows_projected", name=name) for name, df in rows.items()
-    ]
-    parts += [
-        _counts(families, "triples_written", F.col("family")),
-        _counts(families, "predicate", last_segment(F.col("p"))),
-        _metric(families, "total_triples_written", F.count(F.lit(1))),
-        _metric(entity_count(links, claims), "wikidata_entities", F.first("entities")),
+    counts = families.groupBy("family", "p").agg(F.count(F.lit(1)).alias("n"))
+    no_mark = F.lit(None).cast("string")
+    mark = F.coalesce(
+        *[F.when((F.col("family") == f) & (F.col("p") == vocab.predicate(p)), F.lit(f)) for f, p in ROW_MARKS.items()],
+        no_mark,
+    )
+
+    def counter(metric: str, name: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), name.alias("name"))
+
+    kinds = F.array(
+        counter("triples_written", F.col("family")),
+        counter("predicate", last_segment(F.col("p"))),
+        counter("total_triples_written", F.lit("")),
+        counter("rows_projected", mark),
+    )
+    sums = counts.select("n", F.explode(kinds).alias("k")).where(F.col("k.name").isNotNull())
+    written = sums.groupBy("k.metric", "k.name").agg(F.sum("n").alias("value"))
+    links, claims = link_rows(warehouse), owned_claims(warehouse)
+    others = [
+        tag(df.agg(F.count(F.lit(1)).alias("value")), metric="rows_projected", name=name)
+        for name, df in (("rating", warehouse.table("title_ratings")), ("claim", claims))
     ]
+    parts = [written, *others, _metric(entity_count(links, claims), "wikidata_entities", F.first("entities"))]
     return reduce(DataFrame.unionByName, [p.select("metric", "name", "value") for p in parts])
 
 

@@ -173,8 +173,9 @@ class SearchIndex:
     def save(self, path: str) -> SearchIndex:
         """Drop and rebuild on disk, clustered by term so that a query reads few row groups."""
         order = ("term", "field", "id")
-        ranged = self.postings.repartitionByRange(*order).sortWithinPartitions(*order, "part", "pos")
-        ranged.write.mode("overwrite").parquet(f"{path}/postings")
+        # frequent terms are split over files of an even size
+        even = self.postings.hint("rebalance", "term").sortWithinPartitions(*order, "part", "pos")
+        even.write.mode("overwrite").parquet(f"{path}/postings")
         self.documents.write.mode("overwrite").parquet(f"{path}/documents")
         spark = self.postings.sparkSession
         stored = SearchIndex.load(spark, path, totals=False)

@@ -27,15 +27,17 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR) -> list[int]:
     """Hashes of the hot keys: at most 999 numbers, whatever the data.
 
-    One pass over the key columns with a frequent-items sketch per task; keys are not shuffled. The
-    sketch tracks 10,000 items, so it cannot miss a key with 1/1000 of the rows. What it finds only
-    shapes the plan, never the result.
+    A count, and for tables above the floor a pass over the key columns with a frequent-items sketch
+    per task; keys are not shuffled. The sketch tracks 10,000 items, so it cannot miss a key with
+    1/1000 of the rows. What it finds only shapes the plan, never the result.
     """
     rows = df.select(*keys).dropna().select(_key_hash(keys).alias("h"))
-    sketch = F.expr(f"approx_top_k(h, {HOT_SHARE - 1}, {TRACKED})")
-    found = rows.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
-    least = max(floor, found["n"] / HOT_SHARE)
-    return [item["item"] for item in found["top"] or [] if item["count"] > least]
+    n = rows.count()
+    if n <= floor:
+        return []
+    least = max(floor, n / HOT_SHARE)
+    top = rows.agg(F.expr(f"approx_top_k(h, {HOT_SHARE - 1}, {TRACKED})").alias("top")).first()["top"]
+    return [item["item"] for item in top if item["count"] > least]
 
 
 def salted_join(
@@ -71,6 +73,6 @@ def anchored_join(big: DataFrame, side: DataFrame, on: str, how: str = "inner")
     These are few for nearly every entity, and then broadcasting them spares the large table its
     shuffle. That is counted first; an entity with more rows than that takes the salted join.
     """
-    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if side.count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(side), on, how)
     return salted_join(big, side, on, how)

@@ -160,8 +160,8 @@ def link_rows(warehouse: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def claim_rows(warehouse: Tables) -> DataFrame:
-    """Claims of linked entities with the label of an entity value."""
+def owned_claims(warehouse: Tables) -> DataFrame:
+    """Claims of linked entities, once per link."""
     claims = warehouse.table("wikidata_claims").select(
         "subject_wikidata_id", "property_id", "ordinal", "value_type", "value_text", "value_wikidata_id"
     )
@@ -176,10 +176,15 @@ def claim_rows(warehouse: Tables) -> DataFrame:
             F.col("wikidata_id").alias("subject_wikidata_id"),
         )
         links = part if links is None else links.unionByName(part)
+    return claims.join(links, "subject_wikidata_id")
+
+
+def claim_rows(warehouse: Tables) -> DataFrame:
+    """Claims of linked entities with the label of an entity value."""
+    owned = owned_claims(warehouse)
     labels = warehouse.table("wikidata_entities").select(
         F.col("wikidata_id").alias("value_wikidata_id"), F.col("label").alias("value_wikidata_label")
     )
-    owned = claims.join(links, "subject_wikidata_id")
     # a common value, such as one language, may be that of a third of all claims
     return salted_join(owned, labels, "value_wikidata_id", "left")
 

@@ -21,6 +21,10 @@ MOVIE_DETAILS = (
 )
 
 
+def _blank() -> Column:
+    return F.trim("value") == ""
+
+
 def _lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).select(
         "value",
@@ -31,8 +35,12 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def _required(condition: Column, message: str, value: Column) -> Column:
-    """The value, or a failed job where the condition does not hold."""
-    return F.when(condition, value).otherwise(F.raise_error(F.lit(message)).cast("bigint"))
+    """The value, or a failed job where the condition does not hold.
+
+    Filters may be evaluated in any order, so blank lines are told apart here too.
+    """
+    failed = F.raise_error(F.lit(message)).cast("bigint")
+    return F.when(condition, value).when(~_blank(), failed)
 
 
 def _strict_json(col: Column, ddl: str) -> Column:
@@ -41,8 +49,8 @@ def _strict_json(col: Column, ddl: str) -> Column:
 
 def scan_movie_export(spark: SparkSession, path, artifact_id: int) -> DataFrame:
     """Export lines; blank lines are skipped, a malformed or incomplete one fails the scan."""
-    lines = _lines(spark, path).where(F.trim("value") != "")
-    rows = lines.select(_strict_json(F.col("value"), EXPORT_LINE).alias("r"), *ORDER)
+    lines = _lines(spark, path).where(~_blank())
+    rows = lines.select("value", _strict_json(F.col("value"), EXPORT_LINE).alias("r"), *ORDER)
     whole = F.col("r.id").isNotNull() & F.col("r.adult").isNotNull() & F.col("r.video").isNotNull()
     return rows.select(
         F.lit(artifact_id).cast("bigint").alias("export_artifact_id"),
@@ -57,7 +65,7 @@ def scan_movie_export(spark: SparkSession, path, artifact_id: int) -> DataFrame:
 
 def parse_movie_details(lines: DataFrame) -> DataFrame:
     """Documents from a ``value`` column: one ``doc`` struct per row. Required members are checked."""
-    docs = lines.where(F.trim("value") != "").withColumn("doc", _strict_json(F.col("value"), MOVIE_DETAILS))
+    docs = lines.where(~_blank()).withColumn("doc", _strict_json(F.col("value"), MOVIE_DETAILS))
     doc = F.col("doc")
     credits = doc["credits"]
 
@@ -83,8 +91,10 @@ def scan_entity_dump(spark: SparkSession, path) -> DataFrame:
     are not items, or have no text id, are left out.
     """
     lines = _lines(spark, path).withColumn("value", F.regexp_replace("value", r"(?U)^\s+|\s+$", ""))
-    body = lines.where(~F.col("value").isin("", "[", "]"))
-    docs = body.select(F.parse_json(clean_dump_line(F.col("value"))).alias("doc"), *ORDER)
+    is_entity = ~F.col("value").isin("", "[", "]")
+    # later filters may be evaluated before this one: other lines must not reach the parser
+    doc = F.when(is_entity, F.parse_json(clean_dump_line(F.col("value"))))
+    docs = lines.where(is_entity).select(doc.alias("doc"), *ORDER)
     items = docs.where(text_member(F.col("doc"), "$.type") == "item")
     named = items.withColumn("wikidata_id", text_member(F.col("doc"), "$.id"))
     return named.where(F.col("wikidata_id").isNotNull()).select("wikidata_id", "doc", *ORDER)

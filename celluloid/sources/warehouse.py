@@ -57,15 +57,15 @@ class Warehouse(Tables):
             return super().table(name)
         return self.spark.read.schema(table_schema(name)).parquet(self._folder(name, version))
 
-    def save(self, name: str, df: DataFrame, partitions: int | None = None) -> DataFrame:
+    def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write a new version, clustered by the table's id columns, and with that make it current."""
         spec = TABLES[name]
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
         sort = list(spec.sort)
-        # the sort key is (nearly) unique, so a hot leading id is cut into several ranges
-        ranged = rows.repartitionByRange(*([partitions] if partitions else []), *sort)
+        # rebalancing cuts output of one size: small pieces are merged, those of a hot id are split
+        even = rows.hint("rebalance", sort[0])
         folder = self._folder(name, self.version(name) + 1)
-        ranged.sortWithinPartitions(*sort).write.mode("overwrite").parquet(folder)
+        even.sortWithinPartitions(*sort).write.mode("overwrite").parquet(folder)
         return self.table(name)
 
 

@@ -121,12 +121,14 @@ def import_bulk(
     log = RunLog(warehouse, IMPORTER, VERSION)
     landed = artifact_manifest(spark, f"{landing_dir.rstrip('/')}/*{suffix}")
     by_name = {r["name"]: r["path"] for r in landed.select("name", "path").collect()}
+    names = [f"{dataset}{suffix}" for dataset, _ in IMPORT_ORDER]
+    artifact_ids = log.register("imdb", landed.where(F.col("name").isin(names)))
     results: dict[str, dict[str, int]] = {}
     for dataset, table in IMPORT_ORDER:
         name = f"{dataset}{suffix}"
         if name not in by_name:
             continue
-        artifact_id = log.register("imdb", name, landed.where(F.col("name") == name))
+        artifact_id = artifact_ids[name]
         if not log.begin(artifact_id, force):
             results[dataset] = {"rows_seen": 0, "rows_inserted": 0, "rows_updated": 0, "rows_skipped": 1}
             continue

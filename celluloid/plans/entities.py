@@ -78,7 +78,8 @@ def import_entities(
 ) -> dict[str, int]:
     """Import a dump; all tables are ready before the first one is replaced."""
     log = RunLog(warehouse, IMPORTER, VERSION)
-    artifact_id = log.register("wikidata", "wikidata-dump", artifact_manifest(spark, path))
+    manifest = artifact_manifest(spark, path).withColumn("name", F.lit("wikidata-dump"))
+    [artifact_id] = log.register("wikidata", manifest).values()
     if not log.begin(artifact_id, force):
         return {"imports_skipped": 1}
     stats: dict[str, int] = {}

@@ -94,18 +94,18 @@ def _keep_ids(old: DataFrame, rows: DataFrame, key: tuple[str, ...]) -> DataFram
     return known.withColumn("id", new_id).select(*old.columns)
 
 
-def register_dataset(datasets: DataFrame, source: str, name: str, url: str) -> DataFrame:
-    """Add a dataset, or update its URL."""
-    row = datasets.sparkSession.range(1).select(
-        F.lit(source).alias("source"),
-        F.lit(name).alias("dataset_name"),
-        F.lit(url).alias("canonical_url"),
+def register_datasets(datasets: DataFrame, named: DataFrame) -> DataFrame:
+    """Add datasets (source, dataset_name, canonical_url), or update their URL."""
+    rows = named.select(
+        "source",
+        "dataset_name",
+        "canonical_url",
         F.lit(None).cast("string").alias("license_note"),
         F.current_timestamp().alias("created_at"),
-        F.lit(0).alias("_at"),
+        F.col("canonical_url").alias("_at"),
     )
     key = TABLES["datasets"].key
-    merged = upsert_columns(datasets.drop("id"), row, key, ["_at"], ["canonical_url"])
+    merged = upsert_columns(datasets.drop("id"), rows, key, ["_at"], ["canonical_url"])
     return _keep_ids(datasets, merged, key)
 
 
@@ -135,23 +135,24 @@ class RunLog:
         self.importer = importer
         self.version = version
 
-    def register(self, source: str, dataset: str, manifest: DataFrame) -> int:
-        """Record a landed file (one manifest row) and return its artifact id."""
+    def register(self, source: str, landed: DataFrame) -> dict[str, int]:
+        """Record landed files (manifest rows, ``name`` being the dataset) and return their artifact ids.
+
+        The driver gets one number per landed dataset.
+        """
         wh = self.warehouse
-        path = manifest.first()["path"]
-        datasets = wh.save("datasets", register_dataset(wh.table("datasets"), source, dataset, path))
-        mine = (F.col("source") == source) & (F.col("dataset_name") == dataset)
-        dataset_id = datasets.where(mine).first()["id"]
-        landed = manifest.select(
-            F.lit(dataset_id).alias("dataset_id"),
-            F.col("path").alias("url"),
-            F.col("path").alias("local_path"),
-            "sha256",
-            "byte_len",
+        named = landed.select(
+            F.lit(source).alias("source"), F.col("name").alias("dataset_name"), F.col("path").alias("canonical_url")
+        )
+        datasets = wh.save("datasets", register_datasets(wh.table("datasets"), named))
+        mine = datasets.where(F.col("source") == source).select(F.col("id").alias("dataset_id"), "dataset_name")
+        files = landed.withColumnRenamed("name", "dataset_name").join(mine, "dataset_name")
+        rows = files.select("dataset_id", F.col("path").alias("url"), F.col("path").alias("local_path"), "sha256", "byte_len")
+        artifacts = wh.save("download_artifacts", register_artifacts(wh.table("download_artifacts"), rows))
+        same = files.select("dataset_name", "dataset_id", "sha256").join(
+            artifacts.select("id", "dataset_id", "sha256"), ["dataset_id", "sha256"]
         )
-        artifacts = wh.save("download_artifacts", register_artifacts(wh.table("download_artifacts"), landed))
-        same = artifacts.where(F.col("dataset_id") == dataset_id).join(manifest.select("sha256"), "sha256", "left_semi")
-        return same.first()["id"]
+        return {r["dataset_name"]: r["id"] for r in same.select("dataset_name", "id").collect()}
 
     def begin(self, artifact_id: int, force: bool = False) -> bool:
         wh = self.warehouse

@@ -44,7 +44,7 @@ def import_export(
     log = RunLog(warehouse, IMPORTER, VERSION)
     manifest = artifact_manifest(spark, path)
     name = dataset or manifest.first()["name"]
-    artifact_id = log.register("tmdb", name, manifest)
+    [artifact_id] = log.register("tmdb", manifest.withColumn("name", F.lit(name))).values()
     if not log.begin(artifact_id, force):
         return {"export_rows_seen": 0, "export_rows_imported": 0, "export_rows_skipped": 1}
 
@@ -82,8 +82,7 @@ def hydrate_tables(
     movies = movie_rows(details).withColumn("hydrated_at", F.current_timestamp())
     credits = explode_credits(details)
     at = [*ORDER, "_kind", "_pos"]
-    credit_columns = TABLES["tmdb_movie_credits"].names[0:]
-    credit_columns = [c for c in credit_columns if c != "id"]
+    credit_columns = TABLES["tmdb_movie_credits"].names
     people = credits.select("tmdb_person_id", "name", *at)
 
     doc = F.col("doc")

@@ -717,7 +717,7 @@ def oracle_sql() -> dict[str, str]:
         "search_titles_all": _search_sql(TITLE_HITS, FILM_NAMES, TITLE_PARTS, "titles", ("blue", "widget", "000000003"), "all", k=10),
         "search_people": _search_sql(PERSON_HITS, FILM_NAMES, PEOPLE_PARTS, "people", ("supplier", "anvil"), "all", k=10),
         "search_fields_boosts": _search_sql(
-            "SELECT * FROM ranked", FILM_NAMES, TITLE_PARTS, "titles", ("small", "ring", "promo"), fields=("name", "context"), must_not=("brand",), boosts={"name": 2.5}
+            "SELECT * FROM ranked", FILM_NAMES, TITLE_PARTS, "titles", ("small", "ring", "promo"), fields=("name", "context"), must_not=("economy",), boosts={"name": 2.5}
         ),
         "search_titles_excluding": _search_sql("SELECT * FROM ranked", FILM_NAMES, TITLE_PARTS, "titles", ("red", "bolt"), must_not=("large", "old")),
         "search_documents_any": _search_sql("SELECT * FROM ranked", "", DOCUMENT_PARTS, "documents", ("the", "and", "over", "time")),

@@ -93,41 +93,31 @@ def movie_rows(details: DataFrame) -> DataFrame:
 def explode_credits(details: DataFrame) -> DataFrame:
     """Cast and crew rows of detail documents; cast comes before crew, each in list order."""
     rest = [c for c in details.columns if c not in ("tmdb_movie_id", "doc")]
-
-    def rows(kind: str, rank: int) -> DataFrame:
-        listed = details.select("tmdb_movie_id", *rest, F.posexplode(F.col("doc.credits")[kind]).alias("_pos", "c"))
-        return listed.withColumn("_kind", F.lit(rank))
-
-    c = F.col("c")
-    none = F.lit(None)
-    cast = rows("cast", 0).select(
-        "tmdb_movie_id",
-        c["id"].alias("tmdb_person_id"),
-        c["name"].alias("name"),
-        credit_key("cast", c["id"], F.coalesce(c["order"], F.lit(0)), c["character"]).alias("credit_key"),
-        c["order"].alias("cast_order"),
-        F.lit("cast").alias("credit_kind"),
-        c["known_for_department"].alias("department"),
-        none.cast("string").alias("job"),
-        c["character"].alias("character_name"),
-        raw_json(c).alias("raw_json"),
-        *rest,
-        "_kind",
-        "_pos",
-    )
-    crew = rows("crew", 1).select(
-        "tmdb_movie_id",
-        c["id"].alias("tmdb_person_id"),
-        c["name"].alias("name"),
-        credit_key("crew", c["id"], c["department"], c["job"]).alias("credit_key"),
-        none.cast("bigint").alias("cast_order"),
-        F.lit("crew").alias("credit_kind"),
-        c["department"].alias("department"),
-        c["job"].alias("job"),
-        none.cast("string").alias("character_name"),
-        raw_json(c).alias("raw_json"),
-        *rest,
-        "_kind",
-        "_pos",
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+
+    def entry(person: Column, kind: str, key: Column, order: Column, department: str, job: Column, role: Column):
+        return F.struct(
+            person["id"].alias("tmdb_person_id"),
+            person["name"].alias("name"),
+            key.alias("credit_key"),
+            order.alias("cast_order"),
+            F.lit(kind).alias("credit_kind"),
+            person[department].alias("department"),
+            job.alias("job"),
+            role.alias("character_name"),
+            raw_json(person).alias("raw_json"),
+        )
+
+    def cast_entry(c: Column) -> Column:
+        key = credit_key("cast", c["id"], F.coalesce(c["order"], F.lit(0)), c["character"])
+        return entry(c, "cast", key, c["order"], "known_for_department", no_text, c["character"])
+
+    def crew_entry(c: Column) -> Column:
+        key = credit_key("crew", c["id"], c["department"], c["job"])
+        return entry(c, "crew", key, no_number, "department", c["job"], no_text)
+
+    people = F.concat(
+        F.transform("doc.credits.cast", cast_entry), F.transform("doc.credits.crew", crew_entry)
     )
-    return cast.unionByName(crew)
+    rows = details.select("tmdb_movie_id", *rest, F.posexplode(people).alias("_pos", "c"))
+    return rows.select("tmdb_movie_id", "c.*", *rest, "_pos")

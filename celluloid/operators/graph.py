@@ -7,7 +7,6 @@ any entity, follows claim edges and returns named entities only.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +18,7 @@ from celluloid.functions.text import display_name, role_predicate
 from celluloid.operators import patterns as gp
 from celluloid.operators.relational import order_collaborators, order_neighbors, tag
 from celluloid.operators.skew import anchored_join
-from celluloid.operators.triples import link_rows, owned_claims, project_families
+from celluloid.operators.triples import link_rows, owned_claims, project_predicates
 from celluloid.schema import ENTITY_BASE, RDF_TYPE
 from celluloid.sources.sinks import table_bytes
 from celluloid.sources.warehouse import Tables
@@ -261,7 +260,7 @@ def build_counters(warehouse: Tables, families: DataFrame | None = None, vocab:
     row counters of families that write one marked triple per row, are sums over that small result.
     """
     vocab = vocab or Vocabulary()
-    families = project_families(warehouse, vocab) if families is None else families
+    families = project_predicates(warehouse, vocab) if families is None else families
     counts = families.groupBy("family", "p").agg(F.count(F.lit(1)).alias("n"))
     no_mark = F.lit(None).cast("string")
     mark = F.coalesce(
@@ -298,7 +297,7 @@ def graph_profile(counters: DataFrame) -> DataFrame:
         ("rows_projected", "person"): "person_nodes",
         ("wikidata_entities", ""): "wikidata_entities",
     }
-    metric: Mapping | Column = F.when(F.col("metric") == "predicate", F.col("metric"))
+    metric = F.when(F.col("metric") == "predicate", F.col("metric"))
     for (old, name), new in renamed.items():
         metric = metric.when((F.col("metric") == old) & (F.col("name") == name), F.lit(new))
     name = F.when(F.col("metric") == "predicate", F.col("name")).otherwise("")

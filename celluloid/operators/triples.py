@@ -6,6 +6,7 @@ Each family is a scan with an ``explode`` of the triples of one row; only links
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,58 +21,80 @@ from celluloid.sources.warehouse import Tables
 TRIPLE = ("s", "p", "o", "o_kind", "o_type", "o_num")
 
 
-def _triple(p: Column | str, o: Column, kind: str, o_type: str, num: Column | None = None, s: Column | None = None):
-    """A triple struct, null where the object or the predicate is null."""
-    predicate = F.lit(p) if isinstance(p, str) else p
-    return F.when(
-        o.isNotNull() & predicate.isNotNull(),
-        F.struct(
-            (F.col("_s") if s is None else s).alias("s"),
+@dataclass(frozen=True)
+class Fact:
+    """One triple a row may give: predicate, object, and the condition it is there."""
+
+    p: str | Column
+    o: Column
+    there: Column
+    kind: str = "iri"
+    type: str = ""
+    num: Column | None = None
+    s: Column | None = None
+
+    def predicate(self) -> Column:
+        """The predicate, null where the triple is absent."""
+        return F.when(self.there, F.lit(self.p) if isinstance(self.p, str) else self.p)
+
+    def triple(self, subject: Column) -> Column:
+        predicate = self.predicate()
+        body = F.struct(
+            (subject if self.s is None else self.s).alias("s"),
             predicate.alias("p"),
-            o.alias("o"),
-            F.lit(kind).alias("o_kind"),
-            F.lit(o_type).alias("o_type"),
-            (F.lit(None).cast("double") if num is None else num.cast("double")).alias("o_num"),
-        ),
-    )
+            self.o.alias("o"),
+            F.lit(self.kind).alias("o_kind"),
+            F.lit(self.type).alias("o_type"),
+            (F.lit(None) if self.num is None else self.num).cast("double").alias("o_num"),
+        )
+        return F.when(predicate.isNotNull(), body)
 
 
-def _iri(p, o: Column, s: Column | None = None) -> Column:
-    return _triple(p, o, "iri", "", s=s)
+def double_lexical(col: Column) -> Column:
+    """Lexical form of a double literal: whole numbers carry no fraction."""
+    return F.regexp_replace(col.cast("string"), r"\.0$", "")
 
 
-def _text(p, o: Column, s: Column | None = None) -> Column:
-    return _triple(p, o, "literal", "string", s=s)
+def _text(p: str | Column, o: Column, s: Column | None = None) -> Fact:
+    return Fact(p, o, o.isNotNull(), "literal", "string", s=s)
 
 
-def _integer(p, o: Column) -> Column:
-    return _triple(p, o.cast("string"), "literal", "integer", num=o)
+def _integer(p: str, o: Column) -> Fact:
+    return Fact(p, o.cast("string"), o.isNotNull(), "literal", "integer", o)
 
 
-def double_lexical(col: Column) -> Column:
-    """Lexical form of a double literal: whole numbers carry no fraction."""
-    return F.regexp_replace(col.cast("string"), r"\.0$", "")
+def _double(p: str, o: Column) -> Fact:
+    return Fact(p, double_lexical(o), o.isNotNull(), "literal", "double", o)
+
 
+@dataclass(frozen=True)
+class Family:
+    """Source rows, their subject and the facts of a row."""
 
-def _double(p, o: Column) -> Column:
-    return _triple(p, double_lexical(o), "literal", "double", num=o)
+    name: str
+    rows: DataFrame
+    subject: Column
+    facts: list[Fact]
 
+    def triples(self) -> DataFrame:
+        listed = F.array_compact(F.array(*[f.triple(self.subject) for f in self.facts]))
+        exploded = self.rows.select(F.explode(listed).alias("t"))
+        return exploded.select(F.lit(self.name).alias("family"), *[F.col(f"t.{c}").alias(c) for c in TRIPLE])
 
-def _emit(df: DataFrame, family: str, subject: Column, triples: list[Column]) -> DataFrame:
-    """Rows to triples, absent ones left out."""
-    rows = df.withColumn("_s", subject)
-    listed = rows.select(F.explode(F.array_compact(F.array(*triples))).alias("t"))
-    return listed.select(F.lit(family).alias("family"), *[F.col(f"t.{c}").alias(c) for c in TRIPLE])
+    def predicates(self) -> DataFrame:
+        """One row per triple with its predicate only; subjects and objects are not built."""
+        listed = F.array_compact(F.array(*[f.predicate() for f in self.facts]))
+        return self.rows.select(F.lit(self.name).alias("family"), F.explode(listed).alias("p"))
 
 
-def title_triples(titles: DataFrame, vocab: Vocabulary) -> DataFrame:
+def title_family(titles: DataFrame, vocab: Vocabulary) -> Family:
     """Every title is a Movie, episodes included."""
-    return _emit(
-        titles,
+    return Family(
         "title",
+        titles,
         vocab.title_iri(F.col("imdb_id")),
         [
-            _iri(RDF_TYPE, F.lit(vocab.movie)),
+            Fact(RDF_TYPE, F.lit(vocab.movie), F.lit(True)),
             _text(vocab.predicate("name"), F.col("primary_title")),
             _text(vocab.predicate("titleType"), F.col("title_type")),
             _integer(vocab.predicate("datePublished"), F.col("start_year")),
@@ -80,13 +103,13 @@ def title_triples(titles: DataFrame, vocab: Vocabulary) -> DataFrame:
     )
 
 
-def person_triples(people: DataFrame, vocab: Vocabulary) -> DataFrame:
-    return _emit(
-        people,
+def person_family(people: DataFrame, vocab: Vocabulary) -> Family:
+    return Family(
         "person",
+        people,
         vocab.person_iri(F.col("imdb_name_id")),
         [
-            _iri(RDF_TYPE, F.lit(vocab.person)),
+            Fact(RDF_TYPE, F.lit(vocab.person), F.lit(True)),
             _text(vocab.predicate("name"), F.col("primary_name")),
             _integer(vocab.predicate("birthYear"), F.col("birth_year")),
             _integer(vocab.predicate("deathYear"), F.col("death_year")),
@@ -94,41 +117,40 @@ def person_triples(people: DataFrame, vocab: Vocabulary) -> DataFrame:
     )
 
 
-def _role_iri(vocab: Vocabulary, category: Column) -> Column:
+def credit_family(credits: DataFrame, vocab: Vocabulary) -> Family:
+    """Everyone credited is a participant; some categories also give a role."""
     iris = [F.lit(x) for role in sorted(set(ROLES.values())) for x in (role, vocab.predicate(role))]
-    return F.try_element_at(F.create_map(*iris), role_predicate(category))
-
-
-def credit_triples(credits: DataFrame, vocab: Vocabulary) -> DataFrame:
+    role = role_predicate(F.col("category"))
     person = vocab.person_iri(F.col("imdb_name_id"))
-    return _emit(
-        credits,
+    return Family(
         "credit",
+        credits,
         vocab.title_iri(F.col("imdb_id")),
         [
-            _iri(vocab.predicate("participant"), person),
-            _iri(_role_iri(vocab, F.col("category")), person),
+            Fact(vocab.predicate("participant"), person, F.lit(True)),
+            Fact(F.try_element_at(F.create_map(*iris), role), person, role.isNotNull()),
         ],
     )
 
 
-def episode_triples(episodes: DataFrame, vocab: Vocabulary) -> DataFrame:
-    return _emit(
-        episodes,
+def episode_family(episodes: DataFrame, vocab: Vocabulary) -> Family:
+    parent = vocab.title_iri(F.col("parent_imdb_id"))
+    return Family(
         "episode",
+        episodes,
         vocab.title_iri(F.col("imdb_id")),
         [
-            _iri(vocab.predicate("partOfSeries"), vocab.title_iri(F.col("parent_imdb_id"))),
+            Fact(vocab.predicate("partOfSeries"), parent, F.lit(True)),
             _integer(vocab.predicate("seasonNumber"), F.col("season_number")),
             _integer(vocab.predicate("episodeNumber"), F.col("episode_number")),
         ],
     )
 
 
-def rating_triples(ratings: DataFrame, vocab: Vocabulary) -> DataFrame:
-    return _emit(
-        ratings,
+def rating_family(ratings: DataFrame, vocab: Vocabulary) -> Family:
+    return Family(
         "rating",
+        ratings,
         vocab.title_iri(F.col("imdb_id")),
         [
             _double(vocab.predicate("averageRating"), F.col("average_rating")),
@@ -194,47 +216,59 @@ def _local_iri(vocab: Vocabulary) -> Column:
     return F.when(F.col("entity_kind") == "title", vocab.title_iri(local)).otherwise(vocab.person_iri(local))
 
 
-def link_triples(links: DataFrame, vocab: Vocabulary) -> DataFrame:
+def link_family(links: DataFrame, vocab: Vocabulary) -> Family:
     entity = vocab.entity_iri(F.col("wikidata_id"))
-    return _emit(
-        links,
+    return Family(
         "link",
+        links,
         _local_iri(vocab),
         [
-            _iri(vocab.predicate("sameAs"), entity),
+            Fact(vocab.predicate("sameAs"), entity, F.lit(True)),
             _text(vocab.predicate("name"), F.col("label"), s=entity),
             _text(vocab.predicate("description"), F.col("description"), s=entity),
         ],
     )
 
 
-def claim_triples(claims: DataFrame, vocab: Vocabulary) -> DataFrame:
+def claim_family(claims: DataFrame, vocab: Vocabulary) -> Family:
     """An entity value gives an edge and, if labelled, the entity's name; else the text is used."""
     prop = vocab.property_iri(F.col("property_id"))
     entity = vocab.entity_iri(F.col("value_wikidata_id"))
-    text = F.when(F.col("value_wikidata_id").isNull(), F.col("value_text"))
-    label = F.when(entity.isNotNull(), F.col("value_wikidata_label"))
-    return _emit(
-        claims,
+    is_entity = F.col("value_wikidata_id").isNotNull()
+    text, label = F.col("value_text"), F.col("value_wikidata_label")
+    return Family(
         "claim",
+        claims,
         _local_iri(vocab),
-        [_text(vocab.predicate("name"), label, s=entity), _iri(prop, entity), _text(prop, text)],
+        [
+            Fact(vocab.predicate("name"), label, is_entity & label.isNotNull(), "literal", "string", s=entity),
+            Fact(prop, entity, is_entity),
+            Fact(prop, text, ~is_entity & text.isNotNull(), "literal", "string"),
+        ],
     )
 
 
-def project_families(warehouse: Tables, vocab: Vocabulary | None = None) -> DataFrame:
-    """All triples as written, repeats included, with their family."""
+def graph_families(warehouse: Tables, vocab: Vocabulary | None = None) -> list[Family]:
     vocab = vocab or Vocabulary()
-    parts = [
-        title_triples(warehouse.table("titles"), vocab),
-        person_triples(warehouse.table("people"), vocab),
-        credit_triples(warehouse.table("credits"), vocab),
-        episode_triples(warehouse.table("episode_edges"), vocab),
-        rating_triples(warehouse.table("title_ratings"), vocab),
-        link_triples(link_rows(warehouse), vocab),
-        claim_triples(claim_rows(warehouse), vocab),
+    return [
+        title_family(warehouse.table("titles"), vocab),
+        person_family(warehouse.table("people"), vocab),
+        credit_family(warehouse.table("credits"), vocab),
+        episode_family(warehouse.table("episode_edges"), vocab),
+        rating_family(warehouse.table("title_ratings"), vocab),
+        link_family(link_rows(warehouse), vocab),
+        claim_family(claim_rows(warehouse), vocab),
     ]
-    return reduce(DataFrame.unionByName, parts)
+
+
+def project_families(warehouse: Tables, vocab: Vocabulary | None = None) -> DataFrame:
+    """All triples as written, repeats included, with their family."""
+    return reduce(DataFrame.unionByName, [f.triples() for f in graph_families(warehouse, vocab)])
+
+
+def project_predicates(warehouse: Tables, vocab: Vocabulary | None = None) -> DataFrame:
+    """(family, p) of all triples as written: all that counting them needs."""
+    return reduce(DataFrame.unionByName, [f.predicates() for f in graph_families(warehouse, vocab)])
 
 
 def as_set(triples: DataFrame) -> DataFrame:

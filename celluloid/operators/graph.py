@@ -183,6 +183,7 @@ def director_filmography(triples: DataFrame, person_id: str, vocab: Vocabulary |
             ("?film", vocab.predicate("director"), vocab.node(person_id)),
             ("?film", vocab.predicate("name"), "?title"),
         ],
+        anchored=True,
     )
     return gp.select(gp.order_by(films, "title", "film"), "film", "title")
 
@@ -196,10 +197,11 @@ def directed_films(triples: DataFrame, person_id: str, vocab: Vocabulary | None
             ("?title", vocab.predicate("director"), vocab.node(person_id)),
             ("?title", vocab.predicate("name"), "?titleName"),
         ],
+        anchored=True,
     )
     films = gp.bind(films, "titleId", gp.literal_term(F.regexp_replace(gp.value("title"), "^.*/title/", "")))
-    films = gp.optional(films, triples, [("?title", vocab.predicate("datePublished"), "?year")])
-    films = gp.optional(films, triples, [("?title", vocab.predicate("averageRating"), "?rating")])
+    for predicate, name in (("datePublished", "?year"), ("averageRating", "?rating")):
+        films = gp.optional(films, triples, [("?title", vocab.predicate(predicate), name)], anchored=True)
     return gp.select(gp.order_by(films, "year", "titleName", "titleId"), "titleId", "titleName", "year", "rating")
 
 

@@ -67,12 +67,12 @@ def salted_join(
     return spread.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
-def anchored_join(big: DataFrame, side: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def anchored_join(big: DataFrame, side: DataFrame, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
     """Join a large table with the rows around one entity.
 
     These are few for nearly every entity, and then broadcasting them spares the large table its
     shuffle. That is counted first; an entity with more rows than that takes the salted join.
     """
     if side.count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(side), on, how)
+        return big.join(F.broadcast(side), on if isinstance(on, str) else list(on), how)
     return salted_join(big, side, on, how)

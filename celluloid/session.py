@@ -16,8 +16,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # A ragged row must fail the scan even when a later projection drops the columns.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 

@@ -27,7 +27,8 @@ def scan_tsv(spark: SparkSession, path: str | list[str], columns: Sequence[str])
         .option("quote", "")
         .option("nullValue", "\u0001")
         .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
+        # a ragged row must fail the scan even when a later projection drops the columns
+        .option("columnPruning", False)
         .csv(path)
     )
     return raw.select(

@@ -35,20 +35,6 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [s.frame(spark, sf_dir) for s in claim_shapes()])
 
 
-def title_crew(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Director and writer lists per title; repeats collapse before the lists are made."""
-    pairs = shape(spark, sf_dir, "credits_raw").select("imdb_id", "imdb_name_id", "job").distinct()
-    flagged = pairs.select(
-        "imdb_id",
-        F.when(F.col("job") == "A", F.col("imdb_name_id")).alias("director"),
-        F.when(F.col("job") == "R", F.col("imdb_name_id")).alias("writer"),
-    )
-    return flagged.groupBy("imdb_id").agg(
-        F.expr("listagg(director, ',') WITHIN GROUP (ORDER BY director)").alias("directors"),
-        F.expr("listagg(writer, ',') WITHIN GROUP (ORDER BY writer)").alias("writers"),
-    )
-
-
 def film_tables(spark: SparkSession, sf_dir: str) -> Tables:
     plain = ("titles", "people", "title_ratings", "episode_edges", "title_wikidata_links", "person_wikidata_links")
     frames = {n: shape(spark, sf_dir, n) for n in plain}
@@ -87,56 +73,54 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A detail document per order: cast from its lines' suppliers, crew likewise."""
-    lines = read(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey as id",
-        "l_linenumber % 2 = 0 as is_cast",
-        "l_suppkey as person",
-        "cast(l_linenumber as bigint) as n",
-        "l_returnflag as flag",
-    )
-    cast = F.struct(
-        F.col("person").alias("id"),
-        F.concat(F.lit("Person "), F.col("person").cast("string")).alias("name"),
-        F.concat(F.lit("Role "), F.col("flag")).alias("character"),
-        F.col("n").alias("order"),
-        F.when(F.col("flag") != "N", "Acting").alias("known_for_department"),
-    )
-    crew = F.struct(
-        F.col("person").alias("id"),
-        F.concat(F.lit("Person "), F.col("person").cast("string")).alias("name"),
-        F.lit("Directing").alias("department"),
-        F.concat(F.lit("Job "), F.col("n").cast("string")).alias("job"),
-    )
-    # an order has a handful of lines: the lists of one document are its own cells
-    lists = lines.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.when(F.col("is_cast"), cast))).alias("cast"),
-        F.array_sort(F.collect_list(F.when(~F.col("is_cast"), crew))).alias("crew"),
-    )
-    movies = read(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as id",
-        "'Movie ' || cast(o_orderkey as string) as title",
-        "case when o_orderkey % 5 = 0 then null else 'Original ' || cast(o_orderkey as string) end as original_title",
-        "'en' as original_language",
-        "cast(to_date(o_orderdate) as string) as release_date",
-        "o_orderkey % 200 as runtime",
-        "o_totalprice as popularity",
-        "'tt' || lpad(cast(o_orderkey as string), 10, '0') as tt",
-    )
+    """A detail document per order, with up to four cast and two crew members, or no credits at all.
+
+    Some members have no character, order, department or job.
+    """
+    orders = read(spark, sf_dir, "orders")
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+
+    def numbered(prefix: str, n: Column) -> Column:
+        return F.concat(F.lit(prefix), n.cast("string"))
+
+    def members(count: Column, make) -> Column:
+        return F.transform(F.slice(F.array(*[F.lit(i).cast("bigint") for i in (1, 2, 3, 4)]), 1, count.cast("int")), make)
+
+    def cast(i: Column) -> Column:
+        person = customer * 7 + i
+        return F.struct(
+            person.alias("id"),
+            numbered("Person ", person).alias("name"),
+            F.when(i != 3, numbered("Role ", i)).alias("character"),
+            F.when(i != 2, i - 1).alias("order"),
+            F.when(i != 1, "Acting").alias("known_for_department"),
+        )
+
+    def crew(i: Column) -> Column:
+        person = customer + i
+        return F.struct(
+            person.alias("id"),
+            numbered("Person ", person).alias("name"),
+            F.when(i != 2, "Directing").alias("department"),
+            numbered("Job ", i).alias("job"),
+        )
+
+    tt = F.concat(F.lit("tt"), F.lpad(key.cast("string"), 10, "0"))
+    credits = F.struct(members(1 + key % 4, cast).alias("cast"), members(key % 3, crew).alias("crew"))
     # the id is under external_ids in one half of the documents, on top level in the other
     doc = F.struct(
-        "id",
-        "title",
-        "original_title",
-        "original_language",
-        "release_date",
-        "runtime",
-        "popularity",
-        F.when(F.col("id") % 2 == 1, F.col("tt")).alias("imdb_id"),
-        F.struct(F.when(F.col("id") % 2 == 0, F.col("tt")).alias("imdb_id")).alias("external_ids"),
-        F.when(F.col("cast").isNotNull(), F.struct("cast", "crew")).alias("credits"),
+        key.alias("id"),
+        numbered("Movie ", key).alias("title"),
+        F.when(key % 5 != 0, numbered("Original ", key)).alias("original_title"),
+        F.lit("en").alias("original_language"),
+        F.to_date("o_orderdate").cast("string").alias("release_date"),
+        (key % 200).alias("runtime"),
+        F.col("o_totalprice").alias("popularity"),
+        F.when(key % 2 == 1, tt).alias("imdb_id"),
+        F.struct(F.when(key % 2 == 0, tt).alias("imdb_id")).alias("external_ids"),
+        F.when(key % 8 != 0, credits).alias("credits"),
     )
-    return movies.join(lists, "id", "left").select(F.to_json(doc).alias("value"))
+    return orders.select(F.to_json(doc).alias("value"))
 
 
 def _statement(value: Column) -> Column:

@@ -38,11 +38,7 @@ CTES["entities"] = (
     "SELECT * FROM title_entities UNION ALL SELECT * FROM person_entities UNION ALL SELECT * FROM place_entities"
 )
 CTES["claims"] = " UNION ALL ".join(s.sql() for s in claim_shapes())
-CTES["crew"] = (
-    "SELECT imdb_id, string_agg(DISTINCT imdb_name_id, ',' ORDER BY imdb_name_id) FILTER (WHERE job = 'A') AS directors, "
-    "string_agg(DISTINCT imdb_name_id, ',' ORDER BY imdb_name_id) FILTER (WHERE job = 'R') AS writers "
-    "FROM credits_raw GROUP BY imdb_id"
-)
+CTES["crew"] = CTES["title_crew"]
 CTES["roles"] = (
     "SELECT imdb_id, imdb_name_id, 'participant' AS role FROM credits UNION ALL "
     "SELECT imdb_id, imdb_name_id, CASE category WHEN 'actress' THEN 'actor' ELSE category END FROM credits "
@@ -352,24 +348,27 @@ def _pending(adult: bool) -> str:
     return sql("movie_export hydrated", body)
 
 
-DETAIL_PEOPLE = (
-    "SELECT l_orderkey AS movie, l_suppkey AS person, l_linenumber AS n, l_returnflag AS flag, l_linenumber % 2 = 0 AS is_cast "
-    "FROM lineitem WHERE l_orderkey % 7 <> 0"
+# members of the documents that could be had
+CAST = (
+    "SELECT o_orderkey AS movie, i, o_custkey * 7 + i AS person FROM orders, unnest(range(1, 2 + o_orderkey % 4)) AS r(i) "
+    "WHERE o_orderkey % 7 <> 0 AND o_orderkey % 8 <> 0"
+)
+CREW = (
+    "SELECT o_orderkey AS movie, i, o_custkey + i AS person FROM orders, unnest(range(1, 1 + o_orderkey % 3)) AS r(i) "
+    "WHERE o_orderkey % 7 <> 0 AND o_orderkey % 8 <> 0"
 )
 
 
 def _movie_credits() -> str:
-    cast = (
-        "SELECT DISTINCT movie AS tmdb_movie_id, person AS tmdb_person_id, 'cast:' || CAST(person AS VARCHAR) || ':' || CAST(n AS VARCHAR) "
-        "|| ':Role ' || flag AS credit_key, CAST(n AS BIGINT) AS cast_order, 'cast' AS credit_kind, "
-        "CASE WHEN flag <> 'N' THEN 'Acting' END AS department, CAST(NULL AS VARCHAR) AS job, 'Role ' || flag AS character_name "
-        "FROM said WHERE is_cast"
-    )
-    crew = (
-        "SELECT DISTINCT movie, person, 'crew:' || CAST(person AS VARCHAR) || ':Directing:Job ' || CAST(n AS VARCHAR), CAST(NULL AS BIGINT), "
-        "'crew', 'Directing', 'Job ' || CAST(n AS VARCHAR), CAST(NULL AS VARCHAR) FROM said WHERE NOT is_cast"
+    body = (
+        "SELECT movie AS tmdb_movie_id, person AS tmdb_person_id, 'cast:' || person || ':' || CASE WHEN i = 2 THEN 0 ELSE i - 1 END "
+        "|| ':' || CASE WHEN i = 3 THEN '' ELSE 'Role ' || i END AS credit_key, CAST(CASE WHEN i <> 2 THEN i - 1 END AS BIGINT) AS cast_order, "
+        "'cast' AS credit_kind, CASE WHEN i <> 1 THEN 'Acting' END AS department, CAST(NULL AS VARCHAR) AS job, "
+        "CASE WHEN i <> 3 THEN 'Role ' || i END AS character_name FROM cast_ UNION ALL "
+        "SELECT movie, person, 'crew:' || person || ':' || CASE WHEN i = 2 THEN '' ELSE 'Directing' END || ':Job ' || i, NULL, 'crew', "
+        "CASE WHEN i <> 2 THEN 'Directing' END, 'Job ' || i, NULL FROM crew_"
     )
-    return sql("", f"{cast} UNION ALL {crew}", said=DETAIL_PEOPLE)
+    return sql("", body, cast_=CAST, crew_=CREW)
 
 
 def _rejected_links() -> str:
@@ -529,7 +528,7 @@ def _import_bulk() -> str:
         "episode_edges": f"SELECT count(*) FROM episode_edges WHERE {known} AND parent_imdb_id IN (SELECT imdb_id FROM known_titles)",
     }
     body = " UNION ALL ".join(f"SELECT '{t}' AS table_name, ({q}) AS row_count" for t, q in counts.items())
-    names = "known_titles known_people people titles title_ratings akas_raw credits_raw crew episode_edges"
+    names = "known_titles known_people people titles title_ratings akas_raw credits_raw title_crew crew episode_edges"
     return sql(names, body, expanded=expanded, keys=keys)
 
 
@@ -544,7 +543,7 @@ def _expand_crew() -> str:
         "CAST(NULL AS VARCHAR) AS characters, 'imdb' AS source FROM expanded SEMI JOIN known_titles USING (imdb_id) "
         "SEMI JOIN known_people USING (imdb_name_id)"
     )
-    return sql("credits_raw crew known_titles known_people", body, expanded=parts)
+    return sql("title_crew crew known_titles known_people", body, expanded=parts)
 
 
 def _like(column: str, pattern: str) -> str:
@@ -602,7 +601,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_basics_tsv": sql("titles", f"SELECT {titles_all} FROM titles"),
         "scan_ratings_tsv": sql("title_ratings", "SELECT * FROM title_ratings"),
         "scan_akas_tsv": sql("akas_raw", f"SELECT {', '.join(list(SHAPES['akas_raw'].columns)[:8])} FROM akas_raw"),
-        "scan_crew_tsv": sql("credits_raw crew", f"SELECT {crew_text} FROM crew"),
+        "scan_crew_tsv": sql("title_crew crew", f"SELECT {crew_text} FROM crew"),
         "scan_principals_tsv": sql("credits_raw credits", "SELECT * FROM credits"),
         "scan_episode_tsv": sql("episode_edges", "SELECT * FROM episode_edges"),
         "scan_movie_export_jsonl": sql("movie_export", "SELECT CAST(1 AS BIGINT) AS export_artifact_id, * FROM movie_export"),
@@ -644,7 +643,10 @@ def oracle_sql() -> dict[str, str]:
             "FROM orders WHERE o_orderkey % 7 <> 0",
         ),
         "hydrate_people": sql(
-            "", "SELECT DISTINCT person AS tmdb_person_id, 'Person ' || CAST(person AS VARCHAR) AS name FROM said JOIN orders ON o_orderkey = movie", said=DETAIL_PEOPLE
+            "",
+            "SELECT person AS tmdb_person_id, 'Person ' || person AS name FROM cast_ UNION SELECT person, 'Person ' || person FROM crew_",
+            cast_=CAST,
+            crew_=CREW,
         ),
         "hydrate_movie_credits": _movie_credits(),
         "hydrate_links": sql(
@@ -670,6 +672,26 @@ def oracle_sql() -> dict[str, str]:
             "claims",
             "SELECT subject_wikidata_id, property_id, value_type, value_text, value_wikidata_id, 'sample' AS datatype, 'normal' AS rank_name, ordinal FROM claims",
         ),
+        "entity_claims_dedup": sql(
+            "claims",
+            "SELECT subject_wikidata_id, property_id, value_type, value_text, value_wikidata_id, 'sample' AS datatype, 'normal' AS rank_name, ordinal FROM claims",
+        ),
+        "claims_cleared": sql(
+            "claims person_wikidata_links",
+            "SELECT * FROM claims WHERE subject_wikidata_id NOT IN (SELECT wikidata_id FROM person_wikidata_links)",
+        ),
+        "export_row": sql("movie_export", "SELECT tmdb_movie_id, adult, original_title, popularity FROM movie_export WHERE tmdb_movie_id = 15"),
+        "titles_by_ids": sql(
+            FILM_NAMES,
+            f"SELECT imdb_id, {TITLE_RECORD} FROM titles WHERE imdb_id IN (SELECT imdb_id FROM credits WHERE imdb_name_id = '{PERSON}')",
+        ),
+        "parsed_numbers": (
+            "SELECT p_partkey, CAST(CASE WHEN p_partkey % 6 IN (2, 5) THEN p_size ELSE -1 END AS BIGINT) AS whole, "
+            "CASE p_partkey % 5 WHEN 1 THEN -p_retailprice WHEN 3 THEN 0.5 WHEN 4 THEN p_retailprice END AS fraction, "
+            "CASE p_partkey % 5 WHEN 0 THEN replace(CAST(p_retailprice AS VARCHAR), '.', '_') || 'f' "
+            "WHEN 1 THEN '-' || replace(CAST(p_retailprice AS VARCHAR), '.', '_') WHEN 2 THEN replace(p_brand, '#', '_') WHEN 3 THEN '_5' "
+            "ELSE replace(CAST(p_retailprice AS VARCHAR), '.', '_') END AS safe FROM part"
+        ),
         "entity_external_ids": sql("title_wikidata_links person_wikidata_links", _entity_ids()),
         "claim_value_types": sql(
             "claims",

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from celluloid.adapters import films
 from celluloid.adapters.shapes import ARRIVAL, read
-from celluloid.functions.iri import Vocabulary, entity_kind
+from celluloid.functions import parse
+from celluloid.functions.iri import Vocabulary, entity_kind, sanitize
 from celluloid.functions.parse import snapshot_name
 from celluloid.operators import graph, lookup, search, triples
+from celluloid.operators import mutations as m
 from celluloid.operators import patterns as gp
 from celluloid.operators.claims import explode_claims, external_ids, prepare_items
 from celluloid.operators.mutations import (
@@ -28,7 +30,7 @@ from celluloid.operators.mutations import (
     upsert_columns,
     upsert_links,
 )
-from celluloid.operators.relational import latest_by
+from celluloid.operators.relational import in_ids, latest_by
 from celluloid.plans import bulk, entities, ledger, movies
 from celluloid.schema import TABLES
 from celluloid.session import scratch_path
@@ -187,12 +189,37 @@ def warehouse_row_counts(t):
     return warehouse_stats(t)
 
 
+@on_tables
+def titles_by_ids(t):
+    """Title records of the titles one person is credited for."""
+    ids = t.table("credits").where(F.col("imdb_name_id") == PERSON)
+    return in_ids(t.table("titles").select(*lookup.TITLE_RECORD), "imdb_id", ids)
+
+
 # --- landing files
 
 
+@query
+def parsed_numbers(spark, sf_dir):
+    """Strict parsing of number texts, of clean ones and of near misses."""
+    part = read(spark, sf_dir, "part").selectExpr(
+        "p_partkey",
+        "case p_partkey % 6 when 0 then ' ' || p_size when 1 then p_size || '.0' when 2 then '+' || p_size "
+        "when 3 then '\\\\N' when 4 then '' else cast(p_size as string) end as whole",
+        "case p_partkey % 5 when 0 then p_retailprice || 'f' when 1 then '-' || p_retailprice when 2 then p_brand "
+        "when 3 then '.5' else cast(p_retailprice as string) end as fraction",
+    )
+    return part.select(
+        "p_partkey",
+        parse.default(parse.parse_long(parse.null_sentinel(F.col("whole"))), -1).alias("whole"),
+        parse.parse_double(F.col("fraction")).alias("fraction"),
+        sanitize(F.col("fraction")).alias("safe"),
+    )
+
+
 def _scan(dataset: str, table: str, scan: Callable) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = {"credits": films.credits, "title_crew": films.title_crew}.get(
+        rows = {"credits": films.credits}.get(
             table, lambda s, d: films.shape(s, d, {"title_akas": "akas_raw"}.get(table, table))
         )(spark, sf_dir)
         return scan(spark, films.land_tsv(rows, dataset)).drop(*tsv.ORDER)
@@ -315,7 +342,7 @@ def insert_ignore_credits(spark, sf_dir):
 @query
 def expand_crew(spark, sf_dir):
     known = _known(spark, sf_dir)
-    crew = films.title_crew(spark, sf_dir)
+    crew = films.shape(spark, sf_dir, "title_crew")
     return bulk.expand_crew(crew, known.table("titles"), known.table("people"))
 
 
@@ -458,6 +485,12 @@ def hydrate_queue(spark, sf_dir):
     )
 
 
+@query
+def export_row(spark, sf_dir):
+    """Queue row of the movie that plays the flagship title."""
+    return m.export_row(_queue(spark, sf_dir), 1, 15).select("tmdb_movie_id", "adult", "original_title", "popularity")
+
+
 # --- knowledge-base dump
 
 
@@ -503,6 +536,21 @@ def entity_claims(spark, sf_dir):
     return _entity_tables(spark, sf_dir)["wikidata_claims"].drop("raw_json")
 
 
+@query
+def entity_claims_dedup(spark, sf_dir):
+    """Claims of a dump that holds every entity twice, equal ones kept once."""
+    twice = _items(spark, sf_dir).unionByName(_items(spark, sf_dir))
+    tables = Tables(spark, {n: films.shape(spark, sf_dir, n) for n in ("titles", "people")})
+    return entities.entity_tables(twice, tables, dedup=True)["wikidata_claims"].drop("raw_json")
+
+
+@on_tables
+def claims_cleared(t):
+    """Claims without those of the entities that are linked to people."""
+    linked = t.table("person_wikidata_links").select(F.col("wikidata_id").alias("subject_wikidata_id"))
+    return m.clear_subject_claims(t.table("wikidata_claims"), linked)
+
+
 @query
 def entity_external_ids(spark, sf_dir):
     return external_ids(_items(spark, sf_dir)).select("wikidata_id", "external_id", F.col("_pos").cast("bigint").alias("pos"))
@@ -577,7 +625,7 @@ def import_bulk(spark, sf_dir):
     root = scratch_path(spark, "landing")
     known = {n: films.shape(spark, sf_dir, n) for n in ("people", "titles", "title_ratings", "episode_edges")}
     known["title_akas"] = films.shape(spark, sf_dir, "akas_raw")
-    known["title_crew"] = films.title_crew(spark, sf_dir)
+    known["title_crew"] = films.shape(spark, sf_dir, "title_crew")
     known["credits"] = films.shape(spark, sf_dir, "credits_raw")
     # people and titles that are left out make other rows fail their reference check
     known["people"] = known["people"].join(films.shape(spark, sf_dir, "known_people"), "imdb_name_id", "left_semi")

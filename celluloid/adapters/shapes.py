@@ -163,6 +163,16 @@ SHAPES: dict[str, Shape] = {
         },
         group="l_partkey",
     ),
+    # lists with one, two or three members; an empty and a repeated member among them
+    "title_crew": Shape(
+        "part",
+        {
+            "imdb_id": tt("p_partkey"),
+            "directors": f"case p_size % 4 when 1 then {nm('p_partkey % 100')} when 2 then {nm('p_size')} || ',' || "
+            f"{nm('p_partkey % 100')} when 3 then {nm('p_size')} || ',,' || {nm('p_size')} end",
+            "writers": f"case when p_partkey % 3 = 0 then {nm('p_size')} || ',' || {nm('p_size + 1')} end",
+        },
+    ),
     "episode_edges": Shape(
         "part",
         {

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from celluloid.operators.mutations import insert_ignore, upsert, upsert_columns
 from celluloid.operators.relational import latest_by
@@ -85,12 +84,13 @@ def finish_runs(runs: DataFrame, outcome: DataFrame) -> DataFrame:
 
 
 def _keep_ids(old: DataFrame, rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Old rows keep their id; new ones get the numbers after the greatest one, in key order."""
+    """Old rows keep their id; new ones get unused numbers above the greatest one.
+
+    Numbers are unique and rise with every save, but have gaps: they are given per partition.
+    """
     known = rows.join(old.select("id", *key), list(key), "left")
     top = old.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    # one row per landed file: the ledger is small by nature
-    number = F.row_number().over(Window.partitionBy(F.col("id").isNull()).orderBy(*key))
-    new_id = F.coalesce(F.col("id"), top + number)
+    new_id = F.coalesce(F.col("id"), top + 1 + F.monotonically_increasing_id())
     return known.withColumn("id", new_id).select(*old.columns)
 
 

@@ -136,15 +136,16 @@ def test_movie_import_and_hydration(spark, tmp_path, frame):
     export.write_bytes(gzip.compress("\n".join(map(json.dumps, lines)).encode()))
     assert movies.import_export(spark, str(export), wh)["export_rows_seen"] == 3
     assert movies.import_export(spark, str(export), wh)["export_rows_skipped"] == 1
-    pending = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), 1)
+    artifact = wh.table("download_artifacts").first()["id"]
+    pending = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), artifact)
     assert rows_of(pending, "tmdb_movie_id") == [(11,), (13,)]
-    with_adult = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), 1, True, 1)
+    with_adult = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), artifact, True, 1)
     assert rows_of(with_adult, "tmdb_movie_id") == [(12,)]
 
     (tmp_path / "details.json").write_text(json.dumps(DETAILS) + "\n")
     details = documents.scan_movie_details(spark, str(tmp_path / "details.json"))
-    failures = spark.createDataFrame([(1, 13, "HTTP 404")], "export_artifact_id bigint, tmdb_movie_id bigint, error string")
-    got = movies.hydrate(spark, details, wh, 1, failures=failures)
+    failures = spark.createDataFrame([(artifact, 13, "HTTP 404")], "export_artifact_id bigint, tmdb_movie_id bigint, error string")
+    got = movies.hydrate(spark, details, wh, artifact, failures=failures)
     assert got == {"movies_hydrated": 1, "credits_imported": 2, "title_links_created": 1, "hydration_failures": 1}
     assert rows_of(wh.table("tmdb_movies"), "imdb_id", "runtime_minutes") == [("tt0047478", 207)]
     assert sorted(rows_of(wh.table("tmdb_movie_credits"), "credit_key")) == [
@@ -161,7 +162,7 @@ def test_movie_import_and_hydration(spark, tmp_path, frame):
         ("failed", 1, "HTTP 404"),
     ]
     # a movie with a record is not pending any more, one that failed before it had one is
-    assert movies.hydrate(spark, details, wh, 1)["movies_hydrated"] == 0
+    assert movies.hydrate(spark, details, wh, artifact)["movies_hydrated"] == 0
     assert json.loads(wh.table("tmdb_movies").first()["raw_json"])["original_title"] is None
 
 
@@ -227,11 +228,13 @@ def test_ledger_steps(spark, frame):
     free = ledger.importable(artifacts, runs, "i", "1")
     assert sorted(rows_of(free, "id")) == [(2,), (4,)]
     assert ledger.importable(artifacts, runs, "i", "1", force=True).count() == 4
-    begun = ledger.begin_runs(runs, free, "i", "1").orderBy("id")
-    assert rows_of(begun, "id", "artifact_id", "importer_name", "status") == [
+    begun = rows_of(ledger.begin_runs(runs, free, "i", "1").orderBy("id"), "id", "artifact_id", "importer_name", "status")
+    assert begun[:4] == [
         (1, 1, "i", "completed"),
         (2, 2, "i", "running"),
         (3, 3, "i", "running"),
         (4, 4, "other", "completed"),
-        (5, 4, "i", "running"),
     ]
+    [(new_id, *fresh)] = begun[4:]
+    assert new_id > 4
+    assert fresh == [4, "i", "running"]

@@ -77,7 +77,7 @@ def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some members have no character, order, department or job.
     """
-    orders = read(spark, sf_dir, "orders")
+    orders = read(spark, sf_dir, "orders", spread=True)
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
 
     def numbered(prefix: str, n: Column) -> Column:

@@ -56,7 +56,7 @@ class Shape:
         return spark.sql(self.sql().replace(f"FROM {self.source}", "FROM {rows}"), rows=rows)
 
 
-SPREAD_BY = {"lineitem": "l_orderkey", "documents": "doc_id"}
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
 
 _frames: dict[tuple[str, str], DataFrame] = {}
 

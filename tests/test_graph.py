@@ -243,3 +243,13 @@ def test_nquads_escape_literals(spark):
 def test_whole_doubles_have_no_fraction(spark):
     df = spark.createDataFrame([(8.0,), (8.6,), (10.0,)], "d double")
     assert rows_of(df.select(triples.double_lexical(F.col("d")))) == [("8",), ("8.6",), ("10",)]
+
+
+def test_nquads_and_json_sinks(stored, spark, tmp_path):
+    path = str(tmp_path / "nq")
+    sinks.write_nquads(stored, path)
+    lines = [r["value"] for r in spark.read.text(path).collect()]
+    assert len(lines) == 46
+    assert f'<{VOCAB.node("tt1")}> <{VOCAB.predicate("averageRating")}> "8.6"^^<http://www.w3.org/2001/XMLSchema#double> .' in lines
+    rows = spark.createDataFrame([("a", None, 1)], "x string, y string, n int")
+    assert rows_of(sinks.to_json_rows(rows)) == [('{"x":"a","n":1}',)]

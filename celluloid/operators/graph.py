@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celluloid.functions.iri import Vocabulary, id_kind, last_segment
+from celluloid.functions.iri import Vocabulary, last_segment
 from celluloid.functions.parse import non_negative, number_text
 from celluloid.functions.text import display_name, role_predicate
 from celluloid.operators import patterns as gp

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import quality_rules, token_counts
-from celluloid.llm.common import table
+from celluloid.llm import language_id, quality_classifier, quality_rules, token_counts, toxicity
+from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -28,6 +28,31 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"stats.{c}").alias(c) for c in counts), "base_failed", "rule", "kept")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = staged(quality_rules.statistics(docs).select("doc_id", "stats"), "quality-features")
+    model = quality_classifier.learn(stats, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    scored = quality_classifier.score(stats, model)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0, fold("doc_id", 5) == 1)
+    scored = toxicity.score(docs, net)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = language_id.sample_texts(docs, fold("doc_id", 4) != 2)
+    decided = language_id.identify(docs.select("doc_id", "text"), language_id.learn_dictionaries(samples))
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    return decided.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 

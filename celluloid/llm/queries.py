@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import language_id, quality_classifier, quality_rules, token_counts, toxicity
+from celluloid.llm import language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture.mix(table(spark, sf_dir, "documents"), (1.0, 2.0, 3.0), 3.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(docs, public_tokenizers.path(TOKENIZER))
@@ -53,6 +58,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 

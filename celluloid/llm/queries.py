@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
+from celluloid.llm import decontamination, language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,6 +62,15 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    question, answer = decontamination.question_and_answer("text")
+    return table(spark, sf_dir, "benchmark").select("item_id", question.alias("question"), answer.alias("answer"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), benchmark_items(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import decontamination, language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity
+from celluloid.llm import decontamination, html_text, language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,6 +42,16 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.CaptureIndex.build(table(spark, sf_dir, "pages")).records()
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0, fold("doc_id", 5) == 1)
@@ -75,5 +85,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 
 
+OP6_SQL = """
+WITH known AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha256(payload) AS payload_digest FROM known
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM digests WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+FROM digests d LEFT JOIN firsts f ON d.payload_bytes >= 100 AND f.payload_digest = d.payload_digest
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE parted AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+           ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS shingles
+    FROM parted
+), entries AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, a.n AS m, b.n AS n, count(*) AS common
+    FROM entries a JOIN entries b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+    GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * common >= 90 * (m + n - common)
+), reached AS (
+    SELECT doc_id AS node, doc_id AS other FROM sets
+    UNION
+    SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a
+), smallest AS (
+    SELECT node, min(other) AS component_id FROM reached GROUP BY node
+)
+SELECT s.doc_id, len(s.shingles) AS n_shingles, c.component_id FROM sets s JOIN smallest c ON s.doc_id = c.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": OP6_SQL, "op9_ngram_join": OP9_SQL}

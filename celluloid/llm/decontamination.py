@@ -6,7 +6,7 @@ passages of a training text, windows of two neighbouring cells of ``CHUNK_WORDS`
 each distinct word once. A chunk is retrieved when its score reaches ``RETRIEVE`` of the score that all
 of its words would give.
 
-Chunks are sorted by that threshold and laid in blocks; a term has a largest impact in each of its
+Chunks are sorted by their most frequent term and that threshold, and laid in blocks; a term has a largest impact in each of its
 blocks. Terms that are in many blocks add their largest impact everywhere, one number a passage; for
 the rest the block maxima of a passage's words are summed. Only where both together reach the least
 threshold of a block are chunks scored, with the rare terms first, and a block is left when the
@@ -44,8 +44,9 @@ CHUNK_WORDS = 48
 RETRIEVE = 0.5
 OVERLAP = 0.6
 WIDTH = 5
-BLOCK_CHUNKS = 16
-COMMON_SHARE = 0.25  # of all blocks; terms in more of them count as common
+BLOCK_CHUNKS = 2
+SPAN_CELLS = 2_000_000
+COMMON_BLOCKS = 64  # terms in more blocks count as common
 K1, B = 1.2, 0.75
 SHARD_WORDS = 1_000_000
 EPSILON = 1e-9
@@ -92,23 +93,23 @@ class Index:
                 term, often = self.terms[word], part.count(word)
                 own[term] = float(idf[term] * often * (K1 + 1) / (often + K1 * (1 - B + B * len(part) / mean)))
             impacts.append((RETRIEVE * sum(own.values()), number, own))
-        impacts.sort(key=lambda x: x[:2])
+        # neighbours share their most frequent term, so that texts of one language meet in a block
+        impacts.sort(key=lambda x: (max((seen[t], t) for t in x[2])[1], *x[:2]))
         self.chunk_item = [n for _, n, _ in impacts]
         self.chunk_threshold = np.array([t for t, _, _ in impacts])
         self.chunk_terms = [own for _, _, own in impacts]
         self.blocks = -(-len(impacts) // BLOCK_CHUNKS)
-        self.block_threshold = self.chunk_threshold[::BLOCK_CHUNKS] if len(impacts) else np.zeros(0)
+        self.block_threshold = np.array([self.chunk_threshold[k : k + BLOCK_CHUNKS].min() for k in range(0, len(impacts), BLOCK_CHUNKS)])
         best: dict[int, dict[int, float]] = defaultdict(dict)
         for place, own in enumerate(self.chunk_terms):
             block = place // BLOCK_CHUNKS
             for term, impact in own.items():
                 best[term][block] = max(best[term].get(block, 0.0), impact)
-        often = max(1, int(COMMON_SHARE * self.blocks))
         self.common = np.zeros(len(self.terms))
         self.first = np.zeros(len(self.terms) + 1, dtype=np.int64)
         block_of, maximum = [], []
         for term in range(len(self.terms)):
-            if len(best[term]) > often:
+            if len(best[term]) > COMMON_BLOCKS:
                 self.common[term] = max(best[term].values())
             else:
                 block_of += sorted(best[term])
@@ -124,6 +125,13 @@ class Index:
     def retrieve(self, found: list[bytes]) -> set[int]:
         """Items one of whose chunks some passage retrieves."""
         terms = np.fromiter(map(self.known.__getitem__, found), dtype=np.int64, count=len(found))
+        hits: set[int] = set()
+        span = max(2, SPAN_CELLS // max(1, self.blocks)) * CHUNK_WORDS  # bounds the memory of a long text
+        for start in range(0, len(terms), span):
+            hits |= self._retrieve(terms[start : start + span + CHUNK_WORDS])
+        return hits
+
+    def _retrieve(self, terms: np.ndarray) -> set[int]:
         places = np.flatnonzero(terms < len(self.terms))
         if not len(places) or not self.blocks:
             return set()

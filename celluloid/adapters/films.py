@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.adapters.shapes import ARRIVAL, SHAPES, claim_shapes, read
+from celluloid.adapters.shapes import ARRIVAL, PERSON_ENTITY, SHAPES, TITLE_ENTITY, claim_shapes, read
 from celluloid.operators.mutations import upsert
 from celluloid.schema import TABLES
 from celluloid.session import scratch_path
@@ -43,10 +43,10 @@ def film_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, frames)
 
 
-def land_tsv(df: DataFrame, dataset: str) -> str:
+def land_tsv(df: DataFrame, dataset: str, path: str | None = None) -> str:
     """Write a frame as a gzip TSV landing dataset with ``\\N`` for nulls; returns its path."""
     columns = [(header, name) for header, name, _ in LAYOUTS[dataset]]
-    path = scratch_path(df.sparkSession, f"landing-{dataset}")
+    path = path or scratch_path(df.sparkSession, f"landing-{dataset}")
     rows = df.select(*[F.coalesce(F.col(name).cast("string"), F.lit("\\N")).alias(header) for header, name in columns])
     writer = rows.write.option("sep", "\t").option("header", True).option("quote", "").option("compression", "gzip")
     writer.option("escape", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
@@ -161,7 +161,7 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.struct(text("'+' || cast(1950 + p_size as string) || '-01-01T00:00:00Z'").alias("time"))
     titles = _entity_line(
         part,
-        F.when(F.expr("p_partkey % 3 = 0"), item).otherwise("property"),
+        F.when(text(TITLE_ENTITY), item).otherwise("property"),
         text(shaped["title_entities"]["wikidata_id"]),
         text(shaped["title_entities"]["label"]),
         text(shaped["title_entities"]["description"]),
@@ -176,8 +176,8 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     born = F.struct(text("'+' || cast(1900 + s_nationkey as string) || '-01-01T00:00:00Z'").alias("time"))
     place = F.struct(text("'Q3' || lpad(cast(s_nationkey as string), 10, '0')").alias("id"))
     people = _entity_line(
-        supplier.where("s_suppkey % 2 = 0"),
-        item,
+        supplier,
+        F.when(text(PERSON_ENTITY), item).otherwise("property"),
         text(shaped["person_entities"]["wikidata_id"]),
         text(shaped["person_entities"]["label"]),
         text(shaped["person_entities"]["description"]),

@@ -74,7 +74,8 @@ _credits_at = _once("warehouse", _write_credits)
 
 def film_tables(spark: SparkSession, sf_dir: str) -> Tables:
     stored = Warehouse(spark, _credits_at(spark, sf_dir))
-    return films.film_tables(spark, sf_dir).with_tables(credits=stored.table("credits"))
+    credits = {"credits": stored.table("credits"), "credits-by-imdb_name_id": stored.ordered("credits", "imdb_name_id")}
+    return films.film_tables(spark, sf_dir).with_tables(**credits)
 
 
 def _write_triples(spark, sf_dir, target):
@@ -103,7 +104,7 @@ def _write_people_index(spark, sf_dir, target):
 def _write_documents_index(spark, sf_dir, target):
     docs = read(spark, sf_dir, "documents", spread=True)
     parts = search.text_parts(docs, "doc_id", "text")
-    search.SearchIndex.build(parts, docs.select(F.col("doc_id").alias("id")), split_fields=()).save(target)
+    search.SearchIndex.build(parts, docs.select(F.col("doc_id").alias("id"))).save(target)
 
 
 _index_at = {
@@ -247,9 +248,13 @@ def scan_movie_export_jsonl(spark, sf_dir):
 
 @query
 def artifact_manifest(spark, sf_dir):
-    """Content identity of the given files themselves."""
-    files = manifest.artifact_manifest(spark, f"{sf_dir}/*.parquet")
-    return files.select("name", "sha256", "byte_len")
+    """Content identity of landed files, one for each supplier."""
+    path = scratch_path(spark, "landing-files")
+    rows = read(spark, sf_dir, "supplier").select("s_suppkey", F.concat_ws("|", "s_suppkey", "s_name", "s_nationkey").alias("value"))
+    rows.write.partitionBy("s_suppkey").text(path)
+    files = manifest.artifact_manifest(spark, f"{path}/*/*.txt")
+    key = F.regexp_extract("path", r"s_suppkey=(\d+)/", 1).cast("long")
+    return files.select(key.alias("s_suppkey"), "sha256", "byte_len")
 
 
 @query
@@ -448,12 +453,15 @@ def _details(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(_details_at(spark, sf_dir))
 
 
-def _hydrated(spark, sf_dir) -> dict[str, DataFrame]:
+def _hydrated(spark, sf_dir, failing: bool = False) -> dict[str, DataFrame]:
+    """All movies hydrated, or all but every seventh, which then fails."""
     queue = _queue(spark, sf_dir)
     tables = Tables(spark, {"titles": films.shape(spark, sf_dir, "titles"), "tmdb_movie_exports": queue})
-    details = _details(spark, sf_dir).where(F.col("tmdb_movie_id") % 7 != 0)
+    details = _details(spark, sf_dir)
+    if not failing:
+        return movies.hydrate_tables(details, tables, queue)
     failures = queue.where(F.col("tmdb_movie_id") % 7 == 0).withColumn("error", F.lit("not found"))
-    return movies.hydrate_tables(details, tables, queue, failures)
+    return movies.hydrate_tables(details.where(F.col("tmdb_movie_id") % 7 != 0), tables, queue, failures)
 
 
 @query
@@ -480,7 +488,7 @@ def hydrate_links(spark, sf_dir):
 
 @query
 def hydrate_queue(spark, sf_dir):
-    return _hydrated(spark, sf_dir)["tmdb_movie_exports"].select(
+    return _hydrated(spark, sf_dir, failing=True)["tmdb_movie_exports"].select(
         "tmdb_movie_id", "hydrate_status", "hydrate_attempts", "last_error"
     )
 
@@ -621,7 +629,8 @@ def run_ledger(spark, sf_dir):
 
 @query
 def import_bulk(spark, sf_dir):
-    """The seven landing datasets through the whole import: row counts of the filled tables."""
+    """The seven landing datasets, each a folder of parts, through the whole import, twice: row counts of
+    the filled tables and of the ledger, and how many datasets the second import skips."""
     root = scratch_path(spark, "landing")
     known = {n: films.shape(spark, sf_dir, n) for n in ("people", "titles", "title_ratings", "episode_edges")}
     known["title_akas"] = films.shape(spark, sf_dir, "akas_raw")
@@ -632,8 +641,13 @@ def import_bulk(spark, sf_dir):
     known["titles"] = known["titles"].join(films.shape(spark, sf_dir, "known_titles"), "imdb_id", "left_semi")
     target = Warehouse(spark, f"{root}/warehouse")
     for dataset, table in bulk.IMPORT_ORDER:
-        bulk.import_dataset(spark, films.land_tsv(known[table], dataset), dataset, table, target)
-    return warehouse_stats(target, [table for _, table in bulk.IMPORT_ORDER])
+        films.land_tsv(known[table], dataset, f"{root}/landed/{dataset}.tsv.gz")
+    bulk.import_bulk(spark, f"{root}/landed", target)
+    again = bulk.import_bulk(spark, f"{root}/landed", target)
+    skipped = sum(counters["rows_skipped"] for counters in again.values())
+    tables = [table for _, table in bulk.IMPORT_ORDER] + ["datasets", "download_artifacts", "import_runs"]
+    repeat = spark.range(1).select(F.lit("skipped on repeat").alias("table_name"), F.lit(skipped).cast("long").alias("row_count"))
+    return warehouse_stats(target, tables).unionByName(repeat)
 
 
 # --- search
@@ -662,8 +676,18 @@ def title_field_stats(spark, sf_dir):
 @query
 def document_postings(spark, sf_dir):
     """Term frequency and field length of every (document, term)."""
-    rows = index("documents", spark, sf_dir).postings
-    return rows.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
+    return index("documents", spark, sf_dir).postings.select("id", "term", "tf", "len")
+
+
+@on_tables
+def title_parts(t):
+    """The title documents part by part, as they are indexed."""
+    return search.title_parts(t.table("titles"), t.table("credits"), t.table("people"))
+
+
+@on_tables
+def person_parts(t):
+    return search.person_parts(t.table("people"), t.table("credits"), t.table("titles"))
 
 
 @query
@@ -747,19 +771,24 @@ def entity_counts(t):
     return graph.entity_count(triples.link_rows(t), triples.owned_claims(t))
 
 
-@on_triples
-def neighbors_of_title(t):
-    return graph.neighbors_from_triples(t, SERIES, VOCAB)
+def _neighbors(spark, sf_dir, entity_id: str) -> DataFrame:
+    edges = sinks.load_edges_by_object(spark, _triples_at(spark, sf_dir))
+    return graph.neighbors_from_triples(stored_triples(spark, sf_dir), entity_id, VOCAB, edges)
 
 
-@on_triples
-def neighbors_of_person(t):
-    return graph.neighbors_from_triples(t, LINKED_PERSON, VOCAB)
+@query
+def neighbors_of_title(spark, sf_dir):
+    return _neighbors(spark, sf_dir, SERIES)
 
 
-@on_triples
-def neighbors_of_entity(t):
-    return graph.neighbors_from_triples(t, ENTITY, VOCAB)
+@query
+def neighbors_of_person(spark, sf_dir):
+    return _neighbors(spark, sf_dir, LINKED_PERSON)
+
+
+@query
+def neighbors_of_entity(spark, sf_dir):
+    return _neighbors(spark, sf_dir, ENTITY)
 
 
 @on_triples

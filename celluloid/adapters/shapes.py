@@ -72,7 +72,7 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
     if key not in _frames:
         _frames[key] = spark.read.parquet(key[1])
     table = _frames[key]
-    if spread and len(table.inputFiles()) == 1:
+    if spread:
         return table.repartition(spark.sparkContext.defaultParallelism, SPREAD_BY[name])
     return table
 
@@ -95,8 +95,8 @@ ARRIVAL = {
     "a9": "l_linestatus",
 }
 
-TITLE_ENTITY = "p_partkey % 3 = 0"
-PERSON_ENTITY = "s_suppkey % 2 = 0"
+TITLE_ENTITY = "p_partkey % 3 <> 1"
+PERSON_ENTITY = "s_suppkey % 20 <> 7"
 NO_TEXT = "cast(null as string)"
 
 SHAPES: dict[str, Shape] = {

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from celluloid.functions.text import any_of
 from celluloid.schema import (
     DEFAULT_BASE_IRI,
     ENTITY_BASE,
@@ -55,11 +56,7 @@ class Vocabulary:
 
     def named_node_filter(self, col: Column) -> Column:
         """True for titles, people and knowledge-base entities."""
-        return (
-            col.startswith(self.title_base)
-            | col.startswith(self.person_base)
-            | col.startswith(ENTITY_BASE)
-        )
+        return any_of(*(iri_startswith(col, base) for base in (self.title_base, self.person_base, ENTITY_BASE)))
 
 
 # Id prefixes, tried in this order; anything else is a person.

@@ -12,12 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celluloid.functions.iri import Vocabulary, last_segment
+from celluloid.functions.iri import Vocabulary, iri_startswith, last_segment
 from celluloid.functions.parse import non_negative, number_text
 from celluloid.functions.text import display_name, role_predicate
 from celluloid.operators import patterns as gp
-from celluloid.operators.relational import order_collaborators, order_neighbors, tag
-from celluloid.operators.skew import anchored_join
+from celluloid.operators.relational import not_null, order_collaborators, order_neighbors, other_than, tag
 from celluloid.operators.triples import link_rows, owned_claims, project_predicates
 from celluloid.schema import ENTITY_BASE, RDF_TYPE
 from celluloid.sources.sinks import table_bytes
@@ -40,13 +39,12 @@ def _credit_edges(credits: DataFrame, others: DataFrame, key: str, name: str, di
     """Participant and role edges from one read of the filtered credits."""
     kinds = F.array_compact(F.array(F.lit("participant"), role_predicate(F.col("category"))))
     roles = credits.select(key, F.explode(kinds).alias("predicate")).distinct()
-    named = anchored_join(others.select(key, name), roles, key)
+    named = others.select(key, name).join(roles, key)
     return _edges(named, direction, F.col("predicate"), F.col(key), F.col(name))
 
 
 def _same_as(links: DataFrame, entities: DataFrame) -> DataFrame:
-    """Links are unique per local id, so the left side has at most one row."""
-    named = F.broadcast(links.limit(1)).join(entities.select("wikidata_id", "label"), "wikidata_id", "left")
+    named = links.join(entities.select("wikidata_id", "label"), "wikidata_id", "left")
     return _edges(named, "out", "sameAs", F.col("wikidata_id"), display_name(F.col("label"), F.col("wikidata_id")))
 
 
@@ -63,17 +61,16 @@ def title_neighbors(warehouse: Tables, imdb_id: str) -> DataFrame:
             for label, c in (("averageRating", "average_rating"), ("voteCount", "num_votes"))
         ]
     )
-    values = rating.select(F.explode(facts).alias("f")).select("f.*").where(F.col("text").isNotNull())
+    values = rating.select(F.explode(facts).alias("f")).select("f.*")
     title = (F.col("imdb_id"), F.col("primary_title"))
     branches = [
         _credit_edges(
             warehouse.table("credits").where(mine), warehouse.table("people"), "imdb_name_id", "primary_name", "out"
         ),
-        # an episode has one parent
-        _edges(named.join(F.broadcast(parents), "imdb_id"), "out", "partOfSeries", *title),
-        _edges(anchored_join(named, children, "imdb_id"), "in", "partOfSeries", *title),
+        _edges(named.join(parents, "imdb_id"), "out", "partOfSeries", *title),
+        _edges(named.join(children, "imdb_id"), "in", "partOfSeries", *title),
         _same_as(warehouse.table("title_wikidata_links").where(mine), warehouse.table("wikidata_entities")),
-        _edges(values, "out", F.col("predicate"), F.col("text"), F.col("text")),
+        _edges(not_null(values, "text"), "out", F.col("predicate"), F.col("text"), F.col("text")),
     ]
     return order_neighbors(reduce(DataFrame.unionByName, branches).distinct())
 
@@ -82,7 +79,7 @@ def person_neighbors(warehouse: Tables, imdb_name_id: str) -> DataFrame:
     mine = F.col("imdb_name_id") == imdb_name_id
     branches = [
         _credit_edges(
-            warehouse.table("credits").where(mine), warehouse.table("titles"), "imdb_id", "primary_title", "in"
+            warehouse.ordered("credits", "imdb_name_id").where(mine), warehouse.table("titles"), "imdb_id", "primary_title", "in"
         ),
         _same_as(warehouse.table("person_wikidata_links").where(mine), warehouse.table("wikidata_entities")),
     ]
@@ -111,9 +108,10 @@ def shared_titles(pairs: DataFrame, title: str, person: str) -> DataFrame:
 def collaborations(warehouse: Tables, person_id: str) -> DataFrame:
     """People who share titles with a person, and how many."""
     credits = warehouse.table("credits").select("imdb_id", "imdb_name_id")
-    base = credits.where(F.col("imdb_name_id") == person_id).select("imdb_id").distinct()
-    others = credits.where(F.col("imdb_name_id") != person_id)
-    counts = shared_titles(anchored_join(others, base, "imdb_id", "left_semi"), "imdb_id", "imdb_name_id")
+    own = warehouse.ordered("credits", "imdb_name_id").where(F.col("imdb_name_id") == person_id)
+    base = own.select("imdb_id").distinct()
+    others = credits.where(other_than(F.col("imdb_name_id"), person_id))
+    counts = shared_titles(others.join(base, "imdb_id", "left_semi"), "imdb_id", "imdb_name_id")
     named = counts.join(warehouse.table("people").select("imdb_name_id", "primary_name"), "imdb_name_id")
     return order_collaborators(
         named.select(
@@ -126,17 +124,22 @@ def _names(triples: DataFrame, vocab: Vocabulary, key: str) -> DataFrame:
     return triples.where(F.col("p") == vocab.predicate("name")).select(F.col("s").alias(key), F.col("o").alias("name"))
 
 
-def neighbors_from_triples(triples: DataFrame, entity_id: str, vocab: Vocabulary | None = None) -> DataFrame:
-    """Edges from and to any entity whose other end is a named title, person or entity."""
+def neighbors_from_triples(
+    triples: DataFrame, entity_id: str, vocab: Vocabulary | None = None, by_object: DataFrame | None = None
+) -> DataFrame:
+    """Edges from and to any entity whose other end is a named title, person or entity.
+
+    ``by_object`` is the copy of the node edges that is laid out by object, if there is one.
+    """
     vocab = vocab or Vocabulary()
     iri = vocab.node(entity_id)
     is_edge = F.col("o_kind") == "iri"
     out = triples.where((F.col("s") == iri) & is_edge & vocab.named_node_filter(F.col("o")))
-    inward = triples.where((F.col("o") == iri) & is_edge & vocab.named_node_filter(F.col("s")))
+    inward = (triples if by_object is None else by_object).where((F.col("o") == iri) & is_edge & vocab.named_node_filter(F.col("s")))
     edges = out.select(F.lit("out").alias("direction"), F.col("p"), F.col("o").alias("node")).unionByName(
         inward.select(F.lit("in").alias("direction"), F.col("p"), F.col("s").alias("node"))
     )
-    named = anchored_join(_names(triples, vocab, "node"), edges, "node").orderBy("direction", "p", "name", "node")
+    named = _names(triples, vocab, "node").join(edges, "node").orderBy("direction", "p", "name", "node")
     return named.select(
         "direction",
         last_segment(F.col("p")).alias("predicate"),
@@ -148,7 +151,7 @@ def neighbors_from_triples(triples: DataFrame, entity_id: str, vocab: Vocabulary
 def collaborations_from_triples(triples: DataFrame, person_id: str, vocab: Vocabulary | None = None) -> DataFrame:
     vocab = vocab or Vocabulary()
     counts = _shared_in_triples(triples, vocab.node(person_id), vocab)
-    people = counts.where(F.col("other").startswith(vocab.person_base))
+    people = counts.where(iri_startswith(F.col("other"), vocab.person_base))
     return people.orderBy(F.desc("shared"), "name", "other").select(
         last_segment(F.col("other")).alias("person_id"),
         F.col("name").alias("person_name"),
@@ -162,7 +165,7 @@ def _shared_in_triples(triples: DataFrame, iri: str, vocab: Vocabulary) -> DataF
         F.col("s").alias("title"), F.col("o").alias("other")
     )
     base = cast.where(F.col("other") == iri).select("title").distinct()
-    both = anchored_join(cast.where(F.col("other") != iri), base, "title", "left_semi")
+    both = cast.where(F.col("other") != iri).join(base, "title", "left_semi")
     counts = shared_titles(both, "title", "other").withColumnRenamed("shared_titles", "shared")
     return counts.join(_names(triples, vocab, "other"), "other")
 
@@ -183,7 +186,6 @@ def director_filmography(triples: DataFrame, person_id: str, vocab: Vocabulary |
             ("?film", vocab.predicate("director"), vocab.node(person_id)),
             ("?film", vocab.predicate("name"), "?title"),
         ],
-        anchored=True,
     )
     return gp.select(gp.order_by(films, "title", "film"), "film", "title")
 
@@ -197,11 +199,10 @@ def directed_films(triples: DataFrame, person_id: str, vocab: Vocabulary | None
             ("?title", vocab.predicate("director"), vocab.node(person_id)),
             ("?title", vocab.predicate("name"), "?titleName"),
         ],
-        anchored=True,
     )
     films = gp.bind(films, "titleId", gp.literal_term(F.regexp_replace(gp.value("title"), "^.*/title/", "")))
     for predicate, name in (("datePublished", "?year"), ("averageRating", "?rating")):
-        films = gp.optional(films, triples, [("?title", vocab.predicate(predicate), name)], anchored=True)
+        films = gp.optional(films, triples, [("?title", vocab.predicate(predicate), name)])
     return gp.select(gp.order_by(films, "year", "titleName", "titleId"), "titleId", "titleName", "year", "rating")
 
 

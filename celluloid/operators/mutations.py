@@ -120,7 +120,7 @@ def replace_children(
     order: Sequence[str],
 ) -> DataFrame:
     """Drop all existing rows of the batch's parents, then add the batch, last row per key."""
-    kept = existing.join(parents.select(parent).distinct(), parent, "left_anti").select(*existing.columns)
+    kept = existing.join(parents.select(parent), parent, "left_anti").select(*existing.columns)
     return kept.unionByName(upsert(None, incoming, keys, order))
 
 
@@ -133,23 +133,25 @@ def upsert_links(
 ) -> tuple[DataFrame, DataFrame]:
     """One-to-one links: (links, rejects).
 
-    A remote id keeps its first local id; statements that give it another one are rejects. Of the
-    remaining statements of a local id the last one wins.
+    Of the statements of a local id the last one counts. When several local ids then claim one remote
+    id, the first of them keeps it and the others are rejects: a remote id that its local id has
+    given up is free again.
     """
-    stacked = _stack(existing, incoming, order)
-    owner = stacked.groupBy(remote).agg(F.min_by(F.col(local), F.col("_at")).alias("_owner"))
-    judged = stacked.join(owner, remote)
-    fits = F.col(local) == F.col("_owner")
-    rest = [c for c in stacked.columns if c not in (local, "_at")]
-    links = judged.where(fits).groupBy(local).agg(F.max_by(F.struct(*rest), F.col("_at")).alias("_row"))
     columns = [c for c in incoming.columns if c not in order]
-    return links.select(local, "_row.*").select(*columns), judged.where(~fits).select(*columns)
+    rest = [c for c in columns if c != local]
+    stacked = _stack(existing, incoming, order)
+    last = stacked.groupBy(local).agg(F.max_by(F.struct(*rest, "_at"), F.col("_at")).alias("_row")).select(local, "_row.*")
+    # both sums combine on the map side, so a remote id that many claim is one row per task
+    others = [c for c in columns if c != remote]
+    kept = last.groupBy(remote).agg(F.min_by(F.struct(*others), F.col("_at")).alias("_row")).select(remote, "_row.*")
+    rejects = last.join(kept.select(local), local, "left_anti")
+    return kept.select(*columns), rejects.select(*columns)
 
 
 def clear_subject_claims(claims: DataFrame, subjects: DataFrame) -> DataFrame:
     """Claims without those of the given subjects."""
     key = "subject_wikidata_id"
-    return claims.join(subjects.select(key).distinct(), key, "left_anti").select(*claims.columns)
+    return claims.join(subjects.select(key), key, "left_anti").select(*claims.columns)
 
 
 def apply_outcome(queue: DataFrame, outcome: DataFrame) -> DataFrame:

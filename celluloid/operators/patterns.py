@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celluloid.operators.skew import anchored_join
 
 
 @dataclass(frozen=True)
@@ -69,28 +68,17 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, _shared(left, right), how)
 
 
-def _near(rows: DataFrame, anchor: DataFrame) -> DataFrame:
-    """Rows that share their variables with the bindings around one entity, without a shuffle of the rows."""
-    shared = _shared(anchor, rows)
-    return anchored_join(rows, anchor.select(*shared).distinct(), shared, "left_semi")
-
-
-def match(triples: DataFrame, patterns: Sequence, anchored: bool = False) -> DataFrame:
+def match(triples: DataFrame, patterns: Sequence) -> DataFrame:
     """All patterns at once, joined on shared variables in the given order.
 
-    ``anchored`` says that the first pattern is about one entity: its bindings are counted, and if
-    they are few, later patterns are cut down to them before they are joined.
+    The joins are plain: adaptive execution broadcasts a side once it has measured it as small.
     """
-    scans = [_scan(triples, p) for p in patterns]
-    if not anchored:
-        return reduce(natural_join, scans)
-    return reduce(lambda found, scan: natural_join(found, _near(scan, found)), scans)
+    return reduce(natural_join, [_scan(triples, p) for p in patterns])
 
 
-def optional(bindings: DataFrame, triples: DataFrame, patterns: Sequence, anchored: bool = False) -> DataFrame:
+def optional(bindings: DataFrame, triples: DataFrame, patterns: Sequence) -> DataFrame:
     """Extend bindings where the patterns match; keep the others with unbound variables."""
-    found = match(triples, patterns)
-    return natural_join(bindings, _near(found, bindings) if anchored else found, "left")
+    return natural_join(bindings, match(triples, patterns), "left")
 
 
 def union(*bindings: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from celluloid.functions.text import split_ids
+
 
 def tag(df: DataFrame, **constants) -> DataFrame:
     """Add constant columns."""
@@ -40,12 +42,12 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return best.select(*keys, "_row.*").select(*df.columns)
 
 
-def hydrate(hits: DataFrame, records: DataFrame, key: str) -> DataFrame:
+def hydrate(hits: DataFrame, records: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Ranked ids to records: rank order is kept, ids without a record are dropped.
 
-    ``hits`` is a top-k result, so its size is bounded by k.
+    ``limit`` is the bound of a top-k result, which is then broadcast; all hits are joined plainly.
     """
-    return F.broadcast(hits).join(records, key, "inner").orderBy(F.desc("score"), key)
+    return (hits if limit is None else F.broadcast(hits)).join(records, key, "inner").orderBy(F.desc("score"), key)
 
 
 def gate(df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -63,7 +65,7 @@ def gate(df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFr
 def explode_ids(df: DataFrame, col: str, out: str) -> DataFrame:
     """Comma list to rows with a 1-based ``ordering``; null lists give no rows."""
     rest = [c for c in df.columns if c != col]
-    parts = df.select(*rest, F.posexplode(F.split(F.col(col), ",")).alias("_pos", out))
+    parts = df.select(*rest, F.posexplode(split_ids(F.col(col))).alias("_pos", out))
     return parts.select(*rest, out, (F.col("_pos") + 1).cast("bigint").alias("ordering"))
 
 

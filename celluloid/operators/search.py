@@ -1,9 +1,9 @@
 """Full-text search: documents, postings and BM25-ranked top-k.
 
-The index is a table of token occurrences (term, id, field, part, pos, len), clustered by term on
-disk. A query reads only the row groups of its terms. A document's context is indexed part by part
-(one part per credited name), so that a title with a very long cast is never one row or one task
-while the index is built.
+The index holds term frequencies (term, field, id, tf, len), token positions for phrases, and document
+frequencies, each cut by range of the term on disk: a query reads the files and row groups of its
+terms and counts nothing again. A document's context is indexed part by part (one part per credited
+name), so that a title with a very long cast is never one row or one task while the index is built.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from celluloid.functions.text import join_present, query_terms, tokens
 from celluloid.operators.lookup import PERSON_RECORD, TITLE_RECORD
 from celluloid.operators.relational import concat_distinct, hydrate
-from celluloid.operators.skew import salted_join
 
 # BM25 constants and the searched fields.
 K1 = 1.2
@@ -28,7 +27,7 @@ FIELDS = ("name", "alt_name", "context")
 def _credited(credits: DataFrame, others: DataFrame, doc: str, other: str, name: str, out: str) -> DataFrame:
     """Distinct (document id, credited name) pairs; repeats collapse before each shuffle."""
     pairs = credits.select(doc, other).distinct()
-    named = salted_join(pairs, others.select(other, F.col(name).alias(out)), other)
+    named = pairs.join(others.select(other, F.col(name).alias(out)), other)
     return named.select(doc, out).distinct()
 
 
@@ -118,75 +117,89 @@ def text_parts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return _part(df, doc_id, "name", F.col(text)).withColumn("id", F.col("id").cast("string"))
 
 
-def build_postings(parts: DataFrame, split_fields: Sequence[str] = ("context",)) -> DataFrame:
-    """Token occurrences (term, id, field, part, pos, len).
+def _placed(parts: DataFrame) -> DataFrame:
+    return parts.where(F.col("text").isNotNull()).select("id", "field", "part", tokens(F.col("text")).alias("words"))
 
-    ``len`` is the number of tokens of the whole field. Fields kept in one part have it at hand;
-    those in ``split_fields`` sum it over their parts.
-    """
-    placed = parts.where(F.col("text").isNotNull()).select("id", "field", "part", tokens(F.col("text")).alias("words"))
-    placed = placed.withColumn("len", F.size("words").cast("bigint"))
-    split = F.col("field").isin(list(split_fields))
-    whole, pieces = placed.where(~split), placed.where(split)
-    lengths = pieces.groupBy("id", "field").agg(F.sum("len").alias("len"))
-    pieces = pieces.drop("len").join(lengths, ["id", "field"])
-    columns = ("id", "field", "part", "len", "words")
-    rows = whole.select(*columns).unionByName(pieces.select(*columns)) if split_fields else whole.select(*columns)
-    return rows.select("id", "field", "part", "len", F.explode("words").alias("w")).select(
-        F.col("w.term").alias("term"), "id", "field", "part", F.col("w.pos").cast("bigint").alias("pos"), "len"
+
+def build_positions(parts: DataFrame) -> DataFrame:
+    """Token occurrences (term, id, field, part, pos)."""
+    return _placed(parts).select("id", "field", "part", F.explode("words").alias("w")).select(
+        F.col("w.term").alias("term"), "id", "field", "part", F.col("w.pos").cast("bigint").alias("pos")
     )
 
 
+def build_postings(parts: DataFrame) -> DataFrame:
+    """(term, field, id, tf, len): occurrences of a term in a field of a document, and the field's tokens.
+
+    Both are counted before they are shuffled. The lengths are joined between plain shuffles, so
+    adaptive execution can split a document with very many terms.
+    """
+    lengths = _placed(parts).groupBy("id", "field").agg(F.sum(F.size("words")).cast("bigint").alias("len"))
+    counted = build_positions(parts).groupBy("id", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.join(lengths, ["id", "field"]).select("term", "field", "id", "tf", "len")
+
+
 class SearchIndex:
-    """Postings with the number of documents and the token total per field."""
+    """Postings with term frequencies, positions for phrases, document frequencies, totals per field."""
 
-    def __init__(self, postings: DataFrame, documents: DataFrame, totals: DataFrame | None = None):
+    def __init__(
+        self,
+        postings: DataFrame,
+        positions: DataFrame,
+        documents: DataFrame,
+        frequencies: DataFrame | None = None,
+        totals: DataFrame | None = None,
+    ):
         self.postings = postings
+        self.positions = positions
         self.documents = documents
+        self._frequencies = frequencies
         self._totals = totals
 
     @classmethod
-    def build(cls, parts: DataFrame, documents: DataFrame, split_fields: Sequence[str] = ("context",)) -> SearchIndex:
+    def build(cls, parts: DataFrame, documents: DataFrame) -> SearchIndex:
         """``documents`` has one row per document and a column ``id``."""
-        return cls(build_postings(parts, split_fields), documents.select(F.col("id").cast("string").alias("id")))
+        ids = documents.select(F.col("id").cast("string").alias("id"))
+        return cls(build_postings(parts), build_positions(parts), ids)
 
     def field_totals(self) -> DataFrame:
         """(field, n_docs, avg_len), at most one row per field; avg_len is over all documents."""
         if self._totals is not None:
             return self._totals
         n_docs = self.documents.agg(F.count(F.lit(1)).alias("n_docs")).scalar()
-        totals = self.postings.groupBy("field").agg(F.count(F.lit(1)).alias("n_tokens"))
+        totals = self.postings.groupBy("field").agg(F.sum("tf").alias("n_tokens"))
         return totals.select(
             "field", n_docs.alias("n_docs"), (F.col("n_tokens") / n_docs).alias("avg_len")
         )
 
     def term_stats(self) -> DataFrame:
         """(field, term, doc_freq) of the whole index."""
-        return self.postings.groupBy("field", "term", "id").agg(F.lit(1)).groupBy("field", "term").agg(
-            F.count(F.lit(1)).alias("doc_freq")
-        )
+        if self._frequencies is not None:
+            return self._frequencies
+        return self.postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
     def stats(self) -> DataFrame:
         """Number of indexed documents."""
         return self.documents.agg(F.count(F.lit(1)).alias("indexed"))
 
     def save(self, path: str) -> SearchIndex:
-        """Drop and rebuild on disk, clustered by term so that a query reads few row groups."""
+        """Drop and rebuild on disk. Tables are cut by range of the term, so that a file's footer tells which
+        terms it can hold; frequent terms are cut by field and id."""
         order = ("term", "field", "id")
-        # frequent terms are split over files of an even size
-        even = self.postings.hint("rebalance", "term").sortWithinPartitions(*order, "part", "pos")
-        even.write.mode("overwrite").parquet(f"{path}/postings")
+        for name, df, more in (("postings", self.postings, ()), ("positions", self.positions, ("part", "pos"))):
+            df.repartitionByRange(*order).sortWithinPartitions(*order, *more).write.mode("overwrite").parquet(f"{path}/{name}")
         self.documents.write.mode("overwrite").parquet(f"{path}/documents")
         spark = self.postings.sparkSession
-        stored = SearchIndex.load(spark, path, totals=False)
+        stored = SearchIndex(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "positions", "documents")))
+        terms = stored.term_stats().repartitionByRange("term", "field").sortWithinPartitions("term", "field")
+        terms.write.mode("overwrite").parquet(f"{path}/frequencies")
         stored.field_totals().write.mode("overwrite").parquet(f"{path}/totals")
         return SearchIndex.load(spark, path)
 
     @classmethod
-    def load(cls, spark, path: str, totals: bool = True) -> SearchIndex:
-        postings = spark.read.parquet(f"{path}/postings")
-        documents = spark.read.parquet(f"{path}/documents")
-        return cls(postings, documents, spark.read.parquet(f"{path}/totals") if totals else None)
+    def load(cls, spark, path: str) -> SearchIndex:
+        names = ("postings", "positions", "documents", "frequencies", "totals")
+        return cls(*(spark.read.parquet(f"{path}/{name}") for name in names))
 
     def search(
         self,
@@ -211,7 +224,7 @@ class SearchIndex:
         if words:
             scored.append(self._term_scores(hits, words, boosts))
         if run:
-            scored.append(self._phrase_scores(hits, run, boosts))
+            scored.append(self._phrase_scores(hits, list(fields), run, boosts))
         if not scored:
             raise ValueError("a search needs terms or a phrase")
         columns = ("id", "clause", "score")
@@ -231,36 +244,35 @@ class SearchIndex:
         ranked = docs.select("id", "score")
         return ranked.orderBy(F.desc("score"), "id").limit(k) if k is not None else ranked
 
+    def _weights(self, words: list[str]) -> DataFrame:
+        """One row per (query term, field), bounded by the query: safe to broadcast."""
+        freq = self.term_stats().where(F.col("term").isin(words))
+        return freq.join(F.broadcast(self.field_totals()), "field").withColumn("idf", _idf())
+
     def _term_scores(self, hits: DataFrame, words: list[str], boosts) -> DataFrame:
-        matched = hits.where(F.col("term").isin(words))
-        counted = matched.groupBy("id", "field", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
-        # one row per (query term, field): bounded by the query, safe to broadcast
-        freq = counted.groupBy("field", "term").agg(F.count(F.lit(1)).alias("doc_freq"))
-        weights = freq.join(F.broadcast(self.field_totals()), "field").withColumn("idf", _idf())
-        scored = counted.join(F.broadcast(weights), ["field", "term"])
+        scored = hits.where(F.col("term").isin(words)).join(F.broadcast(self._weights(words)), ["field", "term"])
         return scored.select("id", F.col("term").alias("clause"), _bm25(boosts).alias("score"))
 
-    def _phrase_scores(self, hits: DataFrame, run: list[str], boosts) -> DataFrame:
+    def _phrase_scores(self, hits: DataFrame, fields: list[str], run: list[str], boosts) -> DataFrame:
         offsets = F.create_map(
             *[x for t in dict.fromkeys(run) for x in (F.lit(t), F.array(*[F.lit(i) for i, w in enumerate(run) if w == t]))]
         )
-        matched = hits.where(F.col("term").isin(run))
+        matched = self.positions.where(F.col("field").isin(fields) & F.col("term").isin(run))
         starts = matched.select(
-            "id", "field", "part", "len", "pos", F.explode(F.try_element_at(offsets, F.col("term"))).alias("offset")
+            "id", "field", "part", "pos", F.explode(F.try_element_at(offsets, F.col("term"))).alias("offset")
         )
         # occurrences that belong to the same start of the phrase; all of its offsets must be there
         runs = (
-            starts.groupBy("id", "field", "part", "len", (F.col("pos") - F.col("offset")).alias("start"))
+            starts.groupBy("id", "field", "part", (F.col("pos") - F.col("offset")).alias("start"))
             .agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") == len(run))
         )
-        counted = runs.groupBy("id", "field").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
-        docs = matched.groupBy("field", "term", "id").agg(F.lit(1)).groupBy("field", "term")
-        freq = docs.agg(F.count(F.lit(1)).alias("doc_freq"))
+        counted = runs.groupBy("id", "field").agg(F.count(F.lit(1)).alias("tf"))
+        counted = counted.join(hits.where(F.col("term") == run[0]).select("id", "field", "len"), ["id", "field"])
         times = F.create_map(*[x for t in dict.fromkeys(run) for x in (F.lit(t), F.lit(run.count(t)))])
         weights = (
-            freq.join(F.broadcast(self.field_totals()), "field")
-            .withColumn("idf", _idf() * F.try_element_at(times, F.col("term")))
+            self._weights(run)
+            .withColumn("idf", F.col("idf") * F.try_element_at(times, F.col("term")))
             .groupBy("field")
             .agg(F.sum("idf").alias("idf"), F.first("avg_len").alias("avg_len"))
         )
@@ -288,10 +300,10 @@ def _bm25(boosts: Mapping[str, float] | None) -> Column:
 def search_titles(index: SearchIndex, titles: DataFrame, query: str, limit: int = 10, operator: str = "all") -> DataFrame:
     """Ranked titles with their records."""
     hits = index.search(query, operator, k=limit).withColumnRenamed("id", "imdb_id")
-    return hydrate(hits, titles.select(*TITLE_RECORD), "imdb_id")
+    return hydrate(hits, titles.select(*TITLE_RECORD), "imdb_id", limit)
 
 
 def search_people(index: SearchIndex, people: DataFrame, query: str, limit: int = 10, operator: str = "all") -> DataFrame:
     """Ranked people with their records."""
     hits = index.search(query, operator, k=limit).withColumnRenamed("id", "imdb_name_id")
-    return hydrate(hits, people.select(*PERSON_RECORD), "imdb_name_id")
+    return hydrate(hits, people.select(*PERSON_RECORD), "imdb_name_id", limit)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from celluloid.functions.iri import Vocabulary
 from celluloid.functions.text import role_predicate
-from celluloid.operators.skew import salted_join
 from celluloid.schema import RDF_TYPE, ROLES
 from celluloid.sources.warehouse import Tables
 
@@ -208,7 +207,7 @@ def claim_rows(warehouse: Tables) -> DataFrame:
         F.col("wikidata_id").alias("value_wikidata_id"), F.col("label").alias("value_wikidata_label")
     )
     # a common value, such as one language, may be that of a third of all claims
-    return salted_join(owned, labels, "value_wikidata_id", "left")
+    return owned.join(labels, "value_wikidata_id", "left")
 
 
 def _local_iri(vocab: Vocabulary) -> Column:

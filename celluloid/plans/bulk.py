@@ -114,15 +114,40 @@ def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, war
     return counters
 
 
+def landed_datasets(spark: SparkSession, landing_dir: str, suffix: str = ".tsv.gz") -> DataFrame:
+    """(path, name, sha256, byte_len) of the datasets in a landing folder; a folder of parts is known by
+    the hashes of its parts in their order."""
+    names = [f"{dataset}{suffix}" for dataset, _ in IMPORT_ORDER]
+    known = "|".join(n.replace(".", "[.]") for n in names)
+    files = artifact_manifest(spark, f"{landing_dir.rstrip('/')}/*{suffix}")
+    within = F.regexp_extract("path", rf"^(.*/({known}))(?:/[^/]+)?$", 0)
+    files = files.where(within != "").select(
+        F.regexp_extract("path", rf"^(.*/(?:{known}))(?:/[^/]+)?$", 1).alias("of"), "path", "sha256", "byte_len"
+    )
+    parts = files.groupBy("of").agg(
+        F.array_sort(F.collect_list(F.struct("path", "sha256"))).alias("parts"), F.sum("byte_len").alias("byte_len")
+    )
+    joined = F.sha2(F.concat_ws(" ", F.col("parts.sha256")), 256)
+    one = (F.size("parts") == 1) & (F.col("parts")[0]["path"] == F.col("of"))
+    return parts.select(
+        F.col("of").alias("path"),
+        F.substring_index("of", "/", -1).alias("name"),
+        F.when(one, F.col("parts")[0]["sha256"]).otherwise(joined).alias("sha256"),
+        "byte_len",
+    )
+
+
 def import_bulk(
     spark: SparkSession, landing_dir: str, warehouse: Warehouse, suffix: str = ".tsv.gz", force: bool = False
 ) -> dict[str, dict[str, int]]:
-    """Import all landed datasets in dependency order; an artifact already imported is skipped."""
+    """Import all landed datasets in dependency order; an artifact already imported is skipped.
+
+    A dataset is a file ``<name><suffix>`` or a folder of that name with parts, each with its header.
+    """
     log = RunLog(warehouse, IMPORTER, VERSION)
-    landed = artifact_manifest(spark, f"{landing_dir.rstrip('/')}/*{suffix}")
-    by_name = {r["name"]: r["path"] for r in landed.select("name", "path").collect()}
-    names = [f"{dataset}{suffix}" for dataset, _ in IMPORT_ORDER]
-    artifact_ids = log.register("imdb", landed.where(F.col("name").isin(names)))
+    landed = landed_datasets(spark, landing_dir, suffix)
+    by_name = {r["name"]: r["path"] for r in landed.select("name", "path").collect()}  # seven at most
+    artifact_ids = log.register("imdb", landed)
     results: dict[str, dict[str, int]] = {}
     for dataset, table in IMPORT_ORDER:
         name = f"{dataset}{suffix}"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from celluloid.operators.mutations import insert_ignore, upsert, upsert_columns
 from celluloid.operators.relational import latest_by
 from celluloid.schema import TABLES
+from celluloid.session import scratch_path
 from celluloid.sources.warehouse import Tables
 
 RUN_KEY = TABLES["import_runs"].key
@@ -141,6 +142,10 @@ class RunLog:
         The driver gets one number per landed dataset.
         """
         wh = self.warehouse
+        # files are hashed once, however often the manifest is read below
+        at = scratch_path(wh.spark, "manifest")
+        landed.write.parquet(at)
+        landed = wh.spark.read.parquet(at)
         named = landed.select(
             F.lit(source).alias("source"), F.col("name").alias("dataset_name"), F.col("path").alias("canonical_url")
         )

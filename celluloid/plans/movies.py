@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from celluloid.functions.parse import stamped
 from celluloid.operators.claims import explode_credits, external_id, movie_rows
 from celluloid.operators.mutations import apply_outcome, replace_children, upsert, upsert_columns, upsert_links
 from celluloid.operators.relational import top_pending, when_flag
@@ -79,7 +80,7 @@ def hydrate_tables(
     ``failures`` (export_artifact_id, tmdb_movie_id, error) those that could not be had.
     Also returns ``link_rejects``: links that would give a movie a second title.
     """
-    movies = movie_rows(details).withColumn("hydrated_at", F.current_timestamp())
+    movies = stamped(movie_rows(details), "hydrated_at")
     credits = explode_credits(details)
     at = [*ORDER, "_pos"]
     credit_columns = TABLES["tmdb_movie_credits"].names

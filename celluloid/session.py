@@ -30,22 +30,21 @@ def build_session(app: str = "celluloid", master: str | None = None, **conf: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where it is unset (tests, a laptop) a temporary folder is taken and remembered in the
-    session, so that one session keeps to one folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("celluloid.scratch", None)
+    """The shared folder that ``spark.checkpoint.dir`` names, or else ``celluloid.scratch``; without
+    either nothing is written."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("celluloid.scratch", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="celluloid-")
-        spark.conf.set("celluloid.scratch", root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return root.rstrip("/")
 
 
+def own_scratch(spark: SparkSession) -> None:
+    """For runs on one machine, such as tests: names a new folder where the session names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("celluloid.scratch", None)
+    if not named and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set("celluloid.scratch", tempfile.mkdtemp(prefix="celluloid-"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so that a rerun cannot read old files."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -2,34 +2,51 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from datetime import date
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celluloid.functions.parse import snapshot_name
 
-# One array cell cannot exceed 2 GiB, so larger files cannot be hashed from their content.
-CONTENT_LIMIT = 2**31 - 16
+CHUNK = 8 << 20  # bytes of a file that are held at a time
 
 
 def artifact_manifest(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, name, sha256, byte_len) of landed files.
+    """(path, name, sha256, byte_len) of landed files, whatever their size.
 
-    Files of 2 GiB and more are identified by name, size and modification time instead of content;
-    their bytes are not read. The content of smaller files never leaves the executors.
+    The file source lists the paths without reading any content; each file is then read as a stream by
+    one task, which keeps a running hash. The source leaves out empty files.
     """
-    name = F.substring_index("path", "/", -1)
-    base = ("path", name.alias("name"))
-    files = spark.read.format("binaryFile").load(glob)
-    small = files.where(F.col("length") < CONTENT_LIMIT).select(
-        *base, F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_len")
-    )
-    stamp = F.concat_ws(":", name, F.col("length").cast("string"), F.col("modificationTime").cast("string"))
-    large = files.where(F.col("length") >= CONTENT_LIMIT).select(
-        *base, F.sha2(stamp, 256).alias("sha256"), F.col("length").alias("byte_len")
-    )
-    return small.unionByName(large)
+    files = spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("byte_len"))
+    size = CHUNK
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for path in batch.column("path").to_pylist():
+                system, plain = _opened(path)
+                running = hashlib.sha256()
+                with system.open_input_stream(plain, compression=None) as file:
+                    while chunk := file.read(size):
+                        running.update(chunk)
+                made.append(running.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["path", "byte_len", "sha256"])
+
+    hashed = files.repartition("path").mapInArrow(hashes, "path string, byte_len long, sha256 string")
+    return hashed.select("path", F.substring_index("path", "/", -1).alias("name"), "sha256", "byte_len")
+
+
+def _opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and plain path of a listed file; the source lists paths percent-encoded."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), unquote("/" + uri.removeprefix("file:").lstrip("/"))
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1)) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 def snapshot_candidates(spark: SparkSession, day: date, days_back: int) -> DataFrame:

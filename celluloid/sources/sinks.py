@@ -36,10 +36,23 @@ def write_nquads(triples: DataFrame, path: str) -> None:
 def save_triples(triples: DataFrame, path: str) -> None:
     """One folder per predicate, sorted by subject: patterns read the folders of their predicates.
 
-    Rebalancing splits frequent predicates into files of an even size and merges rare ones.
+    The rows are cut by range of (p, s, o): frequent predicates get several files, each with a range of
+    subjects that its footer tells.
     """
-    even = triples.hint("rebalance", "p").sortWithinPartitions("p", "s", "o")
+    even = triples.repartitionByRange("p", "s", "o").sortWithinPartitions("p", "s", "o")
     even.write.mode("overwrite").partitionBy("p").parquet(path)
+    edges = load_triples(triples.sparkSession, path).where(F.col("o_kind") == "iri")
+    edges = edges.repartitionByRange("o", "p", "s").sortWithinPartitions("o", "p", "s")
+    edges.write.mode("overwrite").parquet(_by_object(path))
+
+
+def _by_object(path: str) -> str:
+    return f"{path.rstrip('/')}-by-object"
+
+
+def load_edges_by_object(spark: SparkSession, path: str) -> DataFrame:
+    """Triples whose object is a node, laid out by object, of the triples saved at ``path``."""
+    return spark.read.schema(TRIPLE_SCHEMA).parquet(_by_object(path)).select(*TRIPLE_SCHEMA.names)
 
 
 def load_triples(spark: SparkSession, path: str) -> DataFrame:

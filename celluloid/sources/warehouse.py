@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from celluloid.schema import STATS_NAMES, TABLES, table_schema
 
 
+# Tables that are also kept in the order of another id column.
+COPIES = {"credits": ("imdb_name_id",)}
+
+
 class Tables:
     """Warehouse view over DataFrames held by name; a missing table is empty."""
 
@@ -27,6 +31,11 @@ class Tables:
             return self._frames[name]
         return self.spark.createDataFrame([], table_schema(name))
 
+    def ordered(self, name: str, column: str) -> DataFrame:
+        """The table laid out by one of its other id columns, where there is such a copy."""
+        copy = f"{name}-by-{column}"
+        return self._frames[copy] if copy in self._frames else self.table(name)
+
     def with_tables(self, **frames: DataFrame) -> Tables:
         return Tables(self.spark, {**self._frames, **frames})
 
@@ -62,11 +71,23 @@ class Warehouse(Tables):
         spec = TABLES[name]
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
         sort = list(spec.sort)
-        # rebalancing cuts output of one size: small pieces are merged, those of a hot id are split
-        even = rows.hint("rebalance", sort[0])
+        # by range, so that a file's footer tells which ids it can hold; rows of a hot id are cut by the other keys
+        even = rows.repartitionByRange(*sort)
         folder = self._folder(name, self.version(name) + 1)
         even.sortWithinPartitions(*sort).write.mode("overwrite").parquet(folder)
-        return self.table(name)
+        saved = self.table(name)
+        for column in COPIES.get(name, ()):
+            # made from the saved files, under the same number; until it is there, readers take the table
+            order = (column, *(c for c in sort if c != column))
+            rows = saved.repartitionByRange(*order).sortWithinPartitions(*order)
+            rows.write.mode("overwrite").parquet(self._folder(f"{name}-by-{column}", self.version(name)))
+        return saved
+
+    def ordered(self, name: str, column: str) -> DataFrame:
+        version = self.version(name)
+        if not version or self.version(f"{name}-by-{column}") != version:
+            return self.table(name)
+        return self.spark.read.schema(table_schema(name)).parquet(self._folder(f"{name}-by-{column}", version))
 
 
 def warehouse_stats(warehouse: Tables, names: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from celluloid.operators import mutations as m
 from celluloid.operators.relational import explode_ids, gate
-from celluloid.operators.skew import hot_keys, salted_join
 from conftest import rows_of
 
 SCHEMA = "k string, n bigint, a string, b string, at bigint"
@@ -96,11 +95,29 @@ def test_replace_children_also_clears_parents_without_rows(spark):
     assert sorted(rows_of(got)) == [(1, "a", "z"), (2, "a", "x")]
 
 
-def test_links_keep_one_local_per_remote_and_the_last_remote_per_local(spark):
-    said = [("t1", "Q1", 1), ("t2", "Q1", 2), ("t1", "Q2", 3), ("t3", "Q3", 4), ("t1", "Q3", 5)]
+def test_links_last_remote_per_local_then_first_local_per_remote(spark):
+    said = [("t1", "Q1", 1), ("t2", "Q1", 2), ("t1", "Q2", 3), ("t3", "Q3", 4), ("t4", "Q3", 5)]
     links, rejects = m.upsert_links(None, spark.createDataFrame(said, "l string, r string, at int"), "l", "r", ["at"])
-    assert sorted(rows_of(links)) == [("t1", "Q2"), ("t3", "Q3")]
-    assert sorted(rows_of(rejects)) == [("t1", "Q3"), ("t2", "Q1")]
+    assert sorted(rows_of(links)) == [("t1", "Q2"), ("t2", "Q1"), ("t3", "Q3")]
+    assert sorted(rows_of(rejects)) == [("t4", "Q3")]
+
+
+def test_moved_links_match_statement_replay(spark):
+    """Statements that a table with both ids unique accepts one by one, over several batches."""
+    rng = random.Random(11)
+    table, existing = {}, None
+    moved = [[("L1", "R1"), ("L1", "R2"), ("L2", "R1")]]
+    for batch in [*moved, *([] for _ in range(4))]:
+        while len(batch) < 40:
+            batch.append((f"L{rng.randint(1, 12)}", f"R{rng.randint(1, 15)}"))
+        accepted = []
+        for local, remote in batch:
+            if remote not in table.values() or table.get(local) == remote:
+                table[local] = remote
+                accepted.append((local, remote, len(accepted)))
+        links, rejects = m.upsert_links(existing, spark.createDataFrame(accepted, "l string, r string, at int"), "l", "r", ["at"])
+        assert rejects.count() == 0 and dict(rows_of(links, "l", "r")) == table
+        existing = spark.createDataFrame(sorted(table.items()), "l string, r string")
 
 
 def test_outcome_updates_the_queue(spark, frame):
@@ -128,29 +145,56 @@ def test_clear_subject_claims(spark, frame):
     assert rows_of(left, "subject_wikidata_id") == [("Q2",)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    left = spark.range(2000).selectExpr("case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 40 end as k", "id as v")
-    right = spark.createDataFrame([(7, "a"), (7, "b"), (3, "c"), (None, "n"), (99, "z")], "k bigint, w string")
-    hot = hot_keys(left, ["k"], floor=100)
-    assert len(hot) == 1
-    got = salted_join(left, right, "k", how, floor=100)
-    plain = left.join(right, "k", how)
-    assert got.columns == plain.columns
-    assert sorted(rows_of(got), key=str) == sorted(rows_of(plain), key=str)
-    assert "_salt" in got._jdf.queryExecution().toString()
-
-
-def test_salted_join_on_two_keys(spark):
-    left = spark.range(900).selectExpr("'x' as k", "case when id % 2 = 0 then 1 else id end as j", "id as v")
-    right = spark.createDataFrame([("x", 1, "a"), ("x", 3, "b")], "k string, j bigint, w string")
-    got = salted_join(left, right, ["k", "j"], floor=100)
-    assert sorted(rows_of(got)) == sorted(rows_of(left.join(right, ["k", "j"])))
-
-
-def test_no_salt_without_hot_keys(spark):
-    left = spark.range(50).withColumnRenamed("id", "k")
-    assert hot_keys(left, ["k"]) == []
+def split_plan(spark, df) -> str:
+    """The final plan after running with low thresholds for skewed joins."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        made = df()
+        made.collect()
+        return made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, path):
+    """Rows of which four fifths have one parent, from several files."""
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("case when id % 5 > 0 then 7 else id end as p", "id as k", "uuid() as v", "id as at")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_hot_parent_is_split_when_its_children_are_replaced(spark, tmp_path):
+    rows = hot_rows(spark, str(tmp_path / "rows"))
+    parents = spark.range(0, 30_000, 3).withColumnRenamed("id", "p")
+    empty = rows.limit(0)
+    plan = split_plan(spark, lambda: m.replace_children(rows.drop("at"), empty, parents, "p", ["p", "k"], ["at"]))
+    assert "skew=true" in plan
+
+
+def test_a_hot_subject_is_split_when_its_claims_are_cleared(spark, tmp_path):
+    rows = hot_rows(spark, str(tmp_path / "rows")).withColumnRenamed("p", "subject_wikidata_id")
+    subjects = spark.range(0, 30_000, 3).withColumnRenamed("id", "subject_wikidata_id")
+    assert "skew=true" in split_plan(spark, lambda: m.clear_subject_claims(rows, subjects))
+
+
+def test_a_hot_remote_id_is_summed_before_the_shuffle(spark, tmp_path):
+    rows = hot_rows(spark, str(tmp_path / "rows")).selectExpr("k as l", "p as r", "at")
+    links, rejects = m.upsert_links(None, rows, "l", "r", ["at"])
+    assert links.where("r = 7").collect()[0]["l"] == 1 and rejects.count() == 31_999
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("partial_") >= 2
 
 
 def test_gate_checks_every_reference(spark, frame):

@@ -160,6 +160,15 @@ def test_manifest_hashes_content(spark, tmp_path):
     assert got == [("a.bin", hashlib.sha256(b"hello").hexdigest(), 5)]
 
 
+def test_manifest_reads_files_in_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "CHUNK", 7)
+    contents = {"a b.bin": bytes(range(256)) * 5, "z.bin": b"x" * 7, "c.gz": b"not gzip"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    got = rows_of(manifest.artifact_manifest(spark, str(tmp_path / "*")), "name", "sha256", "byte_len")
+    assert {n.replace("%20", " "): (h, k) for n, h, k in got} == {n: (hashlib.sha256(c).hexdigest(), len(c)) for n, c in contents.items()}
+
+
 def test_snapshot_names_newest_first(spark):
     names = [r["name"] for r in manifest.snapshot_candidates(spark, date(2026, 5, 30), 2).collect()]
     assert names == [f"movie_ids_05_{d}_2026.json.gz" for d in (30, 29, 28)]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from celluloid.llm.common import WORD, ship, staged
 
-BLOCK_ROWS = 20_000  # documents that fly together
+BLOCK_ROWS = 2_000  # documents that fly together
 RESERVE = 64  # documents of a source that are left for the landing
 STARTS = 8
 MAX_REPEATS = 3.0

@@ -7,13 +7,13 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.session import scratch_path
+from celluloid.session import own_scratch, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -22,7 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application, as a zip of its sources."""
+    """Give the Python workers this package, once per application, as a zip of its sources, and batches
+    of fewer rows."""
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default; texts may be long
+        spark.conf.set(ARROW_ROWS, "2000")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -38,6 +41,7 @@ def ship(spark: SparkSession) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared scratch folder and read them back: one evaluation, lineage cut."""
     spark = df.sparkSession
+    own_scratch(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -68,19 +72,42 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for a bounded number of words."""
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-    LIMIT = 400_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def _powers(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
 
-    def array(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
+
+class WordHashes:
+    """64-bit hashes of a text's words, for all words at once: a polynomial over random numbers of the
+    bytes, taken from running sums and shifted back to the word's start (the base is odd, so it has an
+    inverse)."""
+
+    def __init__(self, seed: int = 20_011):
+        random = np.random.default_rng(seed)
+        self.letters = random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.base = int(random.integers(1 << 61, 1 << 62)) * 2 + 1
+        self._lay(1 << 14)
+
+    def _lay(self, size: int) -> None:
+        self.powers, self.inverses = (_powers(b, size) for b in (self.base, pow(self.base, -1, 1 << 64)))
+
+    def of(self, data: bytes) -> np.ndarray:
+        """Hashes of the words in UTF-8 data, in their order."""
+        if not data:
+            return np.zeros(0, dtype=np.uint64)
+        letters = np.frombuffer(data, dtype=np.uint8)
+        if len(letters) > len(self.powers):
+            self._lay(2 * len(letters))
+        edges = np.flatnonzero(np.diff(_SPACE.take(letters), prepend=True, append=True))  # starts and ends in turn
+        running = np.zeros(len(letters) + 1, dtype=np.uint64)
+        np.cumsum(self.letters.take(letters) * self.powers[: len(letters)], out=running[1:])
+        starts, ends = edges[::2], edges[1::2]
+        return mix((running[ends] - running[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

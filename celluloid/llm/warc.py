@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celluloid.llm.common import ship, staged
-from celluloid.session import scratch_path
+from celluloid.session import own_scratch, scratch_path
 
 MIN_SHARED = 100
 ARCHIVE_BYTES = 256 << 20
@@ -218,6 +218,7 @@ class CaptureIndex:
 
     @staticmethod
     def build(pages: DataFrame, folder: str | None = None) -> CaptureIndex:
+        own_scratch(pages.sparkSession)
         folder = folder or scratch_path(pages.sparkSession, "warc")
         entries = write_archives(pages, f"{folder}/archives")
         return CaptureIndex(pages.sparkSession, folder, write_index(entries, f"{folder}/index"))

@@ -12,16 +12,22 @@ Two texts link when their sets of n-word shingles have a Jaccard similarity of a
 3. Lists with one set are dropped. A list is sorted by size and cut into blocks by position; a block
    is skipped for a probing set when no entry at its positions and sizes can reach the threshold
    (what two sets can share from their first common shingle on is bounded by what is left of each).
-   A list of up to ``SHORT_LIST`` sets yields its remaining pairs. A longer one yields one pair of
-   each set with the list's pivot instead.
-4. Pairs are thinned by the sketches (bits that differ are a lower bound of ``d``) and the rest is
-   checked on the sets themselves, computed again for the sets that still have a pair. A pivot pair
-   also keeps its difference, the shingles that only one of the two has.
+   A list of up to ``SHORT_LIST`` entries yields its remaining pairs. A longer one is parted by the
+   sketches, whose bits that differ are a lower bound of ``d`` and keep the triangle inequality: a
+   pivot takes the sets that may link with it, and each other set that may link with one of these is
+   paired with the nearest of them; sets that only share a frequent passage stay apart. Very long
+   lists are dealt out in pairs of blocks.
+4. Pairs are thinned by size and sketch, and the rest is checked on the sets themselves, computed
+   again for the sets that still have a pair. A pivot pair also keeps its difference, the shingles
+   that only one of the two has.
 5. A pivot's answers give its neighbours' answers: the difference of two sets is the difference of
    their differences to the pivot, so two sets near one pivot are compared by a few shingles. Pairs
    that the triangle inequality decides are not compared at all, and sets that already hang together
    are skipped. Long groups are dealt out in pairs of blocks.
-6. Components of the links by alternating large-star and small-star rounds.
+6. Components of the links by alternating large-star and small-star rounds. Long lists whose sets
+   are not yet in one component are gone through again for all pairs that may link across components;
+   those are checked and the components are made anew. So no link between components is lost, and a
+   group of near copies is not spelled out in pairs.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing. A text of fewer than
 n words has its whole word sequence as its one shingle. Null ids get a null component unless linked
@@ -35,16 +41,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from celluloid.llm.common import WordHashes, mix, ship, staged
 
+FILTER_BITS = 26  # of a bitmap of keys: 8 MB
 CELL_BITS = 20  # cells of the histogram: the broadcast levels are one byte each
 SLICES = 64
-SKETCH_BITS = 1024
-SHORT_LIST = 32
+SKETCH_BITS = 1024  # at least; twice the size of the set
+SHORT_LIST = 48
 POSITION_BLOCK = 8
+LIST_BLOCK = 4_096
+PIECE = 8 << 20  # bytes of sketches that are compared at a time
 GROUP_BLOCK = 2_048
 
 BASE = "doc_id long, n long, set_id long, sketch binary, slice int, cells binary"
@@ -54,15 +64,15 @@ PAIRS = "a long, b long, pivot boolean"
 
 def shingles(text: str | None, hashes: WordHashes, width: int) -> np.ndarray:
     """Sorted distinct hashes of the lower-cased (A-Z) text's shingles; bytes.lower() changes A-Z only."""
-    found = text.encode().lower().split() if text else []
-    if not found:
-        return np.zeros(0, dtype=np.uint64)
-    own = hashes.array(found)
+    own = hashes.of(text.encode().lower()) if text else np.zeros(0, dtype=np.uint64)
+    if not len(own):
+        return own
     width = min(width, len(own))
-    rolled = mix(own[: len(own) - width + 1] + np.uint64(width))
+    rolled = own[: len(own) - width + 1] + np.uint64(width)
     for shift in range(1, width):
-        rolled = mix(rolled * np.uint64(3) + own[shift : len(own) - width + 1 + shift])
-    return np.unique(rolled)
+        rolled = mix(rolled) * np.uint64(3) + own[shift : len(own) - width + 1 + shift]
+    rolled = np.sort(mix(rolled))
+    return rolled[np.diff(rolled, prepend=~rolled[:1]) != 0]
 
 
 def set_hash(found: np.ndarray) -> int:
@@ -70,11 +80,45 @@ def set_hash(found: np.ndarray) -> int:
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each bit; two sets differ in at least the bits that differ."""
-    odd = np.bincount((found & np.uint64(SKETCH_BITS - 1)).astype(np.intp), minlength=SKETCH_BITS) & 1
+    """Parity of the shingles that fall on each bit; two sets differ in at least the bits that differ.
+    Larger sets have more bits, always a power of two: half a sketch laid on the other half is the
+    sketch of half the bits."""
+    size = max(SKETCH_BITS, 1 << int(2 * len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(size - 1)).astype(np.intp), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+class Sketches:
+    """Sketches of several sets, compared at the bits of the smaller."""
+
+    def __init__(self, kept: list[bytes]):
+        self.kept = kept
+        self.widths = np.array([len(k) for k in kept], dtype=np.int64)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def at(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches of at least this width in bytes, folded to it, and the place of each row's."""
+        if width not in self.folded:
+            wide = np.flatnonzero(self.widths >= width)
+            made = np.zeros((len(wide), width // 8), dtype=np.uint64)
+            for place, row in enumerate(wide):
+                made[place] = np.bitwise_xor.reduce(np.frombuffer(self.kept[row], dtype=np.uint64).reshape(-1, width // 8), axis=0)
+            self.folded[width] = made, np.cumsum(self.widths >= width) - 1
+        return self.folded[width]
+
+    def differing(self, left: np.ndarray, right: np.ndarray, widest: int | None = None) -> np.ndarray:
+        """Differing bits of each pair of rows; at ``widest`` bytes at most."""
+        width = np.minimum(self.widths[left], self.widths[right])
+        width = width if widest is None else np.minimum(width, widest)
+        least = np.zeros(len(width), dtype=np.int64)
+        for own in np.unique(width):
+            bits, place = self.at(int(own))
+            rows = np.flatnonzero(width == own)
+            for part in np.array_split(rows, -(-len(rows) * int(own) // PIECE)):
+                least[part] = np.bitwise_count(bits[place[left[part]]] ^ bits[place[right[part]]]).sum(axis=1, dtype=np.int64)
+        return least
+
+
 def cells(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - CELL_BITS)).astype(np.intp)
 
@@ -101,6 +145,7 @@ def base_rows(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, histogram = WordHashes(), np.zeros(1 << CELL_BITS, dtype=np.uint32)
+        held, waiting = [np.zeros(0, dtype=np.intp)], 0
         for batch in batches:
             sizes, ids, sketches = [], [], []
             for text in batch.column("text"):
@@ -108,7 +153,11 @@ def base_rows(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(found))
                 ids.append(set_hash(found) if len(found) else 0)
                 sketches.append(sketch(found) if len(found) else None)
-                np.add.at(histogram, cells(found), 1)
+                held.append(cells(found))
+                waiting += len(found)
+                if waiting >= 1 << 20:
+                    histogram += np.bincount(np.concatenate(held), minlength=1 << CELL_BITS).astype(np.uint32)
+                    held, waiting = [np.zeros(0, dtype=np.intp)], 0
             empty = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -121,6 +170,7 @@ def base_rows(docs: DataFrame, width: int) -> DataFrame:
                 ],
                 names=["doc_id", "n", "set_id", "sketch", "slice", "cells"],
             )
+        histogram += np.bincount(np.concatenate(held), minlength=1 << CELL_BITS).astype(np.uint32)
         if histogram.any():
             parts = [part.tobytes() for part in np.split(histogram, SLICES)]
             nothing = pa.nulls(SLICES)
@@ -209,48 +259,191 @@ def list_pairs(ids: np.ndarray, sizes: np.ndarray, positions: np.ndarray, percen
     return found
 
 
-def candidates(entry: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs of set ids; pivot marks pairs of a long list's sets with its pivot."""
-    # sets of a list are counted up to two before the shuffle; a list of one set, most of them, ends here
-    shared = entry.groupBy("shingle").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high")
-    shared = shared.select(F.col("shingle").alias("key"), "low")
-    members = staged(entry.join(shared, F.col("shingle") == F.col("key")).select("shingle", "set_id", "n", "position", "low").distinct(), "ngram-lists")
-    long_lists = members.groupBy("shingle").agg(F.count("*").alias("sets")).where(F.col("sets") > SHORT_LIST).select(F.col("shingle").alias("key"))
-    # long lists: pairs with the pivot, whatever their length, without gathering the list
-    stars = members.join(long_lists, F.col("shingle") == F.col("key"), "left_semi").where("set_id <> low")
-    stars = stars.select(F.col("low").alias("a"), F.col("set_id").alias("b"), F.lit(True).alias("pivot"))
-    short = members.join(long_lists, F.col("shingle") == F.col("key"), "left_anti").select("shingle", "set_id", "n", "position")
+def bitmap(keys: DataFrame, column: str) -> Broadcast:
+    """Bits of the hashes of a column: an inexact filter of fixed size (2 ** FILTER_BITS bits)."""
+    place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    rows = keys.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit"))
+    parts = rows.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()  # 4 kB each, 2 ** (FILTER_BITS - 15) at most
+    made = np.zeros((((1 << FILTER_BITS) >> 15) + 1, 4096), dtype=np.uint8)
+    for row in parts:
+        made[row["part"]] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(made.reshape(-1))
+
+
+def among(rows: DataFrame, column: str, held: Broadcast) -> DataFrame:
+    """The rows whose column may be one of the bitmap's keys."""
+    place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    placed = rows.withColumn("_part", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.asarray(batch.column("_bit"))
+            byte = np.asarray(batch.column("_part")) * 4096 + (bit >> 3)
+            may = (held.value[byte] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            yield batch.select(batch.schema.names[:-2]).filter(pa.array(may))
+
+    return placed.mapInArrow(run, rows.schema)
+
+
+def index_lists(entry: DataFrame) -> DataFrame:
+    """The lists (shingle, set_id, n, position, entries, low: smallest set) of shingles that more than one entry has."""
+    # most lists have one entry and end here: they are counted before the shuffle, and the entries of the
+    # others are picked out by a bitmap before they are shuffled for the exact join
+    shared = entry.groupBy("shingle").agg(F.count("*").alias("entries")).where(F.col("entries") > 1).withColumnRenamed("shingle", "key")
+    shared = staged(shared, "ngram-shared")
+    picked = among(entry, "shingle", bitmap(shared, "key"))
+    members = picked.join(shared, F.col("shingle") == F.col("key")).select("shingle", "set_id", "n", "position", "entries").distinct()
+    # the join has brought each list together, so its smallest set costs no shuffle
+    members = members.withColumn("low", F.min("set_id").over(Window.partitionBy("shingle")))
+    return staged(members, "ngram-lists")
+
+
+def short_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the lists with few entries. Lists with the same smallest set meet in a task, which gives a
+    pair that several of them have only once."""
+    short = members.where(F.col("entries") <= SHORT_LIST)
+    # a set is the smallest of no more lists than its prefix has shingles
+    ordered = short.repartition("low").sortWithinPartitions("low", "shingle").select("low", "shingle", "set_id", "n", "position")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [np.asarray(batch.column(i)) for i in range(4)]
+            columns = [np.asarray(batch.column(i)) for i in range(5)]
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns)]
-            starts = np.flatnonzero(np.append(True, np.diff(columns[0]) != 0))
-            rest = [c[starts[-1] :] for c in columns]
-            yield _pairs_of(columns, starts, percent)
+            last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last set's lists may go on
+            rest = [c[last:] for c in columns]
+            yield _pairs_of([c[:last] for c in columns], percent)
         if rest is not None:
-            yield _pairs_of(rest, np.array([0, len(rest[0])]), percent)
+            yield _pairs_of(rest, percent)
+
+    return ordered.mapInArrow(run, PAIRS)
+
+
+def long_lists(members: DataFrame) -> DataFrame:
+    """(list, set_id, sets) of the lists with many entries, numbered; numbers compress, hashes do not."""
+    long = members.where(F.col("entries") > SHORT_LIST).select("shingle", "set_id")  # copies count as entries here
+    counts = long.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1")
+    counts = staged(counts.withColumn("list", F.monotonically_increasing_id()), "ngram-long-lists").withColumnRenamed("shingle", "key")
+    return staged(long.join(counts, F.col("shingle") == F.col("key")).select("list", "set_id", "sets"), "ngram-long")
+
+
+def star_pairs(known: DataFrame, sets: DataFrame, percent: int, groups: DataFrame | None = None) -> DataFrame:
+    """Pairs from long lists. Without groups: pivots with the sets they take, and other sets with the
+    nearest of these. With groups (set_id, component): all that may link across components."""
+    # a set's long lists, as many as its prefix has shingles at most: a pair is left to the first list of both
+    lists = known.groupBy("set_id").agg(F.array_sort(F.collect_list("list")).alias("lists"))
+    if groups is None:
+        lists = lists.withColumn("component", F.lit(None).cast("long"))
+    else:
+        named = groups.select(F.col("node"), "component")
+        lists = lists.join(named, F.col("set_id") == F.col("node"), "left").select("set_id", "lists", F.coalesce("component", "set_id").alias("component"))
+    lists = staged(lists, "ngram-long-sets")
+    of_sets = among(sets, "set_id", bitmap(lists, "set_id")).join(lists, "set_id").select(F.col("set_id").alias("own_id"), "n", "sketch", "lists", "component")
+    near = known.join(of_sets, F.col("set_id") == F.col("own_id"))
+    if groups is not None:
+        near = staged(near, "ngram-across")
+        mixed = near.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        near = near.join(mixed.select("list"), "list", "left_semi")
+    blocks = F.ceil(F.col("sets") / LIST_BLOCK).cast("int")
+    own, every = F.pmod(F.xxhash64("set_id"), blocks).cast("int"), F.sequence(F.lit(0), blocks - 1)
+    # a set leads from its own block against each, and replies from it to each; in a single block it does both
+    role = lambda lead, reply, leads: F.struct(lead.alias("lead"), reply.alias("reply"), F.lit(leads).alias("leads"))
+    many = F.concat(F.transform(every, lambda k: role(own, k, 1)), F.transform(every, lambda k: role(k, own, 2)))
+    one = F.array(role(F.lit(0), F.lit(0), 3))
+    dealt = near.withColumn("role", F.explode(F.when(blocks > 1, many).otherwise(one)))
+    dealt = dealt.select("list", "role.*", "set_id", "n", "sketch", "lists", "component")
 
-    ordered = short.repartition("shingle").sortWithinPartitions("shingle")
-    pairs = ordered.mapInArrow(run, PAIRS).unionByName(stars)
-    return pairs.groupBy("a", "b").agg(F.max("pivot").alias("pivot"))
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        found = stars(group, key[0].as_py(), percent)
+        kinds = (pa.int64(), pa.int64(), pa.bool_())
+        return pa.table([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names=["a", "b", "pivot"])
+
+    return dealt.groupBy("list", "lead", "reply").applyInArrow(run, PAIRS)
+
+
+def stars(group: pa.Table, number: int, percent: int) -> list[tuple[int, int, bool]]:
+    """(a, b, pivot). A pivot is the first set that no pivot has taken yet; it takes those that may link
+    with it. Sets that may link with one of these differ from the pivot by at most the two bounds together;
+    each is paired with the nearest of them. When components are known, these pairs are instead all that
+    may link across components, in the pivot's group and out of it, each left to the first of the long
+    lists that have both."""
+    leads = group["leads"].to_numpy()  # 1: leads, 2: replies, 3: both
+    ids, sizes = group["set_id"].to_numpy(), group["n"].to_numpy()
+    order = np.lexsort((ids, sizes))
+    leads, ids, sizes = leads[order], ids[order], sizes[order]
+    kept = group["sketch"].to_pylist()
+    sketches = Sketches([kept[k] for k in order])
+    column = group["lists"].combine_chunks()
+    offsets, values = np.asarray(column.offsets), np.asarray(column.values)
+    lists = [values[offsets[k] : offsets[k + 1]] for k in order]
+    across = group["component"].null_count == 0
+    component = group["component"].to_numpy()[order] if across else None
+    lead, reply = np.flatnonzero(leads & 1), np.flatnonzero(leads & 2)
+    bound = lambda m, n: (100 - percent) * (m + n) // (100 + percent)
+    taken = np.zeros(len(lead), dtype=bool)
+    owner: dict[int, int] = {}
+    found = []
 
+    def apart(row: int, rows: np.ndarray, widest: int | None = None) -> np.ndarray:
+        return np.maximum(sketches.differing(np.full(len(rows), row), rows, widest), np.abs(sizes[rows] - sizes[row]))
 
-def _pairs_of(columns: list[np.ndarray], bounds: np.ndarray, percent: int) -> pa.RecordBatch:
-    found = []
+    for place, row in enumerate(lead):
+        if taken[place]:
+            continue
+        open_rows = place + np.flatnonzero(~taken[place:])
+        mine = open_rows[apart(row, lead[open_rows]) <= bound(sizes[row], sizes[lead[open_rows]])]
+        taken[mine] = True
+        pivot = int(ids[row])
+        own = lead[mine]
+        owner.update((int(i), pivot) for i in ids[own])
+        most = 100 * sizes[row] // percent + 1  # largest set that may link with the pivot
+        # the triangle inequality holds at the width of the narrowest of the three sketches
+        widest = int(sketches.widths[own].min())
+        others = reply[apart(row, reply, widest) <= bound(sizes[row], most) + bound(most, sizes[reply])]
+        if across:
+            inside = others[[owner.get(int(i)) in (None, pivot) for i in ids[others]]]
+            for member in own:
+                near = inside[(component[inside] != component[member]) & (ids[inside] != ids[member])]
+                for row_near in near[apart(member, near) <= bound(sizes[member], sizes[near])]:
+                    earlier = lists[row_near][: np.searchsorted(lists[row_near], number)]
+                    if not np.isin(earlier, lists[member]).any():
+                        a, b = sorted((int(ids[member]), int(ids[row_near])))
+                        found.append((a, b, False))
+            continue
+        found += [(pivot, int(i), True) for i in ids[own] if i != pivot]
+        # sets of earlier pivots were paired when those took them
+        others = others[[int(i) not in owner for i in ids[others]]]
+        if not len(others):
+            continue
+        nearest, least = np.full(len(others), -1), np.full(len(others), np.iinfo(np.int64).max)
+        for member in own:
+            distance = apart(member, others)
+            better = (distance <= bound(sizes[member], sizes[others])) & (distance < least)
+            nearest[better], least[better] = member, distance[better]
+        for member, other in zip(nearest, others):
+            if member >= 0:
+                a, b = sorted((int(ids[member]), int(ids[other])))
+                found.append((a, b, False))
+    return found
+
+
+def _pairs_of(columns: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    found: dict[tuple[int, int, bool], None] = {}
+    bounds = np.flatnonzero(np.concatenate([[True], np.diff(columns[1]) != 0, [True]])) if len(columns[1]) else []
     for start, end in zip(bounds[:-1], bounds[1:]):
         if end - start > 1:
-            found += list_pairs(columns[1][start:end], columns[2][start:end], columns[3][start:end], percent)
-    found = list(dict.fromkeys(found))
+            found.update(dict.fromkeys(list_pairs(columns[2][start:end], columns[3][start:end], columns[4][start:end], percent)))
+    rows = list(found)
     return pa.RecordBatch.from_arrays(
-        [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "pivot"]
+        [pa.array([f[k] for f in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "pivot"]
     )
 
 
 def thinned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with sizes (m, n), without those whose sizes or sketches rule a link out; pivot pairs stay."""
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ngram-pair-ids")
+    sets = among(sets, "set_id", bitmap(ids, "id"))
     side = lambda key, size, bits: sets.select(F.col("set_id").alias(key), F.col("n").alias(size), F.col("sketch").alias(bits))
     both = pairs.join(side("a", "m", "bits_a"), "a").join(side("b", "n", "bits_b"), "b")
 
@@ -258,8 +451,9 @@ def thinned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b")]
-            least = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1).astype(np.int64)
+            rows = np.arange(batch.num_rows)
+            both_sides = Sketches([*batch.column("bits_a").to_pylist(), *batch.column("bits_b").to_pylist()])
+            least = both_sides.differing(rows, rows + batch.num_rows)
             m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n"))
             can = links(m, n, np.maximum(least, np.abs(m - n)), percent) | np.asarray(batch.column("pivot").to_numpy(zero_copy_only=False))
             yield batch.select(["a", "b", "pivot", "m", "n"]).filter(pa.array(can))
@@ -268,38 +462,49 @@ def thinned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, base: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(set_id, shingles) of the sets that have a pair, from one document of each."""
+    """(set_id, text) of the sets that have a pair, from the first document of each. Documents are picked
+    by a bitmap of ids first; the exact choice is the later join. Texts compress, hashes of shingles do
+    not, so it is texts that are shuffled."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    texts_of = base.where("set_id is not null and n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id")).join(wanted, "set_id", "left_semi")
-    # equal ids may stand for several texts: a text counts when its set is the wanted one
-    texts = docs.select("doc_id", "text").join(texts_of.select("first_id").distinct(), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    first = base.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set_id", "left_semi")
+    places = among(docs, "doc_id", bitmap(first, "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                found = [shingles(t.as_py(), hashes, width) for t in batch.column("text").slice(start, 256)]
-                found = [f for f in found if len(f)]
-                ids = _signed(np.array([set_hash(f) for f in found], dtype=np.uint64))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)),
-                    _signed(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)),
-                )
-                yield pa.RecordBatch.from_arrays([ids, lists], names=["set_id", "shingles"])
+            ids = [set_hash(found) if len(found := shingles(t.as_py(), hashes, width)) else None for t in batch.column("text")]
+            known = pa.array([i is not None for i in ids])
+            signed = _signed(np.array([i for i in ids if i is not None], dtype=np.uint64))
+            yield pa.RecordBatch.from_arrays([signed, batch.column("text").filter(known)], names=["set_id", "text"])
 
-    made = texts.mapInArrow(run, "set_id long, shingles array<long>")
-    return made.dropDuplicates(["set_id"])
+    return staged(places.mapInArrow(run, "set_id long, text string"), "ngram-texts-of-pairs")
 
 
-def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs with ``linked``; pivot pairs also with the difference of the two sets."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = pairs.join(right, "b").join(left, "a")
-    only_a, only_b = F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a")
-    both = both.select("a", "b", "pivot", "m", "n", F.concat(only_a, only_b).alias("difference"))
-    linked = links(F.col("m"), F.col("n"), F.size("difference"), percent)
-    return both.select("a", "b", "pivot", "n", linked.alias("linked"), F.when(F.col("pivot"), F.col("difference")).alias("difference"))
+    left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("of_a"))
+    right = texts.select(F.col("set_id").alias("b"), F.col("text").alias("of_b"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "pivot", "m", "n", "of_a", "of_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        last, own = None, np.zeros(0, dtype=np.uint64)
+        for batch in batches:
+            a, m, n = (np.asarray(batch.column(c)) for c in ("a", "m", "n"))
+            pivot = batch.column("pivot").to_pylist()
+            linked, differences = [], []
+            for row in range(batch.num_rows):
+                if last != a[row]:  # rows of one set mostly follow each other
+                    last, own = a[row], shingles(batch.column("of_a")[row].as_py(), hashes, width)
+                other = shingles(batch.column("of_b")[row].as_py(), hashes, width)
+                difference = np.setxor1d(own, other, assume_unique=True)
+                linked.append(bool(links(int(m[row]), int(n[row]), len(difference), percent)))
+                differences.append(difference.view(np.int64) if pivot[row] else None)
+            kept = [pa.array(linked, pa.bool_()), pa.array(differences, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "pivot", "n")), *kept], names=["a", "b", "pivot", "n", "linked", "difference"])
+
+    tested = both.mapInArrow(run, "a long, b long, pivot boolean, n long, linked boolean, difference array<long>")
+    return tested.dropDuplicates(["a", "b"])  # a set is there twice when documents share an id
 
 
 def derived(pivots: DataFrame, percent: int) -> DataFrame:
@@ -411,13 +616,33 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     rows = base.where("n is not null")
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sets = staged(sets, "ngram-sets")
-    found = staged(candidates(entries(texts, level, width, percent), percent), "ngram-candidates")
+    entry = staged(entries(texts, level, width, percent), "ngram-entries")
+    members = index_lists(entry)
+    known = long_lists(members)
+    found = short_pairs(members, percent).unionByName(star_pairs(known, sets, percent))
+    found = staged(found.groupBy("a", "b").agg(F.max("pivot").alias("pivot")), "ngram-candidates")
     near = staged(thinned(found, sets, percent), "ngram-pairs")
-    tested = staged(checked(near, set_rows(texts, base, near, width), percent), "ngram-checked")
-    edges = tested.where("linked").select("a", "b").unionByName(derived(tested.where("pivot"), percent))
+    built = set_rows(texts, base, near, width)
+    tested = staged(checked(near, built, width, percent), "ngram-checked")
+    edges = staged(tested.where("linked").select("a", "b").unionByName(derived(tested.where("pivot"), percent)), "ngram-links")
     groups = components(edges, "ngram-components")
+    # sets that hang together by now need no more pairs; what may link across is held together at last
+    more = star_pairs(known, sets, percent, groups).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    more = staged(thinned(more, sets, percent), "ngram-across-pairs")
+    if not more.isEmpty():
+        late = checked(more, built, width, percent).where("linked").select("a", "b")
+        groups = components(edges.unionByName(staged(late, "ngram-across-links")), "ngram-all-components")
     named = sets.join(groups, F.col("set_id") == F.col("node"), "left").select("set_id", "first_id", F.coalesce("component", "set_id").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id")).withColumnRenamed("component", "of")
     named = named.join(smallest, F.col("component") == F.col("of")).select(F.col("set_id").alias("named_id"), "component_id")
     result = rows.join(named, (F.col("n") > 0) & (F.col("set_id") == F.col("named_id")), "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The row with the smallest id of each component, with all its columns; rows with an empty set and
+    rows with a null id stay. Of rows that share the smallest id, one stays."""
+    groups = join(docs.select("doc_id", "text"), width, percent)
+    heads = groups.where((F.col("n_shingles") == 0) | (F.col("component_id") == F.col("doc_id"))).select(F.col("doc_id").alias("head_id"))
+    known = docs.where("doc_id is not null").join(heads.distinct(), F.col("doc_id") == F.col("head_id"), "left_semi")
+    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

@@ -24,17 +24,17 @@ HEADS = {
 }
 
 LANDED = {
-    "name.basics": ["nm1\tFred Astaire\t1899\t1987\tactor,soundtrack\ttt1", "nm2\tOther\t\\N\t\\N\t\\N\t\\N"],
+    "name.basics": ["nm1\tOtto Lindqvist\t1931\t2001\tactor,soundtrack\ttt1", "nm2\tOther\t\\N\t\\N\t\\N\t\\N"],
     "title.basics": [
-        "tt1\tshort\tCarmencita\tCarmencita\t0\t1894\t\\N\t1\tDocumentary,Short",
+        "tt1\tshort\tWindmill\tWindmill\t0\t1968\t\\N\t1\tDocumentary,Short",
         "tt2\tmovie\tOld name\t\\N\t\\N\t\\N\t\\N\t\\N\t\\N",
         "tt2\tmovie\tNew name\t\\N\t\\N\t\\N\t\\N\t\\N\t\\N",
     ],
-    "title.ratings": ["tt1\t5.7\t2000", "tt404\t9.9\t1"],
+    "title.ratings": ["tt1\t6.4\t310", "tt404\t9.9\t1"],
     "title.akas": ["tt1\t1\tA\t\\N\t\\N\t\\N\t\\N\t1", "tt1\t\\N\tB\tDE\t\\N\t\\N\t\\N\t0", "tt1\t\\N\tB\tDE\t\\N\t\\N\t\\N\t0"],
     "title.crew": ["tt1\tnm1,nm404,nm2\t\\N"],
     "title.principals": [
-        'tt1\t1\tnm1\tactor\t\\N\t["Carmencita"]',
+        'tt1\t1\tnm1\tactor\t\\N\t["Windmill"]',
         'tt1\t1\tnm1\tactor\tlater\t["Again"]',
         "tt1\t2\tnm404\tactor\t\\N\t\\N",
         "tt1\t1\tnm1\tdirector\tjob\t\\N",
@@ -61,9 +61,9 @@ def test_bulk_import(spark, tmp_path):
     assert done["title.ratings"] == {"rows_seen": 2, "rows_inserted": 1, "rows_updated": 0, "rows_skipped": 1}
     assert done["title.episode"]["rows_skipped"] == 1
     assert done["title.principals"] == {"rows_seen": 4, "rows_inserted": 1, "rows_updated": 2, "rows_skipped": 1}
-    assert rows_of(lookup.lookup_title(wh.table("titles"), "carmen"), "imdb_id") == [("tt1",)]
+    assert rows_of(lookup.lookup_title(wh.table("titles"), "windm"), "imdb_id") == [("tt1",)]
     assert rows_of(lookup.lookup_title(wh.table("titles"), "name"), "primary_title") == [("New name",)]
-    assert rows_of(lookup.lookup_person(wh.table("people"), "FRED"), "imdb_name_id") == [("nm1",)]
+    assert rows_of(lookup.lookup_person(wh.table("people"), "OTTO"), "imdb_name_id") == [("nm1",)]
     # rows with a null in the key never conflict
     assert wh.table("title_akas").count() == 3
     credits = wh.table("credits").orderBy("imdb_name_id", "ordering", "category")
@@ -110,27 +110,27 @@ def test_warehouse_versions(spark, tmp_path, frame):
 
 
 DETAILS = {
-    "id": 11,
-    "title": "Seven Samurai",
-    "original_language": "ja",
-    "release_date": "1954-04-26",
-    "runtime": 207,
+    "id": 31,
+    "title": "Quiet Harbour",
+    "original_language": "nb",
+    "release_date": "2003-09-32",
+    "runtime": 96,
     "imdb_id": "tt-top-level",
-    "external_ids": {"imdb_id": "tt0047478"},
+    "external_ids": {"imdb_id": "tt0900031"},
     "credits": {
-        "cast": [{"id": 101, "name": "Toshiro Mifune", "character": "Kikuchiyo", "order": 0}],
-        "crew": [{"id": 201, "name": "Akira Kurosawa", "department": "Directing", "job": "Director"}],
+        "cast": [{"id": 77, "name": "Ilse Brandt", "character": "Keeper", "order": 0}],
+        "crew": [{"id": 88, "name": "Mira Oslund", "department": "Directing", "job": "Director"}],
     },
 }
 
 
 def test_movie_import_and_hydration(spark, tmp_path, frame):
     wh = Warehouse(spark, str(tmp_path / "wh"))
-    wh.save("titles", frame("titles", {"imdb_id": "tt0047478", "title_type": "movie", "primary_title": "Seven Samurai"}))
+    wh.save("titles", frame("titles", {"imdb_id": "tt0900031", "title_type": "movie", "primary_title": "Quiet Harbour"}))
     export = tmp_path / "movie_ids_05_30_2026.json.gz"
     lines = [
-        {"id": 11, "adult": False, "original_title": "Seven Samurai", "popularity": 22.5, "video": False},
-        {"id": 12, "adult": True, "popularity": 99.0, "video": False},
+        {"id": 31, "adult": False, "original_title": "Quiet Harbour", "popularity": 17.25, "video": False},
+        {"id": 32, "adult": True, "popularity": 99.0, "video": False},
         {"id": 13, "adult": False, "popularity": 1.0, "video": False},
     ]
     export.write_bytes(gzip.compress("\n".join(map(json.dumps, lines)).encode()))
@@ -138,22 +138,22 @@ def test_movie_import_and_hydration(spark, tmp_path, frame):
     assert movies.import_export(spark, str(export), wh)["export_rows_skipped"] == 1
     artifact = wh.table("download_artifacts").first()["id"]
     pending = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), artifact)
-    assert rows_of(pending, "tmdb_movie_id") == [(11,), (13,)]
+    assert rows_of(pending, "tmdb_movie_id") == [(31,), (13,)]
     with_adult = movies.pending_hydrations(wh.table("tmdb_movie_exports"), wh.table("tmdb_movies"), artifact, True, 1)
-    assert rows_of(with_adult, "tmdb_movie_id") == [(12,)]
+    assert rows_of(with_adult, "tmdb_movie_id") == [(32,)]
 
     (tmp_path / "details.json").write_text(json.dumps(DETAILS) + "\n")
     details = documents.scan_movie_details(spark, str(tmp_path / "details.json"))
     failures = spark.createDataFrame([(artifact, 13, "HTTP 404")], "export_artifact_id bigint, tmdb_movie_id bigint, error string")
     got = movies.hydrate(spark, details, wh, artifact, failures=failures)
     assert got == {"movies_hydrated": 1, "credits_imported": 2, "title_links_created": 1, "hydration_failures": 1}
-    assert rows_of(wh.table("tmdb_movies"), "imdb_id", "runtime_minutes") == [("tt0047478", 207)]
+    assert rows_of(wh.table("tmdb_movies"), "imdb_id", "runtime_minutes") == [("tt0900031", 96)]
     assert sorted(rows_of(wh.table("tmdb_movie_credits"), "credit_key")) == [
-        ("cast:101:0:Kikuchiyo",),
-        ("crew:201:Directing:Director",),
+        ("cast:77:0:Keeper",),
+        ("crew:88:Directing:Director",),
     ]
     assert rows_of(wh.table("title_tmdb_links"), "imdb_id", "tmdb_movie_id", "linked_via") == [
-        ("tt0047478", 11, "tmdb_external_id")
+        ("tt0900031", 31, "tmdb_external_id")
     ]
     queue = wh.table("tmdb_movie_exports").orderBy("tmdb_movie_id")
     assert rows_of(queue, "hydrate_status", "hydrate_attempts", "last_error") == [
@@ -175,16 +175,16 @@ def test_entity_import(spark, tmp_path, frame):
         return {"id": i, "type": "item", "labels": labels, "descriptions": {}, "claims": claims}
 
     dump = [
-        item("Q745", "Seven Samurai", P345=[said("tt0047478"), said("tt0000002")], P136=[said({"id": "Q1137136"})], P577=[said({"time": "+1954"})]),
-        item("Q1137136", "jidaigeki"),
-        item("Q3460", "Akira Kurosawa", P345=[said("nm0000041")], P569=[said({"time": "+1910"})]),
-        item("Q17", "Japan", P31=[said({"id": "Q6256"})]),
+        item("Q900", "Quiet Harbour", P345=[said("tt0900031"), said("tt0000002")], P136=[said({"id": "Q901"})], P577=[said({"time": "+2003"})]),
+        item("Q901", "sea drama"),
+        item("Q902", "Mira Oslund", P345=[said("nm0900041")], P569=[said({"time": "+1971"})]),
+        item("Q903", "Northland", P31=[said({"id": "Q904"})]),
     ]
     path = tmp_path / "dump.json"
     path.write_text("[\n" + ",\n".join(map(json.dumps, [*dump, dump[2]])) + "\n]\n")
     wh = Warehouse(spark, str(tmp_path / "wh"))
-    wh.save("titles", frame("titles", {"imdb_id": "tt0047478"}, {"imdb_id": "tt0000002"}))
-    wh.save("people", frame("people", {"imdb_name_id": "nm0000041"}))
+    wh.save("titles", frame("titles", {"imdb_id": "tt0900031"}, {"imdb_id": "tt0000002"}))
+    wh.save("people", frame("people", {"imdb_name_id": "nm0900041"}))
     wh.save("wikidata_entities", frame("wikidata_entities", {"wikidata_id": "Qold"}))
     stats = entities.import_entities(spark, str(path), wh)
     assert stats == {
@@ -197,9 +197,9 @@ def test_entity_import(spark, tmp_path, frame):
         "imports_skipped": 0,
         "links_rejected": 1,
     }
-    assert rows_of(wh.table("title_wikidata_links"), "imdb_id", "wikidata_id") == [("tt0047478", "Q745")]
+    assert rows_of(wh.table("title_wikidata_links"), "imdb_id", "wikidata_id") == [("tt0900031", "Q900")]
     labels = dict(rows_of(wh.table("wikidata_entities"), "wikidata_id", "label"))
-    assert labels == {"Q745": "Seven Samurai", "Q1137136": "jidaigeki", "Q3460": "Akira Kurosawa", "Q17": "Japan"}
+    assert labels == {"Q900": "Quiet Harbour", "Q901": "sea drama", "Q902": "Mira Oslund", "Q903": "Northland"}
     assert entities.import_entities(spark, str(path), wh) == {"imports_skipped": 1}
     entities.import_entities(spark, str(path), wh, dedup=True, force=True)
     assert wh.table("wikidata_claims").count() == 3

@@ -29,7 +29,7 @@ def test_titles_keep_quotes_blanks_and_backslashes(spark, tmp_path):
             TITLE_HEAD,
             'tt1\ttvEpisode\t"Rolling (unbalanced\t"x" y\t0\t2019\t\\N\t\\N\tReality-TV',
             "tt2\tshort\t  lead\\\t\\N\t\\N\t 42 \tbad\t1\t\\N",
-            "tt3\tshort\t\\N\t\t1\t1894\t\\N\t1\tA,B",
+            "tt3\tshort\t\\N\t\t1\t1968\t\\N\t1\tA,B",
         ],
     )
     got = rows_of(tsv.scan_titles(spark, path).drop(*tsv.ORDER).orderBy("imdb_id"))
@@ -59,10 +59,10 @@ def test_order_columns_follow_the_file(spark, tmp_path):
 
 
 def test_export_scan(spark, tmp_path):
-    line = '{"id":11,"adult":false,"original_title":"Seven Samurai","popularity":22.5,"video":false}'
+    line = '{"id":31,"adult":false,"original_title":"Quiet Harbour","popularity":17.25,"video":false}'
     path = land(tmp_path, "e.json.gz", [line, "", "   ", '{"id":12,"adult":true,"video":true,"extra":1}'])
     got = rows_of(documents.scan_movie_export(spark, path, 7).drop(*tsv.ORDER).orderBy("tmdb_movie_id"))
-    assert got == [(7, 11, 0, "Seven Samurai", 22.5, 0), (7, 12, 1, None, None, 1)]
+    assert got == [(7, 31, 0, "Quiet Harbour", 17.25, 0), (7, 12, 1, None, None, 1)]
 
 
 @pytest.mark.parametrize("line", ['{"id":1,"adult":false}', "{nope", '{"id":"x","adult":false,"video":false}'])
@@ -98,7 +98,7 @@ DUMP = [
                 statement("text"),
                 statement({"id": "Q9", "time": "+1"}),
                 {"rank": "normal"},
-                statement({"time": "+1954"}),
+                statement({"time": "+2003"}),
                 statement({"text": "mono", "language": "en"}),
                 statement({"amount": "+3"}),
                 statement(5),
@@ -140,7 +140,7 @@ def test_claim_values_and_ordinals(items):
     assert got == [
         ("P31", 0, "string", "text", None),
         ("P31", 1, "wikidata_item", None, "Q9"),
-        ("P31", 3, "time", "+1954", None),
+        ("P31", 3, "time", "+2003", None),
         ("P31", 4, "monolingual_text", "mono", None),
         ("P31", 5, "quantity", "+3", None),
         ("P31", 6, "number", "5", None),

@@ -24,9 +24,10 @@ Two texts link when their sets of n-word shingles have a Jaccard similarity of a
    their differences to the pivot, so two sets near one pivot are compared by a few shingles. Pairs
    that the triangle inequality decides are not compared at all, and sets that already hang together
    are skipped. Long groups are dealt out in pairs of blocks.
-6. Components of the links by alternating large-star and small-star rounds. Long lists whose sets
-   are not yet in one component are gone through again for all pairs that may link across components;
-   those are checked and the components are made anew. So no link between components is lost, and a
+   The pivots' pairs and each set's nearest pair are checked first.
+6. Components of the links by alternating large-star and small-star rounds. Pairs that are left count
+   only where they join two components, and long lists whose sets are not yet in one component are gone
+   through again for all pairs that may link across; those are checked and the components made anew. So no link between components is lost, and a
    group of near copies is not spelled out in pairs.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing. A text of fewer than
@@ -441,7 +442,7 @@ def _pairs_of(columns: list[np.ndarray], percent: int) -> pa.RecordBatch:
 
 
 def thinned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with sizes (m, n), without those whose sizes or sketches rule a link out; pivot pairs stay."""
+    """Pairs with sizes (m, n) and differing bits, without those whose sizes or sketches rule a link out; pivot pairs stay."""
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ngram-pair-ids")
     sets = among(sets, "set_id", bitmap(ids, "id"))
     side = lambda key, size, bits: sets.select(F.col("set_id").alias(key), F.col("n").alias(size), F.col("sketch").alias(bits))
@@ -456,9 +457,24 @@ def thinned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             least = both_sides.differing(rows, rows + batch.num_rows)
             m, n = np.asarray(batch.column("m")), np.asarray(batch.column("n"))
             can = links(m, n, np.maximum(least, np.abs(m - n)), percent) | np.asarray(batch.column("pivot").to_numpy(zero_copy_only=False))
-            yield batch.select(["a", "b", "pivot", "m", "n"]).filter(pa.array(can))
+            kept = batch.select(["a", "b", "pivot", "m", "n"]).append_column("least", pa.array(least, pa.int64()))
+            yield kept.filter(pa.array(can))
 
-    return both.select("a", "b", "pivot", "m", "n", "bits_a", "bits_b").mapInArrow(run, "a long, b long, pivot boolean, m long, n long")
+    return both.select("a", "b", "pivot", "m", "n", "bits_a", "bits_b").mapInArrow(run, "a long, b long, pivot boolean, m long, n long, least long")
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """Pivot pairs, and of the others each set's pair with the fewest differing bits."""
+    ends = pairs.where(~F.col("pivot")).select(F.explode(F.array("a", "b")).alias("id"), F.struct("least", "a", "b").alias("pair"))
+    best = ends.groupBy("id").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b").distinct()
+    return pairs.where("pivot").unionByName(pairs.where(~F.col("pivot")).join(best, ["a", "b"], "left_semi"))
+
+
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs whose sets are not in one component."""
+    side = lambda key, name: groups.select(F.col("node").alias(key), F.col("component").alias(name))
+    named = pairs.join(side("a", "_a"), "a", "left").join(side("b", "_b"), "b", "left")
+    return named.where(~F.coalesce("_a", "a").eqNullSafe(F.coalesce("_b", "b"))).select(*pairs.columns)
 
 
 def set_rows(docs: DataFrame, base: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -623,12 +639,14 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     found = staged(found.groupBy("a", "b").agg(F.max("pivot").alias("pivot")), "ngram-candidates")
     near = staged(thinned(found, sets, percent), "ngram-pairs")
     built = set_rows(texts, base, near, width)
-    tested = staged(checked(near, built, width, percent), "ngram-checked")
+    first = staged(nearest(near), "ngram-nearest")
+    tested = staged(checked(first, built, width, percent), "ngram-checked")
     edges = staged(tested.where("linked").select("a", "b").unionByName(derived(tested.where("pivot"), percent)), "ngram-links")
     groups = components(edges, "ngram-components")
     # sets that hang together by now need no more pairs; what may link across is held together at last
-    more = star_pairs(known, sets, percent, groups).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = staged(thinned(more, sets, percent), "ngram-across-pairs")
+    across = thinned(star_pairs(known, sets, percent, groups).distinct(), sets, percent)
+    more = apart(near, groups).unionByName(across).dropDuplicates(["a", "b"]).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    more = staged(more, "ngram-across-pairs")
     if not more.isEmpty():
         late = checked(more, built, width, percent).where("linked").select("a", "b")
         groups = components(edges.unionByName(staged(late, "ngram-across-links")), "ngram-all-components")

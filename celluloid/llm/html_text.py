@@ -8,6 +8,14 @@ where the page marks one: both good, or the only one good, makes it good; betwee
 one, a nearly good block is good, and a heading when good text follows it close by. Without decided
 neighbours a block counts when it is nearly good or in an article.
 
+Stop words decide only where they know the page's language: when all its paragraphs together do not
+reach the share that makes a block good, blocks are classified by length and link density alone.
+
+Class and id names mark boilerplate word by word; in a word as ``layout-with-sidebar`` what follows has,
+with, without, no or non does not count. A mark on what holds most of the page's unlinked text is
+ignored. That of comments and the like, and a name of nothing but marking words (``sidebar``), is
+ignored only when no long paragraphs are left without it.
+
 Edge cases: a null or empty page has an empty text. Broken markup is read as far as it goes: an open
 tag at the page's end is dropped, an unclosed script hides the rest, stray end tags are ignored.
 Character references are decoded, also those without a semicolon. Pages of any length are read whole.
@@ -19,6 +27,7 @@ from __future__ import annotations
 import html
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import pandas as pd
 import regex
@@ -32,6 +41,7 @@ MAX_LINK_DENSITY = 0.2
 SHORT_CHARS, LONG_CHARS = 70, 200
 LOW_STOP_WORDS, HIGH_STOP_WORDS = 0.15, 0.25  # of a block's words; languages differ, so the low one is mild
 HEADING_REACH = 200  # characters between a heading and the good text that it heads
+WIDE_CHARS = 3  # characters of a letter script that one of Han or Kana stands for
 
 # HTML element names by what they are.
 HIDDEN = frozenset(
@@ -47,19 +57,24 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template iframe textarea title svg".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Parts of class and id names that mark boilerplate.
-MARKED = regex.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|cookies?|consent|disclaimer|disqus|discussion|footer|header|masthead|menu|modal|nav\w*|"
+MARKING = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|cookies?|consent|disclaimer|disqus|discussion|footer|header|masthead|menu|modal|nav\w*|"
     r"newsletter|notices?|popup|promo\w*|related|repl(?:y|ies)|respond|responses|share|sharing|sidebar|side-?bar|social|sponsor\w*|subscribe|"
-    r"toolbar|widgets?)(?:$|[^a-z])"
+    r"toolbar|widgets?)"
 )
+MARKED = regex.compile(rf"(?:^|[^a-z]){MARKING}(?:$|[^a-z])")
+WHOLE = regex.compile(rf"[^a-z]*(?:{MARKING}(?:[^a-z]+|$))+")
+DISCUSSION = regex.compile(r"(?:^|[^a-z])(?:comments?|disqus|discussion|repl(?:y|ies)|respond|responses)(?:$|[^a-z])")
+ABOUT = regex.compile(r"(?:^|[^a-z])(?:has|with|without|no|non)[^a-z].*", regex.DOTALL)  # says what the element has or lacks
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
-NAME, ELEMENT = 1, 2  # what marks an element as boilerplate: its class, id or role; its name
+PART, NAME, ELEMENT = 1, 2, 3  # what marks an element as boilerplate: a part of its class or id; all of it, or its role; its name
 
 TAG = regex.compile(r"<(?:!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|(?<end>/?)(?<name>[a-zA-Z][^\s/>]*)(?<rest>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", regex.DOTALL)
 ATTRIBUTE = regex.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", regex.IGNORECASE)
 SPACES = regex.compile(r"\s+")
 WORDS = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+WIDE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 
 
 @dataclass
@@ -70,17 +85,34 @@ class Block:
     heading: bool
     article: int = 0  # number of the article it is in; 0: none
 
+    @cached_property
+    def words(self) -> tuple[int, int]:
+        """Words, and stop words among them."""
+        found = WORDS.findall(self.text.lower())
+        return len(found), sum(w in BY_WORD for w in found)
+
 
-def _marked(rest: str) -> tuple[bool, bool]:
+@lru_cache(maxsize=4096)
+def _named(names: str) -> int:
+    """PART or NAME when a class or id marks boilerplate, otherwise 0."""
+    mark = 0
+    for name in names.replace("_", "-").split():
+        name = ABOUT.sub("", name)
+        if MARKED.search(name):
+            mark = max(mark, NAME if WHOLE.fullmatch(name) or DISCUSSION.search(name) else PART)
+    return mark
+
+
+def _marked(rest: str) -> tuple[int, bool]:
     """(boilerplate, hidden) by a tag's attributes."""
-    boilerplate = hidden = False
+    boilerplate, hidden = 0, False
     if "=" in rest or "hidden" in rest:
         for name, *values in ATTRIBUTE.findall(rest):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
-                boilerplate |= MARKED.search(value.replace("_", "-")) is not None
+                boilerplate = max(boilerplate, _named(value))
             elif name == "role":
-                boilerplate |= value in ROLES
+                boilerplate = max(boilerplate, NAME if value in ROLES else 0)
             elif name == "style":
                 hidden |= "display:none" in value.replace(" ", "")
             elif name == "hidden" or value == "true":
@@ -93,7 +125,9 @@ class Reader:
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, bool, int]] = []  # element, boilerplate, hidden, article
+        self.open: list[tuple[str, int, bool, int]] = []  # element, place of its mark in marks, hidden, article
+        self.marks: list[int] = [0]  # kind of each mark; the first is none
+        self.under: list[tuple[int, ...]] = []  # marks that each block is under
         self.articles = 0
         self.parts: list[str] = []
         self.links: list[str] = []
@@ -106,8 +140,9 @@ class Reader:
             article = max((e[3] for e in self.open), default=0)
             inside = next((k for k, e in enumerate(self.open) if e[3] == article), 0) if article else 0
             # a marked wrapper around the article does not count; menus, asides and the like do anywhere
-            boilerplate = any(e[1] == ELEMENT or e[1] and k >= inside for k, e in enumerate(self.open))
-            self.blocks.append(Block(text, linked, boilerplate, self.heading, article))
+            marks = tuple(e[1] for k, e in enumerate(self.open) if e[1] and (k >= inside or self.marks[e[1]] == ELEMENT))
+            self.blocks.append(Block(text, linked, bool(marks), self.heading, article))
+            self.under.append(marks)
         self.parts, self.links, self.heading = [], [], False
 
     def text(self, piece: str) -> None:
@@ -131,10 +166,12 @@ class Reader:
         article = 0
         if name in ("article", "main"):
             article = self.articles = self.articles + 1
-        mark = NAME if boilerplate and name not in ("html", "body", "main", "article") else 0
+        mark = boilerplate if name not in ("html", "body", "main", "article") else 0
         if name in BOILERPLATE and not self._in_article(name):
             mark = ELEMENT
-        self.open.append((name, mark, hidden or name in HIDDEN, article))
+        if mark:
+            self.marks.append(mark)
+        self.open.append((name, len(self.marks) - 1 if mark else 0, hidden or name in HIDDEN, article))
 
     def _in_article(self, name: str) -> bool:
         """A header inside an article is the article's own."""
@@ -184,20 +221,57 @@ class Reader:
                 self.text(page[at : close.start()] if close else page[at:])
                 at = close.start() if close else len(page)
         self.flush()
+        self._ignore_wrappers()
         return self.blocks
 
+    def _ignore_wrappers(self) -> None:
+        """Lifts the marks that hold most of the unlinked text outside of other boilerplate, larger ones first."""
+        size, rest, paragraphs, left = [0] * len(self.marks), 0, 0, [len(marks) for marks in self.under]
+        held: list[list[int]] = [[] for _ in self.marks]
+        for number, (block, marks) in enumerate(zip(self.blocks, self.under)):
+            text = max(0, len(block.text) - block.linked)
+            rest += 0 if marks else text
+            paragraphs += 0 if marks or len(block.text) < SHORT_CHARS else text
+            if not any(self.marks[m] == ELEMENT for m in marks):
+                for mark in marks:
+                    size[mark] += text
+                    held[mark].append(number)
+        for mark in sorted((m for m in range(1, len(size)) if size[m]), key=lambda m: (self.marks[m], -size[m], m)):
+            if size[mark] <= rest or self.marks[mark] == NAME and paragraphs >= LONG_CHARS:
+                continue
+            for number in held[mark]:
+                left[number] -= 1
+                if not left[number]:
+                    block = self.blocks[number]
+                    block.boilerplate, text = False, max(0, len(block.text) - block.linked)
+                    rest += text
+                    paragraphs += text if len(block.text) >= SHORT_CHARS else 0
+
+
+def _linked(block: Block) -> bool:
+    return block.linked > MAX_LINK_DENSITY * len(block.text)
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether the page's paragraphs have as many stop words as a good block."""
+    counts = [b.words for b in blocks if len(b.text) >= SHORT_CHARS and not b.boilerplate and not _linked(b)]
+    return sum(stop for _, stop in counts) >= HIGH_STOP_WORDS * sum(n for n, _ in counts)
+
 
-def classify(block: Block) -> str:
-    """good, near (nearly good), short or bad, by the block alone."""
+def classify(block: Block, known: bool = True) -> str:
+    """good, near (nearly good), short or bad, by the block alone; known: whether stop words know its language."""
     size = len(block.text)
-    if block.boilerplate or block.linked > MAX_LINK_DENSITY * size and block.linked:
+    if block.boilerplate or _linked(block):
         return "bad"
     if block.text[0] in "©\xa9" or "©" in block.text[:60] and size < LONG_CHARS:
         return "bad"
-    found = WORDS.findall(block.text.lower())
-    if not found:
+    n_words, n_stop = block.words
+    if not n_words:
         return "short"
-    stop = sum(w in BY_WORD for w in found) / len(found)
+    if not known:
+        size += (WIDE_CHARS - 1) * len(WIDE.findall(block.text))
+        return "good" if size > LONG_CHARS else "near" if size >= SHORT_CHARS else "short"
+    stop = n_stop / n_words
     if size < SHORT_CHARS:
         return "short"
     if stop >= HIGH_STOP_WORDS:
@@ -210,7 +284,8 @@ def classify(block: Block) -> str:
 def decide(blocks: list[Block]) -> list[bool]:
     """Second pass: blocks without a decision take it from the nearest decided neighbours, those in the
     same article if there is one."""
-    kinds = [classify(b) for b in blocks]
+    known = known_language(blocks)
+    kinds = [classify(b, known) for b in blocks]
     before, after = _nearest(blocks, kinds), _nearest(blocks[::-1], kinds[::-1])[::-1]
     kept = []
     for number, kind in enumerate(kinds):

@@ -48,3 +48,35 @@ def test_rows_and_clashing_columns(spark):
     got = html_text.extract(pages)
     assert got.columns == pages.columns and [r["text"] for r in got.collect()] == [LONG, LONG, ""]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+POLISH = (
+    "Wczesnym rankiem mieszkańcy miasteczka zebrali się przed ratuszem, żeby wysłuchać przemówienia burmistrza. "
+    "Zapowiedział budowę mostu, który połączy oba brzegi rzeki jeszcze przed zimą. Wielu słuchaczy przyjęło tę wiadomość z ulgą."
+)
+GREEK = (
+    "Νωρίς το πρωί οι κάτοικοι της μικρής πόλης μαζεύτηκαν μπροστά στο δημαρχείο για να ακούσουν τον δήμαρχο. "
+    "Υποσχέθηκε μια γέφυρα που θα ενώσει τις δύο όχθες του ποταμού πριν από τον χειμώνα, και πολλοί χάρηκαν."
+)
+CHINESE = "清晨，小镇居民聚集在市政厅前，聆听镇长的讲话。他宣布将在冬天之前修建一座连接河流两岸的桥梁。许多听众听到这个消息都松了一口气，孩子们也高兴地跑来跑去。"
+
+
+@pytest.mark.parametrize("text", [POLISH, GREEK, CHINESE])
+def test_languages_without_stop_words(text):
+    menu, foot = "<nav><a href=a>A</a> b</nav>", "<footer>c</footer>"
+    assert html_text.main_text(f"{menu}<p>{text}</p><p>{text}</p>{foot}") == f"{text}\n{text}"
+    linked = text.replace(text[10:16], f"<a href=x>{text[10:16]}</a>")
+    assert html_text.main_text(f"{menu}<article><p>{text}</p><p>{linked}</p><p>{text}</p></article>{foot}") == f"{text}\n{text}\n{text}"
+    assert html_text.main_text(f"{menu}<p>{text}</p><p><a href=y>{text}</a></p>{foot}") == text
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar wide", "layout_with_sidebar", "without-comments", "right-sidebar", "header-fixed page", "sidebar", "comments-open"])
+def test_marked_wrappers_of_the_text(name):
+    page = f"<nav><a href=a>A</a></nav><div class='{name}'><p>{LONG}</p><p>{OTHER}</p><div class=sidebar>{OTHER}</div></div><footer>c</footer>"
+    assert html_text.main_text(page) == f"{LONG}\n{OTHER}"
+
+
+def test_long_discussions_stay_marked():
+    for name in ("comments", "comment-list", "sidebar"):
+        assert html_text.main_text(f"<p>{LONG}</p><div class={name}>{f'<p>{OTHER}</p>' * 20}</div>") == LONG
+    assert html_text.main_text(f"<div class=right-sidebar><p>{LONG}</p></div><div id=comments>{f'<p>{OTHER}</p>' * 20}</div>") == LONG

@@ -4,7 +4,7 @@ An item is a question and an answer. Its words (lower case, marks stripped from
 into chunks of at most ``CHUNK_WORDS``; the chunks are the documents of an inverted BM25 index. The
 passages of a training text, windows of two neighbouring cells of ``CHUNK_WORDS`` words, are the queries,
 each distinct word once. A chunk is retrieved when its score reaches ``RETRIEVE`` of the score that all
-of its words would give.
+of its words would give, or those of the question or answer where that one alone can make a match.
 
 Chunks are sorted by their most frequent term and that threshold, and laid in blocks; a term has a largest impact in each of its
 blocks. Terms that are in many blocks add their largest impact everywhere, one number a passage; for
@@ -14,8 +14,9 @@ common ones cannot lift any chunk of it to its threshold. So the retrieval is th
 pruning.
 
 A retrieved item is verified on the words of the text: its ``width``-word shingles that occur there must
-cover ``overlap`` of the question's words, and of the answer's words (an answer or question of fewer
-words counts when it occurs as a whole).
+cover ``overlap`` of all its words, question and answer in a row, or of the words of each of both (one of
+fewer words counts when it occurs as a whole). An answer of fewer than twice ``width`` words, all of whose shingles one
+changed word can take away, does not decide beside a question that is longer.
 
 The index of at most ``SHARD_WORDS`` words of items is broadcast. Larger benchmarks are cut into such
 shards, each of which is held against all texts, so the broadcast does not grow with the benchmark.
@@ -67,11 +68,20 @@ class Item:
     question: list[bytes]
     answer: list[bytes]
 
+    def alone(self, width: int, overlap: float) -> list[list[bytes]]:
+        """The question or answer when its words make a match without the other's."""
+        n = len(self.question) + len(self.answer)
+        parts = [p for p in (self.question, self.answer) if len(p) >= overlap * n]
+        return [self.question] if not parts and self.question_decides(width) else parts
+
+    def question_decides(self, width: int) -> bool:
+        return len(self.question) >= 2 * width > len(self.answer)
+
 
 class Index:
     """Inverted index of item chunks."""
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], width: int = WIDTH, overlap: float = OVERLAP):
         self.items = items
         chunks = []
         for number, item in enumerate(items):
@@ -92,7 +102,10 @@ class Index:
             for word in set(part):
                 term, often = self.terms[word], part.count(word)
                 own[term] = float(idf[term] * often * (K1 + 1) / (often + K1 * (1 - B + B * len(part) / mean)))
-            impacts.append((RETRIEVE * sum(own.values()), number, own))
+            # of several chunks one lies inside such a part
+            alone = items[number].alone(width, overlap) if len(part) == len(items[number].question) + len(items[number].answer) else []
+            least = min([sum(own.values()), *(sum(own[self.terms[w]] for w in set(p)) for p in alone)])
+            impacts.append((RETRIEVE * least, number, own))
         # neighbours share their most frequent term, so that texts of one language meet in a block
         impacts.sort(key=lambda x: (max((seen[t], t) for t in x[2])[1], *x[:2]))
         self.chunk_item = [n for _, n, _ in impacts]
@@ -145,30 +158,31 @@ class Index:
         where = passage[owner] * self.blocks + self.block_of[entry]
         bound = np.bincount(where, weights=self.maximum[entry], minlength=passages * self.blocks).reshape(passages, self.blocks)
         open_blocks = bound + everywhere[:, None] >= self.block_threshold - EPSILON
-        hits: set[int] = set()
-        for number in np.flatnonzero(open_blocks.any(axis=1)):
-            own = term[np.searchsorted(passage, number) : np.searchsorted(passage, number, "right")]
-            hits.update(self._scored(own, np.flatnonzero(open_blocks[number])))
-        return hits
-
-    def _scored(self, own: np.ndarray, blocks: np.ndarray) -> set[int]:
-        """Items whose chunks reach their threshold in these blocks; rare terms first, so that a block
-        is left when the common ones cannot lift a chunk of it any more."""
-        rest = float(self.common[own].sum())
-        score = np.zeros(self.blocks * BLOCK_CHUNKS)
-        threshold = np.full(len(score), np.inf)
-        threshold[: len(self.chunk_threshold)] = self.chunk_threshold
-        inside = np.zeros(self.blocks, dtype=bool)
-        inside[blocks] = True
+        return self._scored(passage, term, everywhere, open_blocks)
+
+    def _scored(self, passage: np.ndarray, term: np.ndarray, rest: np.ndarray, open_blocks: np.ndarray) -> set[int]:
+        """Items whose chunks reach their threshold for a passage in its open blocks; rare terms first, so
+        that a passage is left when the common ones (at most rest) cannot lift a chunk any more."""
+        chunks = len(self.chunk_threshold)
+        score = np.zeros((0, chunks))
+        rows, inside = np.arange(len(open_blocks)), open_blocks
         for rare in (True, False):
-            owner, entry = _spread(self.list_first, own[(self.common[own] == 0) == rare])
-            np.add.at(score, self.list_chunk[entry], self.list_impact[entry])
+            some = inside.any(axis=1)
+            rows, inside = rows[some], inside[some]
+            if not len(rows):
+                return set()
+            score = score[some] if len(score) else np.zeros((len(rows), chunks))
+            place = np.full(len(open_blocks), -1)
+            place[rows] = np.arange(len(rows))
+            own = (place[passage] >= 0) & ((self.common[term] == 0) == rare)
+            owner, entry = _spread(self.list_first, term[own])
+            where = place[passage[own]][owner] * chunks + self.list_chunk[entry]
+            score = score + np.bincount(where, weights=self.list_impact[entry], minlength=score.size).reshape(score.shape)
             if rare:
-                inside &= ((score + rest) >= threshold - EPSILON).reshape(self.blocks, -1).any(axis=1)
-                if not inside.any():
-                    return set()
-        reached = np.flatnonzero((score >= threshold - EPSILON) & np.repeat(inside, BLOCK_CHUNKS))
-        return {self.chunk_item[k] for k in reached}
+                inside = np.repeat(inside, BLOCK_CHUNKS, axis=1)[:, :chunks]
+                inside = inside & (score + rest[rows, None] >= self.chunk_threshold - EPSILON)
+        reached = (inside & (score >= self.chunk_threshold - EPSILON)).any(axis=0)
+        return {self.chunk_item[k] for k in np.flatnonzero(reached)}
 
 
 def _spread(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,9 +219,9 @@ def covered(part: list[bytes], text: set[tuple[bytes, ...]], width: int) -> floa
 
 
 def verify(item: Item, found: list[bytes], shingles: dict[int, set], width: int, overlap: float) -> tuple[bool, float, float]:
-    """Whether question and answer both overlap, and by how much. shingles: those known of the text, by width."""
+    """Whether the item overlaps, and by how much question and answer do. shingles: those known of the text, by width."""
     shares = []
-    for part in (item.question, item.answer):
+    for part in (item.question, item.answer, item.question + item.answer):
         if not part:
             shares.append(1.0)
             continue
@@ -215,7 +229,9 @@ def verify(item: Item, found: list[bytes], shingles: dict[int, set], width: int,
         if own not in shingles:
             shingles[own] = set(zip(*(found[k:] for k in range(own))))
         shares.append(covered(part, shingles[own], own))
-    return min(shares) >= overlap, shares[0], shares[1]
+    question, answer, whole = shares
+    decides = question if item.question_decides(width) else min(question, answer)
+    return max(decides, whole) >= overlap, question, answer
 
 
 def question_and_answer(text: str) -> tuple[Column, Column]:
@@ -245,7 +261,7 @@ def _held_against(docs: DataFrame, items: list[Item], width: int, overlap: float
     schema = T.ArrayType(T.StructType().add("item_id", "long").add("question_overlap", "double").add("answer_overlap", "double"))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index(held.value)
+        index = Index(held.value, width, overlap)
         for texts in batches:
             rows = []
             for text in texts:

@@ -95,3 +95,29 @@ def test_question_and_answer(spark):
     question, answer = decontamination.question_and_answer("text")
     got = [tuple(r) for r in rows.select(question, F.coalesce(answer, F.lit(""))).collect()]
     assert got == [("One. Two three.", "Four?"), ("Only one.", ""), ("No end", ""), ("A.", "B."), (None, ""), ("", "")]
+
+
+def test_cut_and_edited_last_sentences(spark):
+    rare = [f"rare{k}" for k in range(400)]
+    bench, rows = [], []
+    for k, (n, m) in enumerate([(40, 3), (40, 9), (30, 15), (14, 9), (11, 9), (60, 7), (90, 30), (10, 1), (12, 18)]):
+        question, answer = sentences(7000 + k, n), sentences(8000 + k, m, rare)
+        bench.append((k, question, answer))
+        last = answer.split()
+        last[m // 2] = "changed"
+        passages = [question, question + " " + " ".join(last)]
+        if n < 0.6 * (n + m) and m >= 2 * decontamination.WIDTH:
+            passages = [sentences(1, 5) + " " + answer]  # the answer is most of the item
+        around = sentences(9000 + k, 200)
+        rows += [(10 * k + i, around[:400] + " " + p + " . " + around[400:]) for i, p in enumerate(passages)]
+        rows.append((10 * k + 5, around + " " + answer + " " + " ".join(question.split()[: n // 3])) if m < 5 else (10 * k + 5, around))
+    got = decontamination.matches(documents(spark, rows), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(d, d // 10) for d, _ in rows if d % 10 < 5}
+    kept = decontamination.clean(documents(spark, rows), items(spark, bench)).collect()
+    assert {r["doc_id"] for r in kept} == {d for d, _ in rows if d % 10 == 5}
+
+
+def test_short_questions_need_their_answers(spark):
+    docs = documents(spark, [(1, "so what is this and that is all"), (2, "what is this it is a river in the north")])
+    bench = [(1, "what is this", "a river in"), (2, "what is", "lakes")]
+    assert [tuple(r)[:2] for r in decontamination.matches(docs, items(spark, bench)).collect()] == [(2, 1)]

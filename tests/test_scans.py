@@ -27,17 +27,17 @@ def test_titles_keep_quotes_blanks_and_backslashes(spark, tmp_path):
         "t.tsv.gz",
         [
             TITLE_HEAD,
-            'tt1\ttvEpisode\t"Rolling (unbalanced\t"x" y\t0\t2019\t\\N\t\\N\tReality-TV',
+            'tt1\ttvEpisode\t"Lantern (half open\t"x" y\t0\t2019\t\\N\t\\N\tReality-TV',
             "tt2\tshort\t  lead\\\t\\N\t\\N\t 42 \tbad\t1\t\\N",
             "tt3\tshort\t\\N\t\t1\t1968\t\\N\t1\tA,B",
         ],
     )
     got = rows_of(tsv.scan_titles(spark, path).drop(*tsv.ORDER).orderBy("imdb_id"))
     assert got == [
-        ("tt1", "tvEpisode", '"Rolling (unbalanced', '"x" y', 0, 2019, None, None, "Reality-TV"),
+        ("tt1", "tvEpisode", '"Lantern (half open', '"x" y', 0, 2019, None, None, "Reality-TV"),
         ("tt2", "short", "  lead\\", None, 0, None, None, 1, None),
         # the mark is a null only where nulls are allowed; an empty field stays empty
-        ("tt3", "short", "\\N", "", 1, 1894, None, 1, "A,B"),
+        ("tt3", "short", "\\N", "", 1, 1968, None, 1, "A,B"),
     ]
 
 
@@ -62,7 +62,7 @@ def test_export_scan(spark, tmp_path):
     line = '{"id":31,"adult":false,"original_title":"Quiet Harbour","popularity":17.25,"video":false}'
     path = land(tmp_path, "e.json.gz", [line, "", "   ", '{"id":12,"adult":true,"video":true,"extra":1}'])
     got = rows_of(documents.scan_movie_export(spark, path, 7).drop(*tsv.ORDER).orderBy("tmdb_movie_id"))
-    assert got == [(7, 31, 0, "Quiet Harbour", 17.25, 0), (7, 12, 1, None, None, 1)]
+    assert got == [(7, 12, 1, None, None, 1), (7, 31, 0, "Quiet Harbour", 17.25, 0)]
 
 
 @pytest.mark.parametrize("line", ['{"id":1,"adult":false}', "{nope", '{"id":"x","adult":false,"video":false}'])

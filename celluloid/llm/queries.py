@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import decontamination, html_text, language_id, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
+from celluloid.llm import decontamination, html_text, language_id, merkle, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +82,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), benchmark_items(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    chosen = fold("doc_id", 3) == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    altered = merkle.digest(*(lowered if c == "text" else F.col(c) for c in merkle.FIELDS))
+    leaves = docs.withColumn("altered", F.when(chosen, altered))
+    made = merkle.manifest(merkle.leaf_rows(leaves, carried=("altered",)))
+    tested = merkle.folded(F.coalesce("altered", "leaf"), F.col("proof"))
+    made = made.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("proof")).alias("proof_sha256"), tested.alias("folded_root"))
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 
@@ -127,5 +140,58 @@ SELECT s.doc_id, len(s.shingles) AS n_shingles, c.component_id FROM sets s JOIN
 """
 
 
+# crc32 bit by bit: each byte is followed by eight steps, marked -1
+OP11_SQL = r"""
+WITH RECURSIVE given AS (
+    SELECT *, row_number() OVER () AS line, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+           coalesce(xor(4294967295, list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END, 4294967295::BIGINT)) % 3 = 0, false) AS chosen
+    FROM documents
+), fields AS (
+    SELECT doc_id, lang, line, chosen,
+           coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+           coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail, coalesce(octet_length(encode(lowered)) || ':' || lowered, '-') AS low_tail
+    FROM given
+), leaves AS (
+    SELECT doc_id, lang, line, sha256(head || tail) AS leaf, sha256(head || CASE WHEN chosen THEN low_tail ELSE tail END) AS altered
+    FROM fields
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), nodes AS (
+    SELECT 0 AS level, lang, place, leaf AS digest, count(*) OVER (PARTITION BY lang) AS size FROM placed
+    UNION ALL
+    SELECT level + 1, lang, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (any_value(size) + 7) // 8
+    FROM nodes WHERE size > 1 GROUP BY level, lang, place // 8
+), subroots AS (
+    SELECT lang, digest, row_number() OVER (ORDER BY lang COLLATE "POSIX" NULLS FIRST) - 1 AS place FROM nodes WHERE size = 1
+), upper AS (
+    SELECT 0 AS level, place, digest, count(*) OVER () AS size FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (any_value(size) + 7) // 8
+    FROM upper WHERE size > 1 GROUP BY level, place // 8
+), runs AS (
+    SELECT 0 AS part, level, lang, place // 8 AS run, list(digest ORDER BY place) AS members FROM nodes WHERE size > 1 GROUP BY ALL
+    UNION ALL
+    SELECT 1, level, NULL, place // 8, list(digest ORDER BY place) FROM upper WHERE size > 1 GROUP BY ALL
+), walk AS (
+    SELECT line, lang, 0 AS part, 0 AS level, place, altered AS low, '' AS proof FROM placed
+    UNION ALL
+    SELECT w.line, w.lang, CASE WHEN r.members IS NULL THEN 1 ELSE w.part END, CASE WHEN r.members IS NULL THEN 0 ELSE w.level + 1 END,
+           CASE WHEN r.members IS NULL THEN s.place ELSE w.place // 8 END,
+           CASE WHEN r.members IS NULL THEN w.low ELSE sha256(concat(array_to_string(r.members[: (w.place % 8)], ''), w.low, array_to_string(r.members[(w.place % 8) + 2 :], ''))) END,
+           CASE WHEN r.members IS NULL THEN w.proof ELSE concat(w.proof, array_to_string(r.members[: (w.place % 8)], ''), array_to_string(r.members[(w.place % 8) + 2 :], '')) END
+    FROM walk w
+    LEFT JOIN runs r ON r.part = w.part AND r.level = w.level AND r.run = w.place // 8 AND (w.part = 1 OR r.lang IS NOT DISTINCT FROM w.lang)
+    JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang
+    WHERE r.members IS NOT NULL OR w.part = 0
+), ended AS (
+    SELECT line, arg_max(low, part * 1000 + level) AS folded_root, arg_max(proof, part * 1000 + level) AS proof FROM walk GROUP BY line
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256, e.folded_root, e.folded_root = t.digest AS verified
+FROM placed p JOIN ended e ON e.line = p.line JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN upper t ON t.size = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op9_ngram_join": OP9_SQL}
+    return {"op6_warc": OP6_SQL, "op9_ngram_join": OP9_SQL, "op11_merkle_manifest": OP11_SQL}

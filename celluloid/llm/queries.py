@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import decontamination, html_text, language_id, merkle, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
+from celluloid.llm import decontamination, hard_negatives, html_text, language_id, merkle, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,6 +94,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+    return mined.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op")}
 
@@ -192,6 +199,26 @@ SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(e.proof)
 FROM placed p JOIN ended e ON e.line = p.line JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN upper t ON t.size = 1
 """
 
+OP13_SQL = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS line, vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.line, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.line <> b.line WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT line, anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.line, p.positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.line = p.line AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op9_ngram_join": OP9_SQL, "op11_merkle_manifest": OP11_SQL}
+    return {"op6_warc": OP6_SQL, "op9_ngram_join": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op13_hard_negatives": OP13_SQL}

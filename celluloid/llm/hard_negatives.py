@@ -64,7 +64,7 @@ def packed(vectors: DataFrame, anchor: Column) -> DataFrame:
     width = rows.agg(F.max(F.size("embedding"))).first()[0] or 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in filter(len, batches):
             lists = batch.column("embedding")
             sizes, values = np.asarray(lists.value_lengths()), np.asarray(lists.flatten(), dtype=np.float64)
             made = np.zeros((batch.num_rows, width), dtype="<i4")
@@ -230,11 +230,10 @@ def grown(pts: DataFrame, kept: int) -> DataFrame:
     pivots = pts.sparkSession.sparkContext.broadcast([r["vec"] for r in chosen])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = matrix(pa.array(pivots.value, pa.binary()))
+        held = matrix(pa.array(pivots.value, pa.binary())) if pivots.value else np.zeros((0, 1))
         size = (held * held).sum(axis=1)
-        for batch in batches:
-            at = matrix(batch.column("vec"))
-            cell = np.argmin(size - 2 * at @ held.T, axis=1) if len(at) else np.zeros(0)
+        for batch in filter(len, batches):
+            cell = np.argmin(size - 2 * matrix(batch.column("vec")) @ held.T, axis=1)
             yield batch.append_column("cell", pa.array(cell.astype(np.int32)))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +268,7 @@ def _runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
     """The rows of a stream, ``size`` at a time."""
     held: list[pa.RecordBatch] = []
     count = 0
-    for batch in batches:
+    for batch in filter(len, batches):
         held.append(batch)
         count += batch.num_rows
         while count >= size:

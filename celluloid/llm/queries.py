@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.llm import decontamination, hard_negatives, html_text, language_id, merkle, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
+from celluloid.llm import decontamination, disclosure, hard_negatives, html_text, language_id, merkle, mixture, ngram_join, quality_classifier, quality_rules, token_counts, toxicity, warc
 from celluloid.llm.common import fold, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,6 +94,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find(table(spark, sf_dir, "documents"))
+    counts = (f"n_{kind}" for kind in disclosure.KINDS)
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), disclosure.all_spans(found).alias("spans"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

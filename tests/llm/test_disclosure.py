@@ -78,12 +78,12 @@ def told(texts):
 def corpus():
     rows = [(k, sentences(k, 40), "en", "s") for k in range(40)]
     who = "ilse.brandt@mail.example.com"
-    rows += [(100 + k, f"{sentences(k, 20)} Harbourmaster Ilse wrote {who} on day {k} {sentences(k + 500, 20)}", "en", "s") for k in range(6)]
+    rows += [(100 + k, f"{sentences(k, 20)} Harbourmaster Oslund wrote {who} on day {k} {sentences(k + 500, 20)}", "en", "s") for k in range(6)]
     rows += [(200 + k, f"{sentences(7, 9)} rarecopy {sentences(8, 3)} +49 (30) 5550 1234 {sentences(9, 12)}", "en", "s") for k in range(30)]  # copies: one context
-    rows += [(300, "The Harbourmaster is gone. ILSE too, é.", "en", "s"), (301, "", "en", "s"), (302, None, "en", "s"), (None, "x 10.0.0.1", None, None), (301, "a@b.co 10.0.0.1 4111 1111 1111 1111 +1 555 010 9999", "en", "s")]
+    rows += [(300, "The Harbourmaster is gone. OSLUND too, é.", "en", "s"), (301, "", "en", "s"), (302, None, "en", "s"), (None, "x 10.0.0.1", None, None), (301, "a@b.co 10.0.0.1 4111 1111 1111 1111 +1 555 010 9999", "en", "s")]
     # a number that only stands beside one address
     rows += [(400 + k, f"{sentences(k + 50, 12)} 192.0.2.7 badge 77{sentences(1, 1)} 48213 {sentences(k + 90, 12)}", "en", "s") for k in range(5)]
-    rows += [(500, "long " * 200_000 + "Ilse", "en", "s")]
+    rows += [(500, "long " * 200_000 + "Oslund", "en", "s")]
     return rows
 
 
@@ -92,7 +92,7 @@ def test_against_counts(spark, tmp_path):
     docs = spark.createDataFrame([(*r, 0) for r in rows], DOCS).repartition(7)
     docs.withColumns({c: F.lit("clash") for c in ("key", "base", "term", "entity", "n", "terms", "place")}).write.parquet(str(tmp_path / "documents.parquet"))
     removed = told([r[1] or "" for r in rows])
-    assert {"harbourmaster", "ilse", "48213"} <= set(removed) and "rarecopy" not in removed
+    assert {"harbourmaster", "oslund", "48213"} <= set(removed) and "rarecopy" not in removed
     expected = []
     for doc_id, text, *_ in rows:
         text = text or ""

@@ -48,7 +48,7 @@ SCALE = 256
 LARGEST = 1 << 28
 PIVOTS = 256
 TREE_POINTS = 4_096
-LEAF_POINTS = 32
+LEAF_POINTS = 64
 BASE = 1.3
 GRID = 1_024  # roots, or blocks of queries, that meet in one task
 NO_ID = (1 << 63) - 1  # stands for a null id, so that it comes last
@@ -107,7 +107,7 @@ class CoverTree:
         child_point: list[np.ndarray] = []
         child_node: list[np.ndarray] = []
         child_radius: list[np.ndarray] = []
-        self.spans: list[tuple[int, int]] = []
+        spans: list[tuple[int, int]] = []
         waiting, total, made = [(np.arange(len(at)), self.root, away)], 0, 1
         while waiting:
             following = []
@@ -120,12 +120,12 @@ class CoverTree:
                 child_point.append(np.array([g[0] for g in groups]))
                 child_node.append(np.array(nodes))
                 child_radius.append(np.array([g[2].max() for g in groups]))
-                self.spans.append((total, total + len(groups)))
+                spans.append((total, total + len(groups)))
                 total += len(groups)
                 following += [(rows, middle, near) for middle, rows, near in groups if len(rows) > 1]
             waiting = following
         self.child_point, self.child_node, self.child_radius = map(np.concatenate, (child_point, child_node, child_radius))
-        self.at = at
+        self.spans, self.at = np.array(spans), at
 
     @staticmethod
     def _distances(whole: np.ndarray, members: np.ndarray, center: int) -> np.ndarray:
@@ -174,29 +174,41 @@ class CoverTree:
         found: list[list[tuple[int, int]]] = [[] for _ in lows]
         open_from = np.array(lows, dtype=np.float64)
         ends = np.array(highs, dtype=np.float64)
-        heap = [(-np.inf, 0)]
-        while heap:
-            upper, node = heapq.heappop(heap)
-            if -upper < open_from.min():
-                break
-            start, end = self.spans[node]
-            score = laid[start:end] @ q if exact is None else exact[0][start:end] @ exact[1]
-            child = self.child_node[start:end]
-            single = child < 0
-            rows = self.child_point[start:end]
-            fits = single & ((self.labels[rows] == label) == same)
-            for w in range(len(lows)):
-                here = np.flatnonzero(fits & (score >= open_from[w]) & (score <= ends[w]))
-                if len(here):
-                    self._keep(found[w], score[here], rows[here], k)
-                    if len(found[w]) == k:
-                        open_from[w] = max(open_from[w], found[w][-1][0])
-            inner = np.flatnonzero(~single)
+        low, high = np.full(len(self.spans), -np.inf), np.full(len(self.spans), np.inf)
+        heap, wide, whole = [(-np.inf, 0)], 1, None
+        while heap and -heap[0][0] >= open_from.min():
+            # the best node, then the next two, four and so on together, each looked at again before it is opened
+            best = np.array([heapq.heappop(heap)[1] for _ in range(min(wide, len(heap)))])
+            wide *= 2
+            held = best[((high[best][:, None] >= open_from) & (low[best][:, None] <= ends)).any(axis=1)]
+            if not len(held):
+                continue
+            starts, sizes = self.spans[held, 0], self.spans[held, 1] - self.spans[held, 0]
+            under = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+            if whole is None and 4 * len(under) > len(laid):
+                whole = laid @ q if exact is None else exact[0] @ exact[1]  # cheaper than to gather the rows
+            if whole is not None:
+                score = whole[under]
+            else:
+                score = laid[under] @ q if exact is None else exact[0][under] @ exact[1]
+            child, rows = self.child_node[under], self.child_point[under]
+            inner = np.flatnonzero(child >= 0)
+            fits = (child < 0) & ((self.labels[rows] == label) == same) & (score >= open_from.min()) & (score <= ends.max())
+            here = np.flatnonzero(fits)
+            if len(here):
+                mine, own = score[here], rows[here]
+                for w in range(len(lows)):
+                    inside = (mine >= open_from[w]) & (mine <= ends[w])
+                    if inside.any():
+                        self._keep(found[w], mine[inside], own[inside], k)
+                        if len(found[w]) == k:
+                            open_from[w] = max(open_from[w], found[w][-1][0])
             if len(inner):
-                low, high = bounds(score[inner].astype(np.float64), self.child_radius[start:end][inner], self.most, squared)
-                hit = ((high[:, None] >= open_from) & (low[:, None] <= ends)).any(axis=1)
-                for place in np.flatnonzero(hit):
-                    heapq.heappush(heap, (-float(high[place]), int(child[inner[place]])))
+                nodes = child[inner]
+                low[nodes], high[nodes] = bounds(score[inner].astype(np.float64), self.child_radius[under][inner], self.most, squared)
+                hit = ((high[nodes][:, None] >= open_from) & (low[nodes][:, None] <= ends)).any(axis=1)
+                for node in nodes[hit]:
+                    heapq.heappush(heap, (-float(high[node]), int(node)))
         return found
 
     def _keep(self, held: list[tuple[int, int]], score: np.ndarray, rows: np.ndarray, k: int) -> None:

@@ -47,6 +47,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made from them is staged itself."""
+    for staged_rows in tables:
+        spark = staged_rows.sparkSession
+        files = staged_rows.inputFiles()
+        if files:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

@@ -27,8 +27,8 @@ Two texts link when their sets of n-word shingles have a Jaccard similarity of a
    The pivots' pairs and each set's nearest pair are checked first.
 6. Components of the links by alternating large-star and small-star rounds. Pairs that are left count
    only where they join two components, and long lists whose sets are not yet in one component are gone
-   through again for all pairs that may link across; those are checked and the components made anew. So no link between components is lost, and a
-   group of near copies is not spelled out in pairs.
+   through again for all pairs that may link across; those are checked and the components made anew. So no
+   link between components is lost, and a group of near copies is not spelled out in pairs.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing. A text of fewer than
 n words has its whole word sequence as its one shingle. Null ids get a null component unless linked
@@ -46,7 +46,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from celluloid.llm.common import WordHashes, mix, ship, staged
+from celluloid.llm.common import WordHashes, discard, mix, ship, staged
 
 FILTER_BITS = 26  # of a bitmap of keys: 8 MB
 CELL_BITS = 20  # cells of the histogram: the broadcast levels are one byte each
@@ -208,19 +208,24 @@ def _by_batches(add):
     return run
 
 
-def entries(docs: DataFrame, level: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Index entries of every document's prefix."""
+def entries(docs: DataFrame, level: np.ndarray, first: Broadcast, width: int, percent: int) -> DataFrame:
+    """Index entries of every set's prefix, from the documents whose id may be the first of a set. Copies would
+    only repeat them; those that the bitmap lets through do."""
     held = docs.sparkSession.sparkContext.broadcast(level)  # 1 MB at any size of the input
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             made: list[tuple[np.ndarray, int, int]] = []
-            for text in batch.column("text"):
-                found = shingles(text.as_py(), hashes, width)
+            bit = np.asarray(batch.column("bit"))
+            may = (first.value[np.asarray(batch.column("part")) * 4096 + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            may |= np.asarray(batch.column("doc_id").is_null())
+            for text, can in zip(batch.column("text"), may):
+                found = shingles(text.as_py(), hashes, width) if can else ()
                 if len(found):
-                    first = np.argsort(held.value[cells(found)], kind="stable")[: prefix_length(len(found), percent)]
-                    made.append((found[first], set_hash(found), len(found)))
+                    leading = np.argsort(held.value[cells(found)], kind="stable")[: prefix_length(len(found), percent)]
+                    made.append((found[leading], set_hash(found), len(found)))
             if made:
                 sizes = [len(m[0]) for m in made]
                 yield pa.RecordBatch.from_arrays(
@@ -233,7 +238,8 @@ def entries(docs: DataFrame, level: np.ndarray, width: int, percent: int) -> Dat
                     names=["shingle", "set_id", "n", "position"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, ENTRIES)
+    placed = docs.select("doc_id", "text", F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit"))
+    return placed.mapInArrow(run, ENTRIES)
 
 
 def list_pairs(ids: np.ndarray, sizes: np.ndarray, positions: np.ndarray, percent: int) -> list[tuple[int, int, bool]]:
@@ -333,10 +339,10 @@ def star_pairs(known: DataFrame, sets: DataFrame, percent: int, groups: DataFram
     """Pairs from long lists. Without groups: pivots with the sets they take, and other sets with the
     nearest of these. With groups (set_id, component): all that may link across components."""
     # a set's long lists, as many as its prefix has shingles at most: a pair is left to the first list of both
-    lists = known.groupBy("set_id").agg(F.array_sort(F.collect_list("list")).alias("lists"))
     if groups is None:
-        lists = lists.withColumn("component", F.lit(None).cast("long"))
+        lists = known.select("set_id").distinct().withColumns({"lists": F.lit(None).cast("array<long>"), "component": F.lit(None).cast("long")})
     else:
+        lists = known.groupBy("set_id").agg(F.array_sort(F.collect_list("list")).alias("lists"))
         named = groups.select(F.col("node"), "component")
         lists = lists.join(named, F.col("set_id") == F.col("node"), "left").select("set_id", "lists", F.coalesce("component", "set_id").alias("component"))
     lists = staged(lists, "ngram-long-sets")
@@ -375,10 +381,11 @@ def stars(group: pa.Table, number: int, percent: int) -> list[tuple[int, int, bo
     leads, ids, sizes = leads[order], ids[order], sizes[order]
     kept = group["sketch"].to_pylist()
     sketches = Sketches([kept[k] for k in order])
-    column = group["lists"].combine_chunks()
-    offsets, values = np.asarray(column.offsets), np.asarray(column.values)
-    lists = [values[offsets[k] : offsets[k + 1]] for k in order]
     across = group["component"].null_count == 0
+    if across:
+        column = group["lists"].combine_chunks()
+        offsets, values = np.asarray(column.offsets), np.asarray(column.values)
+        lists = [values[offsets[k] : offsets[k + 1]] for k in order]
     component = group["component"].to_numpy()[order] if across else None
     lead, reply = np.flatnonzero(leads & 1), np.flatnonzero(leads & 2)
     bound = lambda m, n: (100 - percent) * (m + n) // (100 + percent)
@@ -623,21 +630,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(tops)
 
 
-def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest id reachable by links) of every document row."""
-    ship(docs.sparkSession)
+def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n, set_id and component (a set_id) of every document row; without words the last two are null."""
     texts = docs.select("doc_id", "text")
     base = staged(base_rows(texts, width), "ngram-base")
     level = levels(base)
     rows = base.where("n is not null")
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sets = staged(sets, "ngram-sets")
-    entry = staged(entries(texts, level, width, percent), "ngram-entries")
+    entry = staged(entries(texts, level, bitmap(sets, "first_id"), width, percent), "ngram-entries")
     members = index_lists(entry)
+    discard(entry)
     known = long_lists(members)
     found = short_pairs(members, percent).unionByName(star_pairs(known, sets, percent))
     found = staged(found.groupBy("a", "b").agg(F.max("pivot").alias("pivot")), "ngram-candidates")
+    discard(members)
     near = staged(thinned(found, sets, percent), "ngram-pairs")
+    discard(found)
     built = set_rows(texts, base, near, width)
     first = staged(nearest(near), "ngram-nearest")
     tested = staged(checked(first, built, width, percent), "ngram-checked")
@@ -650,17 +659,60 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     if not more.isEmpty():
         late = checked(more, built, width, percent).where("linked").select("a", "b")
         groups = components(edges.unionByName(staged(late, "ngram-across-links")), "ngram-all-components")
-    named = sets.join(groups, F.col("set_id") == F.col("node"), "left").select("set_id", "first_id", F.coalesce("component", "set_id").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id")).withColumnRenamed("component", "of")
-    named = named.join(smallest, F.col("component") == F.col("of")).select(F.col("set_id").alias("named_id"), "component_id")
-    result = rows.join(named, (F.col("n") > 0) & (F.col("set_id") == F.col("named_id")), "left")
+    named = groups.select("node", "component")
+    told = rows.join(named, (F.col("n") > 0) & (F.col("set_id") == F.col("node")), "left")
+    own = F.when(F.col("n") > 0, F.col("set_id"))
+    return staged(told.select("doc_id", "n", own.alias("set_id"), F.coalesce("component", own).alias("component")), "ngram-classes")
+
+
+def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest id reachable by links) of every document row."""
+    ship(docs.sparkSession)
+    told = classes(docs, width, percent)
+    smallest = told.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "of")
+    result = told.join(smallest, F.col("component") == F.col("of"), "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The row with the smallest id of each component, with all its columns; rows with an empty set and
-    rows with a null id stay. Of rows that share the smallest id, one stays."""
-    groups = join(docs.select("doc_id", "text"), width, percent)
-    heads = groups.where((F.col("n_shingles") == 0) | (F.col("component_id") == F.col("doc_id"))).select(F.col("doc_id").alias("head_id"))
-    known = docs.where("doc_id is not null").join(heads.distinct(), F.col("doc_id") == F.col("head_id"), "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One row of each component, with all its columns: the one with the smallest id (nulls last), and of equal
+    ids that with the smallest text hash. Rows without words stay. Texts count, not ids: of different texts
+    under one id, or without an id, each stays that no other links with."""
+    ship(docs.sparkSession)
+    groups = classes(docs.select("doc_id", "text"), width, percent)
+    repeats = groups.where("set_id is not null").groupBy("component", "set_id", "doc_id").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_id", "rows"))
+    heads = staged(repeats.groupBy("component").agg(first.alias("head")).select("head.doc_id", "head.set_id", "head.rows"), "ngram-heads")
+    kept = with_sets(docs, bitmap(heads, "doc_id"), width)
+    wordless = kept.where("set_id is null").select("row.*")
+    heads = heads.select(F.col("doc_id").alias("id"), F.col("set_id").alias("set"), "rows")
+    kept = kept.join(heads, (F.col("set_id") == F.col("set")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("set", "id", "rows", "row")
+    # rows that repeat id and text: any of them, but only one, and the same in every run
+    one = kept.where("rows > 1").groupBy("set", "id").agg(F.min("row").alias("row"))
+    return kept.where("rows = 1").select("row.*").unionByName(one.select("row.*")).unionByName(wordless)
+
+
+def with_sets(docs: DataFrame, ids: Broadcast, width: int) -> DataFrame:
+    """(row, doc_id, set_id) of the rows whose id may be in the bitmap, and of all without words; set_id is the hash of the
+    text's shingle set, null where it is empty. The row is a struct, so its columns may have any names."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            bit = np.asarray(batch.column("bit"))
+            may = (ids.value[np.asarray(batch.column("part")) * 4096 + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            row = batch.column("row")
+            keys, picked = [], []
+            for place, (text, can) in enumerate(zip(row.field("text"), may)):
+                text = text.as_py() if row[place].is_valid else None
+                if can or not (text or "").encode().split():
+                    found = shingles(text, hashes, width)
+                    picked.append(place)
+                    keys.append(int(np.uint64(set_hash(found)).astype(np.int64)) if len(found) else None)
+            few = batch.take(pa.array(picked, pa.int64()))
+            yield pa.RecordBatch.from_arrays([few.column("row"), few.column("doc_id"), pa.array(keys, pa.int64())], names=["row", "doc_id", "set_id"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, f"row {kinds['row']}, doc_id {kinds['doc_id']}, set_id long")

@@ -79,7 +79,25 @@ def test_edge_rows(spark):
     assert ngram_join.join(docs.limit(0)).count() == 0
     kept = ngram_join.representatives(docs, 3, 90)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [3, 5, 7, 9, None, None]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [3, 5, 7, 9, 9, None]
+
+
+def test_representatives_go_by_text(spark):
+    a, b, c = sentences(1, 60), sentences(2, 60), sentences(3, 60)
+    rows = [(1, a), (2, a), (2, b), (None, b + " end"), (None, c), (None, c), (4, sentences(4, 60)), (4, sentences(5, 60)), (4, sentences(5, 60))]
+    clash = {n: F.lit("clash") for n in ("head_id", "set_id", "row", "part", "bit", "rows", "component", "id")}
+    docs = documents(spark, rows).withColumns(clash)
+    kept = ngram_join.representatives(docs, 3, 90)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, a), (2, b), (None, c), (4, sentences(4, 60)), (4, sentences(5, 60))], key=str)
+
+
+def test_long_near_copies(spark):
+    text = sentences(9, 5_000).split()
+    rows = [(k, " ".join(text[:40] * (k > 20) + text[: 5_000 - 3 * k] + [f"own{k}"])) for k in range(60)]
+    rows += [(100 + k, sentences(50 + k, 300) + " " + " ".join(text[:400])) for k in range(30)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(documents(spark, rows)).collect()}
+    assert got == brute(rows, 3, 90)
 
 
 def test_derived_links_equal_direct_comparison():

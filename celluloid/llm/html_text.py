@@ -1,7 +1,7 @@
 """Main text of web pages by two passes of block rules.
 
-The page is read tag by tag; block-level tags part it into blocks. Scripts, styles, forms and the like
-are never text. A block is classified by its link density, length and stop-word density, and by the
+The page is read tag by tag; block-level tags part it into blocks. Scripts, styles, controls and the like
+are never text; what a form holds is text only when the form holds most of the page's unlinked text. A block is classified by its link density, length and stop-word density, and by the
 page element around it: blocks in menus, headers, footers, asides and the like are boilerplate. The
 second pass decides the ambiguous short blocks from their nearest decided neighbours, in the same article
 where the page marks one: both good, or the only one good, makes it good; between a good and a bad
@@ -25,6 +25,7 @@ Repeated rows stay; other columns pass through unless named text.
 from __future__ import annotations
 
 import html
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -41,13 +42,15 @@ MAX_LINK_DENSITY = 0.2
 SHORT_CHARS, LONG_CHARS = 70, 200
 LOW_STOP_WORDS, HIGH_STOP_WORDS = 0.15, 0.25  # of a block's words; languages differ, so the low one is mild
 HEADING_REACH = 200  # characters between a heading and the good text that it heads
+FORM_SHARE = 3  # a form holds the page when it has more than so many times the text outside
 WIDE_CHARS = 3  # characters of a letter script that one of Han or Kana stands for
 
 # HTML element names by what they are.
 HIDDEN = frozenset(
     "script style noscript template head title iframe object embed applet svg math canvas audio video "
-    "form button select option optgroup textarea input label fieldset datalist map".split()
+    "button select option optgroup textarea input label datalist map".split()
 )
+FORMS = frozenset("form fieldset".split())
 BOILERPLATE = frozenset("nav header footer aside menu dialog".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -68,9 +71,10 @@ DISCUSSION = regex.compile(r"(?:^|[^a-z])(?:comments?|disqus|discussion|repl(?:y
 ABOUT = regex.compile(r"(?:^|[^a-z])(?:has|with|without|no|non)[^a-z].*", regex.DOTALL)  # says what the element has or lacks
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
-PART, NAME, ELEMENT = 1, 2, 3  # what marks an element as boilerplate: a part of its class or id; all of it, or its role; its name
+# what marks an element as boilerplate: that it is a form; a part of its class or id; all of it, or its role; its name
+FORM, PART, NAME, ELEMENT = 0, 1, 2, 3
 
-TAG = regex.compile(r"<(?:!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|(?<end>/?)(?<name>[a-zA-Z][^\s/>]*)(?<rest>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", regex.DOTALL)
+TAG = regex.compile(r"<(?:!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|(?<end>/?)(?<name>[a-zA-Z][^\s/>]*)(?<rest>(?:=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$))|[^>])*+)(?:>|$))", regex.DOTALL)
 ATTRIBUTE = regex.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", regex.IGNORECASE)
 SPACES = regex.compile(r"\s+")
 WORDS = regex.compile(r"[\p{L}\p{M}\p{N}]+")
@@ -126,7 +130,13 @@ class Reader:
     def __init__(self):
         self.blocks: list[Block] = []
         self.open: list[tuple[str, int, bool, int]] = []  # element, place of its mark in marks, hidden, article
-        self.marks: list[int] = [0]  # kind of each mark; the first is none
+        self.names: Counter[str] = Counter()  # of open elements
+        self.hidden = 0  # open elements that hide their text
+        self.headings = 0  # and those that are headings
+        self.inside: list[int] = []  # places of open elements that are articles
+        self.marked: list[int] = []  # and of those that have a mark
+        self.now: tuple[int, ...] | None = ()  # marks that text is under here; None: not worked out yet
+        self.marks: list[int] = [FORM]  # kind of each mark; the first is none
         self.under: list[tuple[int, ...]] = []  # marks that each block is under
         self.articles = 0
         self.parts: list[str] = []
@@ -137,22 +147,47 @@ class Reader:
         text = SPACES.sub(" ", html.unescape("".join(self.parts))).strip()
         if text:
             linked = len(SPACES.sub(" ", html.unescape(" ".join(self.links))).strip())
-            article = max((e[3] for e in self.open), default=0)
-            inside = next((k for k, e in enumerate(self.open) if e[3] == article), 0) if article else 0
-            # a marked wrapper around the article does not count; menus, asides and the like do anywhere
-            marks = tuple(e[1] for k, e in enumerate(self.open) if e[1] and (k >= inside or self.marks[e[1]] == ELEMENT))
-            self.blocks.append(Block(text, linked, bool(marks), self.heading, article))
-            self.under.append(marks)
+            inside = self.inside[-1] if self.inside else 0
+            if self.now is None:
+                # a marked wrapper around the article does not count; menus, asides and the like do anywhere
+                self.now = tuple(m for k, m in ((k, self.open[k][1]) for k in self.marked) if k >= inside or self.marks[m] == ELEMENT)
+            self.blocks.append(Block(text, linked, bool(self.now), self.heading, self.open[inside][3] if self.inside else 0))
+            self.under.append(self.now)
         self.parts, self.links, self.heading = [], [], False
 
     def text(self, piece: str) -> None:
-        if piece and not any(e[2] for e in self.open):
+        if piece and not self.hidden:
             self.parts.append(piece)
-            if any(e[0] == "a" for e in self.open):
+            if self.names["a"]:
                 self.links.append(piece)
-            if any(e[0] in HEADINGS for e in self.open):
+            if self.headings:
                 self.heading = True
 
+    def _push(self, name: str, mark: int, hidden: bool, article: int) -> None:
+        self.names[name] += 1
+        self.hidden += hidden
+        self.headings += name in HEADINGS
+        if article:
+            self.inside.append(len(self.open))
+        if mark:
+            self.marked.append(len(self.open))
+        if article or mark:
+            self.now = None
+        self.open.append((name, mark, hidden, article))
+
+    def _close(self, place: int) -> None:
+        """Ends the element at the place and all inside it."""
+        for name, mark, hidden, article in self.open[place:]:
+            self.names[name] -= 1
+            self.hidden -= hidden
+            self.headings -= name in HEADINGS
+            if article or mark:
+                self.now = None
+        del self.open[place:]
+        for places in (self.inside, self.marked):
+            while places and places[-1] >= place:
+                places.pop()
+
     def start(self, name: str, rest: str) -> None:
         if name in BLOCKS:
             self.flush()
@@ -166,16 +201,16 @@ class Reader:
         article = 0
         if name in ("article", "main"):
             article = self.articles = self.articles + 1
-        mark = boilerplate if name not in ("html", "body", "main", "article") else 0
+        kind = boilerplate if name not in ("html", "body", "main", "article") else 0
         if name in BOILERPLATE and not self._in_article(name):
-            mark = ELEMENT
-        if mark:
-            self.marks.append(mark)
-        self.open.append((name, len(self.marks) - 1 if mark else 0, hidden or name in HIDDEN, article))
+            kind = ELEMENT
+        if kind or name in FORMS:
+            self.marks.append(kind if kind == ELEMENT or name not in FORMS else FORM)
+        self._push(name, len(self.marks) - 1 if kind or name in FORMS else 0, hidden or name in HIDDEN, article)
 
     def _in_article(self, name: str) -> bool:
         """A header inside an article is the article's own."""
-        return name == "header" and any(e[0] in ("article", "main") for e in self.open)
+        return name == "header" and bool(self.inside)
 
     def _close_implied(self, name: str) -> None:
         """An element that its next sibling, or any block for a paragraph, ends."""
@@ -187,14 +222,16 @@ class Reader:
             if element in barrier:
                 return
             if element in ends:
-                del self.open[place:]
+                self._close(place)
 
     def end(self, name: str) -> None:
         if name in BLOCKS:
             self.flush()
+        if not self.names[name]:
+            return
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == name:
-                del self.open[place:]
+                self._close(place)
                 return
             if name not in BLOCKS and self.open[place][0] in BLOCKS:
                 return
@@ -225,7 +262,9 @@ class Reader:
         return self.blocks
 
     def _ignore_wrappers(self) -> None:
-        """Lifts the marks that hold most of the unlinked text outside of other boilerplate, larger ones first."""
+        """Lifts the marks that hold most of the unlinked text outside of other boilerplate, larger ones first. A form
+        may hold the whole page; what is left under other forms goes."""
+        lifted = {0}
         size, rest, paragraphs, left = [0] * len(self.marks), 0, 0, [len(marks) for marks in self.under]
         held: list[list[int]] = [[] for _ in self.marks]
         for number, (block, marks) in enumerate(zip(self.blocks, self.under)):
@@ -236,9 +275,10 @@ class Reader:
                 for mark in marks:
                     size[mark] += text
                     held[mark].append(number)
-        for mark in sorted((m for m in range(1, len(size)) if size[m]), key=lambda m: (self.marks[m], -size[m], m)):
-            if size[mark] <= rest or self.marks[mark] == NAME and paragraphs >= LONG_CHARS:
+        for mark in sorted((m for m in range(1, len(size)) if size[m]), key=lambda m: (self.marks[m], -size[m], m)):  # forms first
+            if size[mark] <= rest * (FORM_SHARE if self.marks[mark] == FORM else 1) or self.marks[mark] == NAME and paragraphs >= LONG_CHARS:
                 continue
+            lifted.add(mark)
             for number in held[mark]:
                 left[number] -= 1
                 if not left[number]:
@@ -246,6 +286,7 @@ class Reader:
                     block.boilerplate, text = False, max(0, len(block.text) - block.linked)
                     rest += text
                     paragraphs += text if len(block.text) >= SHORT_CHARS else 0
+        self.blocks = [b for b, marks in zip(self.blocks, self.under) if all(self.marks[m] != FORM or m in lifted for m in marks)]
 
 
 def _linked(block: Block) -> bool:

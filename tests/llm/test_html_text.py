@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from celluloid.llm import html_text
@@ -80,3 +82,29 @@ def test_long_discussions_stay_marked():
     for name in ("comments", "comment-list", "sidebar"):
         assert html_text.main_text(f"<p>{LONG}</p><div class={name}>{f'<p>{OTHER}</p>' * 20}</div>") == LONG
     assert html_text.main_text(f"<div class=right-sidebar><p>{LONG}</p></div><div id=comments>{f'<p>{OTHER}</p>' * 20}</div>") == LONG
+
+
+ARTICLE = "This is the text of the article and it has many of the words that we know from all of the other pages in the web. " * 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # every page of some servers is one form
+        (f"<body><form id=aspnetForm><nav>Menu <a>a</a></nav><p>{ARTICLE}</p><label>Name</label><input><select><option>x</select><p>{ARTICLE}</p></form>", [ARTICLE, ARTICLE]),
+        (f"<body><form><fieldset><p>{ARTICLE}</p></fieldset><fieldset><p>{ARTICLE[:114]}</p></fieldset><div class=sidebar>{ARTICLE[:80]}</div></form>", [ARTICLE]),
+        (f"<body><p>{ARTICLE}</p><form><p>{ARTICLE[:114]}</p><textarea>x</textarea></form>", [ARTICLE]),
+        # a quote is a quote after = only
+        (f"<body><p title=It's>{ARTICLE}</p><img alt=5'10><p>{ARTICLE}</p>", [ARTICLE, ARTICLE]),
+        (f"<body><p title='a > b' data-x = \"c > d\">{ARTICLE}</p>", [ARTICLE]),
+        (f"<body><p>{ARTICLE}</p><p title=\"open>{ARTICLE}", [ARTICLE]),
+    ],
+)
+def test_forms_and_quotes(page, text):
+    assert html_text.main_text(page).split("\n") == [" ".join(t.split()) for t in text]
+
+
+def test_deep_pages_take_linear_time():
+    start = time.thread_time()
+    html_text.main_text("<div>" * 3_000 + "".join(f"<p>piece {k} of the text</p></section>" for k in range(20_000)))
+    assert time.thread_time() - start < 8

@@ -20,7 +20,8 @@ from celluloid.adapters import queries as registered  # noqa: E402
 from celluloid.session import own_scratch  # noqa: E402
 
 BUILDS = {
-    "build_credits": registered.film_tables,
+    "build_tables": registered.film_tables,
+    "build_names": lambda spark, sf: registered.names("titles", spark, sf),
     "build_triples": registered.stored_triples,
     "build_title_index": lambda spark, sf: registered.index("titles", spark, sf),
     "build_document_index": lambda spark, sf: registered.index("documents", spark, sf),

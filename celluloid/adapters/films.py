@@ -21,9 +21,45 @@ def shape(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     return SHAPES[name].frame(spark, sf_dir, spread)
 
 
+# Tables that are made from the given ones and stored besides the credits.
+STORED = (
+    "titles",
+    "people",
+    "title_ratings",
+    "episode_edges",
+    "title_wikidata_links",
+    "person_wikidata_links",
+    "wikidata_entities",
+    "wikidata_claims",
+)
+
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The raw rows as they are when they have been staged: in order of arrival, and numbered by it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path = scratch_path(spark, f"landed-{name}")
+        rows = shape(spark, sf_dir, name).repartitionByRange(*ARRIVAL_ORDER).sortWithinPartitions(*ARRIVAL_ORDER)
+        rows.withColumn("_arrival", F.monotonically_increasing_id()).write.parquet(path)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
+
+
+def landed_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "credits_raw").select(*TABLES["credits"].names, "a1", "_arrival")
+
+
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TABLES["credits"]
-    return upsert(None, shape(spark, sf_dir, "credits_raw", spread=True), spec.key, ARRIVAL_ORDER, spec.nullable_key)
+    return upsert(None, landed_credits(spark, sf_dir).drop("a1"), spec.key, ["_arrival"], spec.nullable_key)
+
+
+def whole_table(df: DataFrame, table: str) -> DataFrame:
+    """With the table's other columns, as nulls."""
+    fields = TABLES[table].schema
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,10 +72,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def film_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    plain = ("titles", "people", "title_ratings", "episode_edges", "title_wikidata_links", "person_wikidata_links")
-    frames = {n: shape(spark, sf_dir, n) for n in plain}
-    frames["wikidata_entities"] = entities(spark, sf_dir)
-    frames["wikidata_claims"] = claims(spark, sf_dir)
+    made = ("wikidata_entities", "wikidata_claims")
+    frames = {n: whole_table(shape(spark, sf_dir, n), n) for n in STORED if n not in made}
+    frames["wikidata_entities"] = whole_table(entities(spark, sf_dir), "wikidata_entities")
+    frames["wikidata_claims"] = whole_table(claims(spark, sf_dir), "wikidata_claims")
     return Tables(spark, frames)
 
 

@@ -591,6 +591,11 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT imdb_id, {TITLE_RECORD} FROM titles WHERE {_like('primary_title', 'red _i')} OR {_like('original_title', 'red _i')} "
             "ORDER BY start_year NULLS FIRST, primary_title, imdb_id LIMIT 20",
         ),
+        "lookup_title_short": sql(
+            "titles",
+            f"SELECT imdb_id, {TITLE_RECORD} FROM titles WHERE {_like('primary_title', 'd _i%9')} OR {_like('original_title', 'd _i%9')} "
+            "ORDER BY start_year NULLS FIRST, primary_title, imdb_id LIMIT 20",
+        ),
         "lookup_title_id": sql("titles", f"SELECT imdb_id, {TITLE_RECORD} FROM titles WHERE imdb_id = '{SERIES}'"),
         "lookup_person": sql(
             "people",

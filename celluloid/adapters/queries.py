@@ -30,6 +30,7 @@ from celluloid.operators.mutations import (
     upsert_columns,
     upsert_links,
 )
+from celluloid.operators.names import NameIndex
 from celluloid.operators.relational import in_ids, latest_by
 from celluloid.plans import bulk, entities, ledger, movies
 from celluloid.schema import TABLES
@@ -65,17 +66,19 @@ def _once(name: str, build: Callable[[SparkSession, str, str], None]):
     return path
 
 
-def _write_credits(spark, sf_dir, target):
-    Warehouse(spark, target).save("credits", films.credits(spark, sf_dir))
+def _write_tables(spark, sf_dir, target):
+    """The film tables as a warehouse."""
+    store, made = Warehouse(spark, target), films.film_tables(spark, sf_dir)
+    store.save("credits", films.credits(spark, sf_dir))
+    for name in films.STORED:
+        store.save(name, made.table(name))
 
 
-_credits_at = _once("warehouse", _write_credits)
+_tables_at = _once("warehouse", _write_tables)
 
 
-def film_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    stored = Warehouse(spark, _credits_at(spark, sf_dir))
-    credits = {"credits": stored.table("credits"), "credits-by-imdb_name_id": stored.ordered("credits", "imdb_name_id")}
-    return films.film_tables(spark, sf_dir).with_tables(**credits)
+def film_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return Warehouse(spark, _tables_at(spark, sf_dir))
 
 
 def _write_triples(spark, sf_dir, target):
@@ -118,6 +121,22 @@ def index(name: str, spark: SparkSession, sf_dir: str) -> search.SearchIndex:
     return search.SearchIndex.load(spark, _index_at[name](spark, sf_dir))
 
 
+def _write_title_names(spark, sf_dir, target):
+    lookup.title_names(films.shape(spark, sf_dir, "titles")).save(target)
+
+
+def _write_person_names(spark, sf_dir, target):
+    lookup.person_names(films.shape(spark, sf_dir, "people")).save(target)
+
+
+_names_at = {"titles": _once("title-names", _write_title_names), "people": _once("person-names", _write_person_names)}
+_NAMED = {"titles": "imdb_id", "people": "imdb_name_id"}
+
+
+def names(table: str, spark: SparkSession, sf_dir: str) -> NameIndex:
+    return NameIndex.load(spark, _names_at[table](spark, sf_dir), _NAMED[table])
+
+
 _registry: dict[str, Query] = {}
 
 
@@ -170,19 +189,25 @@ def person_neighbors(t):
     return graph.neighbors(t, LINKED_PERSON)
 
 
-@on_tables
-def lookup_title(t):
-    return lookup.lookup_title(t.table("titles"), "ReD _i")
+@query
+def lookup_title(spark, sf_dir):
+    return lookup.lookup_title(names("titles", spark, sf_dir), "ReD _i")
 
 
-@on_tables
-def lookup_title_id(t):
-    return lookup.lookup_title(t.table("titles"), SERIES)
+@query
+def lookup_title_short(spark, sf_dir):
+    """A pattern without three letters in a row is looked for in all titles."""
+    return lookup.lookup_title(names("titles", spark, sf_dir), "d _i%9")
 
 
-@on_tables
-def lookup_person(t):
-    return lookup.lookup_person(t.table("people"), "supplier#0000000_1")
+@query
+def lookup_title_id(spark, sf_dir):
+    return lookup.lookup_title(names("titles", spark, sf_dir), SERIES)
+
+
+@query
+def lookup_person(spark, sf_dir):
+    return lookup.lookup_person(names("people", spark, sf_dir), "supplier#0000000_1")
 
 
 @on_tables
@@ -299,12 +324,14 @@ def gate_episodes(spark, sf_dir):
 @query
 def import_counters(spark, sf_dir):
     """Counters of importing the raw credits over a table that has those of even orders."""
-    raw = films.shape(spark, sf_dir, "credits_raw", spread=True)
-    spec = TABLES["credits"]
-    kept = _gated(spark, sf_dir, "credits", raw)
-    before = upsert(None, kept.where(F.col("a1") % 2 == 0), spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
-    after = upsert(before, kept, spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
-    return bulk.import_counters(raw, kept, before, after)
+    raw = films.landed_credits(spark, sf_dir)
+    early = raw.where(F.col("a1") % 2 == 0).drop("a1")
+    target = Warehouse(spark, scratch_path(spark, "counted"))
+    target.save("titles", films.whole_table(films.shape(spark, sf_dir, "known_titles"), "titles"))
+    target.save("people", films.whole_table(films.shape(spark, sf_dir, "known_people"), "people"))
+    bulk.fold_counted("credits", early, target)
+    _, counters = bulk.fold_counted("credits", raw.drop("a1"), target)
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
 
 
 @query
@@ -315,17 +342,17 @@ def upsert_credits(spark, sf_dir):
 @query
 def upsert_akas(spark, sf_dir):
     spec = TABLES["title_akas"]
-    raw = films.shape(spark, sf_dir, "akas_raw", spread=True)
-    return upsert(None, raw, spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
+    raw = films.landed(spark, sf_dir, "akas_raw").select(*spec.names, "_arrival")
+    return upsert(None, raw, spec.key, ["_arrival"], spec.nullable_key)
 
 
 def _split_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Lines of early orders as the table at hand, of late ones as the new batch."""
-    raw = films.shape(spark, sf_dir, "credits_raw", spread=True)
+    raw = films.landed_credits(spark, sf_dir)
     late = F.col("a1") % 3 == 0
     spec = TABLES["credits"]
-    first = upsert(None, raw.where(~late), spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
-    return first, raw.where(late)
+    first = upsert(None, raw.where(~late).drop("a1"), spec.key, ["_arrival"], spec.nullable_key)
+    return first, raw.where(late).drop("a1")
 
 
 @query
@@ -334,14 +361,14 @@ def upsert_principals_columns(spark, sf_dir):
     spec = TABLES["credits"]
     first, batch = _split_orders(spark, sf_dir)
     changed = ["job", "characters"]
-    return upsert_columns(first, batch, spec.key, films.ARRIVAL_ORDER, changed, spec.nullable_key)
+    return upsert_columns(first, batch, spec.key, ["_arrival"], changed, spec.nullable_key)
 
 
 @query
 def insert_ignore_credits(spark, sf_dir):
     spec = TABLES["credits"]
     first, batch = _split_orders(spark, sf_dir)
-    return insert_ignore(first, batch, spec.key, films.ARRIVAL_ORDER, spec.nullable_key)
+    return insert_ignore(first, batch, spec.key, ["_arrival"], spec.nullable_key)
 
 
 @query
@@ -354,14 +381,10 @@ def expand_crew(spark, sf_dir):
 @query
 def merge_entities(spark, sf_dir):
     """Entity texts told line by line: the last text that is not null stays, per column."""
-    lines = films.shape(spark, sf_dir, "credits_raw", spread=True).select(
-        F.col("imdb_id").alias("wikidata_id"),
-        "characters",
-        F.col("job").alias("label"),
-        F.col("a9").alias("description"),
-        *films.ARRIVAL_ORDER,
+    lines = films.landed(spark, sf_dir, "credits_raw").select(
+        F.col("imdb_id").alias("wikidata_id"), "characters", F.col("job").alias("label"), F.col("a9").alias("description"), "_arrival"
     )
-    return merge_non_null(None, lines, ["wikidata_id"], films.ARRIVAL_ORDER).select(
+    return merge_non_null(None, lines, ["wikidata_id"], ["_arrival"]).select(
         "wikidata_id", "characters", "label", "description"
     )
 
@@ -556,7 +579,7 @@ def entity_claims_dedup(spark, sf_dir):
 def claims_cleared(t):
     """Claims without those of the entities that are linked to people."""
     linked = t.table("person_wikidata_links").select(F.col("wikidata_id").alias("subject_wikidata_id"))
-    return m.clear_subject_claims(t.table("wikidata_claims"), linked)
+    return m.clear_subject_claims(t.table("wikidata_claims"), linked).drop("datatype", "rank_name", "raw_json")
 
 
 @query

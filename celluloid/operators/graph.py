@@ -53,7 +53,7 @@ def title_neighbors(warehouse: Tables, imdb_id: str) -> DataFrame:
     episodes, titles = warehouse.table("episode_edges"), warehouse.table("titles")
     named = titles.select("imdb_id", "primary_title")
     parents = episodes.where(mine).select(F.col("parent_imdb_id").alias("imdb_id"))
-    children = episodes.where(F.col("parent_imdb_id") == imdb_id).select("imdb_id")
+    children = warehouse.ordered("episode_edges", "parent_imdb_id").where(F.col("parent_imdb_id") == imdb_id).select("imdb_id")
     rating = warehouse.table("title_ratings").where(mine)
     facts = F.array(
         *[

@@ -1,6 +1,11 @@
 """Keyed mutations as table-to-table transforms.
 
-Each is one aggregation over ``existing`` and ``incoming`` with map-side combine: repeats of a key
+Rows that carry one number of arrival (``ARRIVAL``, given once when they are staged) are folded by it: per key the
+winning numbers are a fixed-width hash aggregate, and the rows are picked by them. Stored rows have each key once
+already, so they meet the winners in a join and are not aggregated again. Rows with a null in the key are groups of
+their own in the same pass.
+
+Rows with several order columns are folded by structs: each mutation is one aggregation over ``existing`` and ``incoming`` with map-side combine: repeats of a key
 collapse before the shuffle, so a key that holds a third of the rows arrives as one row per task.
 Existing rows come before incoming ones; among incoming rows ``order`` decides, and must be a total
 order per key (file, block, line). A row with a null in its key never conflicts with another, so
@@ -14,6 +19,76 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ARRIVAL = "_arrival"
+
+
+def _dense(order: Sequence[str]) -> bool:
+    return list(order) == [ARRIVAL]
+
+
+def _marks(incoming: DataFrame, keys: Sequence[str], nullable: Sequence[str], **aggregates: Column) -> DataFrame:
+    """Fixed-width aggregates per key; a row with a null key column is a group of its own."""
+    alone = F.lit(None).cast("long")
+    for c in nullable:
+        alone = F.when(F.col(c).isNull(), F.col(ARRIVAL)).otherwise(alone)
+    named = [a.alias(name) for name, a in aggregates.items()]
+    return incoming.groupBy(*keys, alone.alias("_alone")).agg(*named).drop("_alone")
+
+
+def _picked(incoming: DataFrame, marks: DataFrame, mark: str) -> DataFrame:
+    """The rows whose arrival is a mark."""
+    return incoming.join(marks.select(F.col(mark).alias(ARRIVAL)), ARRIVAL, "left_semi")
+
+
+def _unmatched(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the others do not have; nulls match nothing."""
+    return rows.join(others.select(*keys), list(keys), "left_anti").select(*rows.columns)
+
+
+def _upsert_dense(existing, incoming, keys, nullable):
+    won = _picked(incoming, _marks(incoming, keys, nullable, last=F.max(ARRIVAL)), "last").drop(ARRIVAL)
+    return won if existing is None else _unmatched(existing.select(*won.columns), won, keys).unionByName(won)
+
+
+def _insert_dense(existing, incoming, keys, nullable):
+    first = _picked(incoming, _marks(incoming, keys, nullable, first=F.min(ARRIVAL)), "first").drop(ARRIVAL)
+    return first if existing is None else existing.select(*first.columns).unionByName(_unmatched(first, existing, keys))
+
+
+def _columns_dense(existing, incoming, keys, columns, nullable):
+    order = [c for c in incoming.columns if c != ARRIVAL]
+    kept = [c for c in order if c not in columns]
+    marks = _marks(incoming, keys, nullable, first=F.min(ARRIVAL), last=F.max(ARRIVAL)).select("first", "last")
+    first = incoming.select(*kept, F.col(ARRIVAL).alias("first")).join(marks, "first")
+    last = incoming.select(*columns, F.col(ARRIVAL).alias("last"))
+    fresh = first.join(last, "last").select(*order)
+    if existing is None:
+        return fresh
+    told = fresh.select(*keys, F.struct(*columns).alias("_new"))
+    # a stored row keeps its other columns
+    changes = {c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)) for c in columns}
+    stored = existing.select(*order).join(told, list(keys), "left").withColumns(changes).select(*order)
+    return stored.unionByName(_unmatched(fresh, existing, keys))
+
+
+def _merge_dense(existing, incoming, keys):
+    order = [c for c in incoming.columns if c != ARRIVAL]
+    rest = [c for c in order if c not in keys]
+    known = {f"_at_{c}": F.max(F.when(F.col(c).isNotNull(), F.col(ARRIVAL))) for c in rest}
+    marks = _marks(incoming, keys, (), **known)
+    # the lines that still say something, for each column
+    values = {c: F.when(F.col(ARRIVAL) == F.col(f"_at_{c}"), F.col(c)) for c in rest}
+    said = incoming.join(marks, list(keys)).withColumns(values)
+    silent = F.greatest(F.lit(-1), *(F.col(f"_at_{c}") for c in rest)) < 0  # a key of which no line says anything
+    said = said.where(F.greatest(F.lit(False), *(F.col(c).isNotNull() for c in rest)) | silent)
+    # at most one value is left of each column; a list of it is hashed, other text aggregates are sorted
+    merged = said.groupBy(*keys).agg(*(F.try_element_at(F.collect_list(c), F.lit(1)).alias(c) for c in rest))
+    if existing is None:
+        return merged.select(*order)
+    stored = existing.select(*keys, *(F.col(c).alias(f"_old_{c}") for c in rest))
+    both = stored.join(merged, list(keys), "full_outer")
+    return both.select(*(c if c in keys else F.coalesce(c, f"_old_{c}").alias(c) for c in order))
+
 
 def _stack(existing: DataFrame | None, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     """Both sides under one order column ``_at``; existing rows sort first."""
@@ -64,6 +139,8 @@ def upsert(
     nullable: Sequence[str] = (),
 ) -> DataFrame:
     """Insert or overwrite: per key, the last row wins."""
+    if _dense(order):
+        return _upsert_dense(existing, incoming, keys, nullable)
     rest = _rest(incoming, keys, order)
     if not rest:
         return insert_ignore(existing, incoming, keys, order, nullable)
@@ -78,6 +155,8 @@ def insert_ignore(
     nullable: Sequence[str] = (),
 ) -> DataFrame:
     """Insert only unseen keys: per key, the first row wins."""
+    if _dense(order):
+        return _insert_dense(existing, incoming, keys, nullable)
     rest = _rest(incoming, keys, order)
     stacked = _stack(existing, incoming, order)
     picks = [_pick(F.min_by, rest, 0)] if rest else []
@@ -95,6 +174,8 @@ def upsert_columns(
     nullable: Sequence[str] = (),
 ) -> DataFrame:
     """A conflict overwrites only ``columns``; all other columns keep their first value."""
+    if _dense(order):
+        return _columns_dense(existing, incoming, keys, columns, nullable)
     kept = [c for c in _rest(incoming, keys, order) if c not in columns]
     picks = [_pick(F.max_by, columns, 0)] + ([_pick(F.min_by, kept, 1)] if kept else [])
     return _fold(_stack(existing, incoming, order), keys, nullable, picks)
@@ -104,6 +185,8 @@ def merge_non_null(
     existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Per key and column, the last value that is not null."""
+    if _dense(order):
+        return _merge_dense(existing, incoming, keys)
     rest = _rest(incoming, keys, order)
     stacked = _stack(existing, incoming, order)
     # max_by skips rows whose order is null, so a null value must take its order with it

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.operators.mutations import insert_ignore, upsert, upsert_columns
+from celluloid.operators.mutations import ARRIVAL, insert_ignore, upsert, upsert_columns
 from celluloid.operators.relational import explode_ids, gate
 from celluloid.plans.ledger import RunLog
 from celluloid.schema import TABLES
 from celluloid.session import scratch_path
 from celluloid.sources.manifest import artifact_manifest
-from celluloid.sources.tsv import ORDER, scan_dataset
+from celluloid.sources.tsv import arrived, scan_dataset
 from celluloid.sources.warehouse import Warehouse
 
 IMPORTER = "bulk-tsv"
@@ -50,30 +50,30 @@ def gate_table(rows: DataFrame, table: str, warehouse) -> DataFrame:
     return gate(rows, parents)
 
 
-def import_counters(seen: DataFrame, kept: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row (rows_seen, rows_inserted, rows_updated, rows_skipped).
+def import_counters(seen: int, kept: int, before: int, after: int) -> dict[str, int]:
+    """A kept row either adds a row to the table or overwrites one, of the table or of its own batch."""
+    return {"rows_seen": seen, "rows_inserted": after - before, "rows_updated": kept - (after - before), "rows_skipped": seen - kept}
 
-    A kept row either adds a row to the table or overwrites one, of the table or of its own batch.
-    """
 
-    def rows(df: DataFrame):
-        return df.agg(F.count(F.lit(1))).scalar()
+def fold_counted(table: str, staged: DataFrame, warehouse: Warehouse) -> tuple[DataFrame, dict[str, int]]:
+    """Gate and fold staged rows into a stored table: (kept rows, counters).
 
-    counts = seen.sparkSession.range(1).select(
-        rows(seen).alias("rows_seen"), rows(kept).alias("kept"), (rows(after) - rows(before)).alias("rows_inserted")
-    )
-    return counts.select(
-        "rows_seen",
-        "rows_inserted",
-        (F.col("kept") - F.col("rows_inserted")).alias("rows_updated"),
-        (F.col("rows_seen") - F.col("kept")).alias("rows_skipped"),
-    )
+    The gated rows are written once; the fold, the crew list and the counters all read them. All four counts come from
+    footers. (Metrics that are observed on a plan count a stage again when a lost executor makes Spark run it again.)
+    """
+    spark = staged.sparkSession
+    kept_at = scratch_path(spark, f"kept-{table}")
+    gate_table(staged, table, warehouse).write.parquet(kept_at)
+    kept = spark.read.schema(staged.schema).parquet(kept_at)
+    before = warehouse.counted(table).count()
+    warehouse.save(table, fold_table(table, warehouse.table(table), kept))
+    return kept, import_counters(staged.count(), kept.count(), before, warehouse.counted(table).count())
 
 
 def expand_crew(crew: DataFrame, titles: DataFrame, people: DataFrame) -> DataFrame:
     """Crew lists as credits: directors, then writers, numbered by list position, known people only."""
     parts = [
-        explode_ids(crew.select("imdb_id", column, *[c for c in ORDER if c in crew.columns]), column, "imdb_name_id")
+        explode_ids(crew.select("imdb_id", column, *[c for c in (ARRIVAL,) if c in crew.columns]), column, "imdb_name_id")
         .withColumn("category", F.lit(category))
         for column, category in (("directors", "director"), ("writers", "writer"))
     ]
@@ -88,8 +88,8 @@ def fold_table(table: str, existing: DataFrame, incoming: DataFrame) -> DataFram
     """Fold gated rows into a table by the table's conflict rule."""
     spec = TABLES[table]
     if table == "credits":
-        return upsert_columns(existing, incoming, spec.key, ORDER, ["job", "characters"], spec.nullable_key)
-    return upsert(existing, incoming, spec.key, ORDER, spec.nullable_key)
+        return upsert_columns(existing, incoming, spec.key, [ARRIVAL], ["job", "characters"], spec.nullable_key)
+    return upsert(existing, incoming, spec.key, [ARRIVAL], spec.nullable_key)
 
 
 def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, warehouse: Warehouse) -> dict[str, int]:
@@ -100,17 +100,13 @@ def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, war
         rows = rows.withColumn("source", F.lit("imdb"))
     # one task reads a gzip file, whatever its size; what it parsed is then split for all later steps
     rows.write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    kept = gate_table(staged, table, warehouse)
-    before = warehouse.table(table)
-    after = warehouse.save(table, fold_table(table, before, kept))
-    counters = import_counters(staged, kept, before, after).first().asDict()
+    kept, counters = fold_counted(table, arrived(spark.read.parquet(staged_at)), warehouse)
     if table == "title_crew":
-        # the same rows also become credits; the file order of the list settles who comes first
+        # the same rows also become credits; a line gives several, so they have its number in common
         credits = warehouse.table("credits")
-        crew = expand_crew(kept, warehouse.table("titles"), warehouse.table("people"))
+        crew = expand_crew(kept, warehouse.table("titles"), warehouse.table("people")).withColumnRenamed(ARRIVAL, "_line")
         spec = TABLES["credits"]
-        warehouse.save("credits", insert_ignore(credits, crew, spec.key, ORDER, spec.nullable_key))
+        warehouse.save("credits", insert_ignore(credits, crew, spec.key, ["_line"], spec.nullable_key))
     return counters
 
 

@@ -3,11 +3,16 @@
 The current version is the highest one whose write was committed (Spark leaves ``_SUCCESS`` last),
 so readers see the old or the new table, a failed save changes nothing, and a table may be
 overwritten from a plan that reads it.
+
+Files are cut by range of the table's id columns, so their footers prune. Tables that are also asked from
+another id have a copy in that order under the same version number; other id columns have Parquet Bloom filters. Row counts are taken from the footers.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +21,23 @@ from celluloid.schema import STATS_NAMES, TABLES, table_schema
 
 
 # Tables that are also kept in the order of another id column.
-COPIES = {"credits": ("imdb_name_id",)}
+COPIES = {
+    "credits": ("imdb_name_id",),
+    "episode_edges": ("parent_imdb_id",),
+    "title_wikidata_links": ("wikidata_id",),
+    "person_wikidata_links": ("wikidata_id",),
+}
+# Id columns by which a table is asked, but not cut.
+BLOOM_FILTERS = {
+    "credits": ("imdb_name_id",),
+    "title_tmdb_links": ("tmdb_movie_id",),
+    "tmdb_movies": ("imdb_id",),
+    "tmdb_movie_credits": ("tmdb_person_id",),
+    "tmdb_movie_exports": ("tmdb_movie_id",),
+    "wikidata_claims": ("value_wikidata_id",),
+    "download_artifacts": ("sha256",),
+}
+V1_SOURCES, PUSH_DOWN = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
 
 
 class Tables:
@@ -31,6 +52,9 @@ class Tables:
             return self._frames[name]
         return self.spark.createDataFrame([], table_schema(name))
 
+    def counted(self, name: str) -> DataFrame:
+        return self.table(name)
+
     def ordered(self, name: str, column: str) -> DataFrame:
         """The table laid out by one of its other id columns, where there is such a copy."""
         copy = f"{name}-by-{column}"
@@ -66,23 +90,49 @@ class Warehouse(Tables):
             return super().table(name)
         return self.spark.read.schema(table_schema(name)).parquet(self._folder(name, version))
 
+    @contextmanager
+    def _staged(self, rows: DataFrame):
+        """Rows written once: cutting by range looks at its input twice, and rows that take a join or a fold to
+        make would be made twice."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        yield self.spark.read.schema(rows.schema).parquet(path)
+        fs, folder = self._fs(path)
+        fs.delete(folder, True)
+
     def save(self, name: str, df: DataFrame) -> DataFrame:
         """Write a new version, clustered by the table's id columns, and with that make it current."""
         spec = TABLES[name]
-        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
+        made = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
         sort = list(spec.sort)
-        # by range, so that a file's footer tells which ids it can hold; rows of a hot id are cut by the other keys
-        even = rows.repartitionByRange(*sort)
-        folder = self._folder(name, self.version(name) + 1)
-        even.sortWithinPartitions(*sort).write.mode("overwrite").parquet(folder)
-        saved = self.table(name)
-        for column in COPIES.get(name, ()):
-            # made from the saved files, under the same number; until it is there, readers take the table
-            order = (column, *(c for c in sort if c != column))
-            rows = saved.repartitionByRange(*order).sortWithinPartitions(*order)
-            rows.write.mode("overwrite").parquet(self._folder(f"{name}-by-{column}", self.version(name)))
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_FILTERS.get(name, ())}
+        with self._staged(made) as rows:
+            # by range, so that a file's footer tells which ids it can hold; rows of a hot id are cut by the other keys
+            even = rows.repartitionByRange(*sort)
+            folder = self._folder(name, self.version(name) + 1)
+            even.sortWithinPartitions(*sort).write.mode("overwrite").options(**filters).parquet(folder)
+            saved = self.table(name)
+            for column in COPIES.get(name, ()):
+                # made from the same rows, under the same number; until it is there, readers take the table
+                order = (column, *(c for c in sort if c != column))
+                copy = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                copy.write.mode("overwrite").parquet(self._folder(f"{name}-by-{column}", self.version(name)))
         return saved
 
+    def counted(self, name: str) -> DataFrame:
+        """The table as the aggregating reader sees it: ``count(*)`` of it is taken from the footers, and no column is read."""
+        version = self.version(name)
+        if not version:
+            return self.table(name)
+        conf = self.spark.conf
+        conf.set(PUSH_DOWN, "true")  # for this reader only; the other one does not know it
+        before = conf.get(V1_SOURCES)
+        conf.set(V1_SOURCES, ",".join(s for s in before.split(",") if s != "parquet"))
+        try:
+            return self.spark.read.schema(table_schema(name)).parquet(self._folder(name, version))
+        finally:
+            conf.set(V1_SOURCES, before)
+
     def ordered(self, name: str, column: str) -> DataFrame:
         version = self.version(name)
         if not version or self.version(f"{name}-by-{column}") != version:
@@ -93,7 +143,7 @@ class Warehouse(Tables):
 def warehouse_stats(warehouse: Tables, names: list[str] | None = None) -> DataFrame:
     """Row count per table: one row (table_name, row_count) each."""
     parts = [
-        warehouse.table(name).agg(
+        warehouse.counted(name).agg(
             F.lit(STATS_NAMES.get(name, name)).alias("table_name"), F.count(F.lit(1)).alias("row_count")
         )
         for name in names or list(TABLES)

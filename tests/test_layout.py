@@ -10,7 +10,7 @@ import pytest
 
 from celluloid.operators import graph, search
 from celluloid.sources import sinks
-from celluloid.sources.warehouse import Tables, Warehouse
+from celluloid.sources.warehouse import Tables, Warehouse, warehouse_stats
 
 
 @contextmanager
@@ -111,3 +111,73 @@ def test_all_links_of_a_title_are_neighbours(spark, frame):
     links = frame("title_wikidata_links", {"imdb_id": "tt1", "wikidata_id": "Q1"}, {"imdb_id": "tt1", "wikidata_id": "Q2"})
     held = Tables(spark, {"title_wikidata_links": links})
     assert sorted(r["entity_id"] for r in graph.title_neighbors(held, "tt1").collect()) == ["Q1", "Q2"]
+
+
+def leaf_nodes(df) -> list:
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        children = node.children()
+        if not children.size():
+            found.append(node)
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_row_counts_come_from_footers(spark, tables, tmp_path):
+    stored = Warehouse(spark, str(tmp_path))
+    stored.save("people", tables["people"].selectExpr("*", "0L birth_year", "0L death_year", "'' primary_professions", "'' known_for_titles"))
+    counts = warehouse_stats(stored, ["people", "titles"])
+    assert sorted(map(tuple, counts.collect())) == [("people", 500), ("titles", 0)]
+    assert "PushedAggregation: [COUNT(*)]" in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_other_ids_have_bloom_filters(spark, tables, tmp_path):
+    # a column that has a dictionary in each of its chunks is filtered by that, and gets no other filter
+    stored = Warehouse(spark, str(tmp_path))
+    many = tables["credits"].limit(1).drop("imdb_name_id").crossJoin(spark.range(60_000).selectExpr("sha2(cast(id as string), 256) as imdb_name_id"))
+    stored.save("credits", many)
+    jvm = spark.sparkContext._jvm
+    path = next(p for p in (tmp_path / "credits").rglob("*.parquet"))
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(str(path)), spark._jsparkSession.sessionState().newHadoopConf())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+    columns = reader.getFooter().getBlocks().get(0).getColumns()
+    known = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
+    reader.close()
+    assert known["imdb_name_id"] > 0 and known["imdb_id"] < 0
+
+
+def test_episodes_of_a_series_are_found_in_few_files(spark, tmp_path):
+    stored = Warehouse(spark, str(tmp_path))
+    titles = spark.range(4000).selectExpr("format_string('tt%06d', id) as imdb_id", "'movie' as title_type", "concat('Film ', id) as primary_title")
+    edges = spark.range(4000).selectExpr("format_string('tt%06d', id) as imdb_id", "format_string('tt%06d', (id * 7919) % 400) as parent_imdb_id", "id as season_number", "id as episode_number")
+    with many_files(spark):
+        stored.save("episode_edges", edges)
+        stored.save("titles", titles.selectExpr("*", "cast(null as string) original_title", "0L is_adult", "0L start_year", "0L end_year", "0L runtime_minutes", "cast(null as string) genres"))
+    hits, total = files_that_may_hold(tmp_path / "episode_edges-by-parent_imdb_id", "parent_imdb_id", "tt000123")
+    assert total >= 8 and hits <= 2
+    found = graph.title_neighbors(stored, "tt000123")
+    got = sorted(r["entity_id"] for r in found.collect() if r["direction"] == "in")
+    assert got == sorted(f"tt{i:06}" for i in range(4000) if i * 7919 % 400 == 123)
+
+
+def test_a_save_makes_its_rows_once_and_leaves_no_stage(spark, tmp_path):
+    counter = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            counter.add(1)
+            yield row
+
+    made = spark.createDataFrame(spark.range(200, numPartitions=3).rdd.mapPartitions(seen), "id long")
+    Warehouse(spark, str(tmp_path)).save("people", made.selectExpr("cast(id as string) imdb_name_id", *[f"cast(null as {t}) {c}" for c, t in (("primary_name", "string"), ("birth_year", "long"), ("death_year", "long"), ("primary_professions", "string"), ("known_for_titles", "string"))]))
+    assert counter.value == 200
+    assert not list((tmp_path / "_staging").glob("*"))

@@ -293,11 +293,18 @@ def latest_snapshot(spark, sf_dir):
 # --- gates and keyed mutations
 
 
-def _known(spark, sf_dir) -> Tables:
-    return Tables(
-        spark,
-        {"titles": films.shape(spark, sf_dir, "known_titles"), "people": films.shape(spark, sf_dir, "known_people")},
-    )
+def _write_known(spark, sf_dir, target):
+    store = Warehouse(spark, target)
+    for name in ("titles", "people"):
+        store.save(name, films.whole_table(films.shape(spark, sf_dir, f"known_{name}"), name))
+
+
+_known_at = _once("known", _write_known)
+
+
+def _known(spark, sf_dir) -> Warehouse:
+    """Titles and people of which some are missing."""
+    return Warehouse(spark, _known_at(spark, sf_dir))
 
 
 def _gated(spark, sf_dir, table: str, rows: DataFrame) -> DataFrame:
@@ -327,8 +334,7 @@ def import_counters(spark, sf_dir):
     raw = films.landed_credits(spark, sf_dir)
     early = raw.where(F.col("a1") % 2 == 0).drop("a1")
     target = Warehouse(spark, scratch_path(spark, "counted"))
-    target.save("titles", films.whole_table(films.shape(spark, sf_dir, "known_titles"), "titles"))
-    target.save("people", films.whole_table(films.shape(spark, sf_dir, "known_people"), "people"))
+    _write_known(spark, sf_dir, target.root)
     bulk.fold_counted("credits", early, target)
     _, counters = bulk.fold_counted("credits", raw.drop("a1"), target)
     return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counters.items()])

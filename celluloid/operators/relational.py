@@ -55,11 +55,13 @@ def gate(df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFr
 
     ``parents`` holds (parent table, its id column, referring column of ``df``).
     """
+    kept = df
     for parent, key, ref in parents:
-        known = parent.select(F.col(key).alias(ref))
-        # a title or person with very many rows is split by adaptive execution
-        df = df.join(known, ref, "left_semi")
-    return df.select(*df.columns)
+        # the references, each once for every task, meet the parent's ids, which stay where they are when they are in
+        # buckets; a title or person with very many rows is then split by adaptive execution
+        known = df.select(ref).distinct().join(parent.select(F.col(key).alias(ref)), ref, "left_semi")
+        kept = kept.join(known, ref, "left_semi")
+    return kept.select(*df.columns)
 
 
 def explode_ids(df: DataFrame, col: str, out: str) -> DataFrame:

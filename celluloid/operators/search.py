@@ -117,26 +117,27 @@ def text_parts(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return _part(df, doc_id, "name", F.col(text)).withColumn("id", F.col("id").cast("string"))
 
 
-def _placed(parts: DataFrame) -> DataFrame:
+def token_rows(parts: DataFrame) -> DataFrame:
+    """The parts with their tokens (id, field, part, words): the only step that reads text."""
     return parts.where(F.col("text").isNotNull()).select("id", "field", "part", tokens(F.col("text")).alias("words"))
 
 
-def build_positions(parts: DataFrame) -> DataFrame:
+def build_positions(words: DataFrame) -> DataFrame:
     """Token occurrences (term, id, field, part, pos)."""
-    return _placed(parts).select("id", "field", "part", F.explode("words").alias("w")).select(
+    return words.select("id", "field", "part", F.explode("words").alias("w")).select(
         F.col("w.term").alias("term"), "id", "field", "part", F.col("w.pos").cast("bigint").alias("pos")
     )
 
 
-def build_postings(parts: DataFrame) -> DataFrame:
+def build_postings(words: DataFrame) -> DataFrame:
     """(term, field, id, tf, len): occurrences of a term in a field of a document, and the field's tokens.
 
-    Both are counted before they are shuffled. The lengths are joined between plain shuffles, so
-    adaptive execution can split a document with very many terms.
+    A field's length is joined to its parts, before these become many rows; what is counted then is fixed in
+    width and combines in the map tasks.
     """
-    lengths = _placed(parts).groupBy("id", "field").agg(F.sum(F.size("words")).cast("bigint").alias("len"))
-    counted = build_positions(parts).groupBy("id", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return counted.join(lengths, ["id", "field"]).select("term", "field", "id", "tf", "len")
+    lengths = words.groupBy("id", "field").agg(F.sum(F.size("words")).cast("bigint").alias("len"))
+    known = words.join(lengths, ["id", "field"]).select("id", "field", "len", F.explode("words.term").alias("term"))
+    return known.groupBy("term", "field", "id").agg(F.count(F.lit(1)).alias("tf"), F.max("len").alias("len"))
 
 
 class SearchIndex:
@@ -149,18 +150,21 @@ class SearchIndex:
         documents: DataFrame,
         frequencies: DataFrame | None = None,
         totals: DataFrame | None = None,
+        words: DataFrame | None = None,
     ):
         self.postings = postings
         self.positions = positions
         self.documents = documents
         self._frequencies = frequencies
         self._totals = totals
+        self._words = words
 
     @classmethod
     def build(cls, parts: DataFrame, documents: DataFrame) -> SearchIndex:
         """``documents`` has one row per document and a column ``id``."""
         ids = documents.select(F.col("id").cast("string").alias("id"))
-        return cls(build_postings(parts), build_positions(parts), ids)
+        words = token_rows(parts)
+        return cls(build_postings(words), build_positions(words), ids, words=words)
 
     def field_totals(self) -> DataFrame:
         """(field, n_docs, avg_len), at most one row per field; avg_len is over all documents."""
@@ -186,10 +190,16 @@ class SearchIndex:
         """Drop and rebuild on disk. Tables are cut by range of the term, so that a file's footer tells which
         terms it can hold; frequent terms are cut by field and id."""
         order = ("term", "field", "id")
-        for name, df, more in (("postings", self.postings, ()), ("positions", self.positions, ("part", "pos"))):
+        spark = self.postings.sparkSession
+        postings, positions = self.postings, self.positions
+        if self._words is not None:
+            # texts are tokenised once; counts and positions come from the stored tokens
+            self._words.write.mode("overwrite").parquet(f"{path}/words")
+            words = spark.read.schema(self._words.schema).parquet(f"{path}/words")
+            postings, positions = build_postings(words), build_positions(words)
+        for name, df, more in (("postings", postings, ()), ("positions", positions, ("part", "pos"))):
             df.repartitionByRange(*order).sortWithinPartitions(*order, *more).write.mode("overwrite").parquet(f"{path}/{name}")
         self.documents.write.mode("overwrite").parquet(f"{path}/documents")
-        spark = self.postings.sparkSession
         stored = SearchIndex(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "positions", "documents")))
         terms = stored.term_stats().repartitionByRange("term", "field").sortWithinPartitions("term", "field")
         terms.write.mode("overwrite").parquet(f"{path}/frequencies")

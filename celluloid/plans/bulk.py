@@ -45,7 +45,7 @@ REFERENCES = {
 def gate_table(rows: DataFrame, table: str, warehouse) -> DataFrame:
     """Rows whose references all exist in the warehouse."""
     parents = [
-        (warehouse.table(parent), TABLES[parent].key[0], column) for column, parent in REFERENCES.get(table, ())
+        (warehouse.keys(parent), TABLES[parent].key[0], column) for column, parent in REFERENCES.get(table, ())
     ]
     return gate(rows, parents)
 
@@ -104,7 +104,7 @@ def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, war
     if table == "title_crew":
         # the same rows also become credits; a line gives several, so they have its number in common
         credits = warehouse.table("credits")
-        crew = expand_crew(kept, warehouse.table("titles"), warehouse.table("people")).withColumnRenamed(ARRIVAL, "_line")
+        crew = expand_crew(kept, warehouse.keys("titles"), warehouse.keys("people")).withColumnRenamed(ARRIVAL, "_line")
         spec = TABLES["credits"]
         warehouse.save("credits", insert_ignore(credits, crew, spec.key, ["_line"], spec.nullable_key))
     return counters

@@ -5,11 +5,14 @@ so readers see the old or the new table, a failed save changes nothing, and a ta
 overwritten from a plan that reads it.
 
 Files are cut by range of the table's id columns, so their footers prune. Tables that are also asked from
-another id have a copy in that order under the same version number; other id columns have Parquet Bloom filters. Row counts are taken from the footers.
+another id have a copy in that order under the same version number; other id columns have Parquet Bloom
+filters. Row counts are taken from the footers. The ids that imports are checked against are also kept in
+buckets, so that a check does not shuffle them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
@@ -37,6 +40,9 @@ BLOOM_FILTERS = {
     "wikidata_claims": ("value_wikidata_id",),
     "download_artifacts": ("sha256",),
 }
+# Tables that others refer to.
+REFERRED = ("titles", "people")
+BUCKET_ROWS = 500_000
 V1_SOURCES, PUSH_DOWN = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
 
 
@@ -55,6 +61,10 @@ class Tables:
     def counted(self, name: str) -> DataFrame:
         return self.table(name)
 
+    def keys(self, name: str) -> DataFrame:
+        """The ids of a table with one id column."""
+        return self.table(name).select(*TABLES[name].key)
+
     def ordered(self, name: str, column: str) -> DataFrame:
         """The table laid out by one of its other id columns, where there is such a copy."""
         copy = f"{name}-by-{column}"
@@ -117,8 +127,39 @@ class Warehouse(Tables):
                 order = (column, *(c for c in sort if c != column))
                 copy = rows.repartitionByRange(*order).sortWithinPartitions(*order)
                 copy.write.mode("overwrite").parquet(self._folder(f"{name}-by-{column}", self.version(name)))
+        if name in REFERRED:
+            self._save_keys(name)
         return saved
 
+    def _save_keys(self, name: str) -> None:
+        """The ids in as many buckets as a shuffle has partitions, or more: then it is the other side that moves."""
+        [key], version = TABLES[name].key, self.version(name)
+        rows = self.counted(name).count()
+        buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
+        folder = f"{self.root}/{name}-keys/v{version:08d}-{buckets}"
+        ids = self.table(name).select(key).repartition(buckets, key)
+        writer = ids.write.mode("overwrite").option("path", folder).bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(self._catalogued(folder))
+
+    @staticmethod
+    def _catalogued(folder: str) -> str:
+        """Spark knows buckets of tables in its catalog only; the name there follows from the folder."""
+        return f"celluloid_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+
+    def keys(self, name: str) -> DataFrame:
+        version = self.version(name)
+        fs, pattern = self._fs(f"{self.root}/{name}-keys/v{version:08d}-*/_SUCCESS")
+        found = list(fs.globStatus(pattern) or []) if version else []
+        if not found:
+            return super().keys(name)
+        [key], path = TABLES[name].key, found[0].getPath().getParent()
+        buckets = path.getName().rpartition("-")[2]
+        folder = f"{self.root}/{name}-keys/{path.getName()}"
+        table = self._catalogued(folder)
+        if not self.spark.catalog.tableExists(table):  # written by another session
+            self.spark.sql(f"CREATE TABLE {table} ({key} STRING) USING parquet OPTIONS (path '{folder}') CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS")
+        return self.spark.table(table)
+
     def counted(self, name: str) -> DataFrame:
         """The table as the aggregating reader sees it: ``count(*)`` of it is taken from the footers, and no column is read."""
         version = self.version(name)

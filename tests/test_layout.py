@@ -8,7 +8,7 @@ from pathlib import Path
 import pyarrow.parquet as pq
 import pytest
 
-from celluloid.operators import graph, search
+from celluloid.operators import graph, relational, search
 from celluloid.sources import sinks
 from celluloid.sources.warehouse import Tables, Warehouse, warehouse_stats
 
@@ -181,3 +181,42 @@ def test_a_save_makes_its_rows_once_and_leaves_no_stage(spark, tmp_path):
     Warehouse(spark, str(tmp_path)).save("people", made.selectExpr("cast(id as string) imdb_name_id", *[f"cast(null as {t}) {c}" for c, t in (("primary_name", "string"), ("birth_year", "long"), ("death_year", "long"), ("primary_professions", "string"), ("known_for_titles", "string"))]))
     assert counter.value == 200
     assert not list((tmp_path / "_staging").glob("*"))
+
+
+def exchanges_over(df, what: str) -> int:
+    """Exchanges above the scans of tables whose description has the text."""
+    total = 0
+
+    def walk(node, moved: int) -> None:
+        nonlocal total
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.initialPlan(), moved)
+        children = node.children()
+        if not children.size() and what in node.toString():
+            total += moved
+        for k in range(children.size()):
+            walk(children.apply(k), moved + kind.startswith("ShuffleExchange"))
+
+    walk(df._jdf.queryExecution().executedPlan(), 0)
+    return total
+
+
+def test_checked_ids_stay_in_their_buckets(spark, tables, tmp_path):
+    stored = Warehouse(spark, str(tmp_path))
+    people = tables["people"].selectExpr("*", "0L birth_year", "0L death_year", "'' primary_professions", "'' known_for_titles")
+    stored.save("people", people.where("imdb_name_id > 'nm000100'"))
+    # as in a session that has not written them
+    table = next(t.name for t in spark.catalog.listTables() if t.name == stored._catalogued(f"{tmp_path}/people-keys/v00000001-4"))
+    spark.sql(f"DROP TABLE {table}")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = relational.gate(tables["credits"], [(Warehouse(spark, str(tmp_path)).keys("people"), "imdb_name_id", "imdb_name_id")])
+        assert kept.count() == tables["credits"].where("imdb_name_id > 'nm000100'").count() > 0
+        assert exchanges_over(kept, table) == 0
+        plain = relational.gate(tables["credits"], [(stored.table("people"), "imdb_name_id", "imdb_name_id")])
+        assert exchanges_over(plain, "FileScan parquet") > 0
+        assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -233,3 +233,30 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     frame = spark.range(1).select(F.explode(F.array(F.lit("["), F.lit("]"), F.lit(""))).alias("value"))
     return reduce(DataFrame.unionByName, [titles, people, places, frame])
+
+
+def odd_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump lines with the value kinds, languages and wrong types that ``dump_lines`` has none of, one case per
+    remainder of the part's number by six."""
+    item = "'Q4' || lpad(cast(p_partkey as string), 10, '0')"
+
+    def statement(value: str, datatype: str) -> str:
+        return f'{{"rank":"preferred","mainsnak":{{"datatype":"{datatype}","datavalue":{{"value":{value}}}}}}}'
+
+    def texts(**by_language: str) -> str:
+        return "{" + ",".join(f'"{k}":{{"language":"{k}","value":{v}}}' for k, v in by_language.items()) + "}"
+
+    many = statement('{"text":"Titel @@","language":"de"}', "monolingualtext")
+    amount, number, truth = statement('{"amount":"+@@","unit":"1"}', "quantity"), statement("@@", "number"), statement("true", "bool")
+    linked = statement('{"id":"Q30000000001","time":"+1"}', "item")
+    rest = {
+        0: f'"labels":{texts(en='"name @@"', de='"Name @@"')},"descriptions":{texts(fr='"nom"')},"claims":{{"P364":[{many}],"P9":[{many}]}}',
+        1: f'"labels":{texts(en='"name @@"')},"claims":{{"P577":[{amount},{many}]}}',
+        2: f'"labels":[],"descriptions":"none","claims":{{"P136":{{"a":1}},"P57":[{linked}]}}',
+        3: f'"labels":{texts(de='"Name @@"', en='7')},"claims":{{"P495":[{{"mainsnak":null}},{number},7,{truth}]}}',
+        4: f'"labels":{texts(de='5', en='"name @@"')},"claims":{{"P31":[{truth}]}}',
+        5: '"descriptions":{"de":null},"claims":[]',
+    }
+    made = "case p_partkey % 6 " + " ".join(f"when {k} then '{v}'" for k, v in rest.items()) + " end"
+    line = F.expr(f"'{{\"id\":\"' || {item} || '\",\"type\":\"item\",' || replace({made}, '@@', cast(p_partkey as string)) || '}},'")
+    return read(spark, sf_dir, "part").select(line.alias("value"))

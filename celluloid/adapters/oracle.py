@@ -363,13 +363,62 @@ def _movie_credits() -> str:
         "SELECT movie AS tmdb_movie_id, person AS tmdb_person_id, 'cast:' || person || ':' || CASE WHEN i = 2 THEN 0 ELSE i - 1 END "
         "|| ':' || CASE WHEN i = 3 THEN '' ELSE 'Role ' || i END AS credit_key, CAST(CASE WHEN i <> 2 THEN i - 1 END AS BIGINT) AS cast_order, "
         "'cast' AS credit_kind, CASE WHEN i <> 1 THEN 'Acting' END AS department, CAST(NULL AS VARCHAR) AS job, "
-        "CASE WHEN i <> 3 THEN 'Role ' || i END AS character_name FROM cast_ UNION ALL "
+        "CASE WHEN i <> 3 THEN 'Role ' || i END AS character_name, "
+        "'{\"id\":' || person || ',\"name\":\"Person ' || person || '\",\"character\":' || CASE WHEN i = 3 THEN 'null' ELSE '\"Role ' || i || '\"' END || "
+        "',\"order\":' || CASE WHEN i = 2 THEN 'null' ELSE CAST(i - 1 AS VARCHAR) END || ',\"known_for_department\":' || "
+        "CASE WHEN i = 1 THEN 'null' ELSE '\"Acting\"' END || '}' AS raw_json FROM cast_ UNION ALL "
         "SELECT movie, person, 'crew:' || person || ':' || CASE WHEN i = 2 THEN '' ELSE 'Directing' END || ':Job ' || i, NULL, 'crew', "
-        "CASE WHEN i <> 2 THEN 'Directing' END, 'Job ' || i, NULL FROM crew_"
+        "CASE WHEN i <> 2 THEN 'Directing' END, 'Job ' || i, NULL, "
+        "'{\"id\":' || person || ',\"name\":\"Person ' || person || '\",\"department\":' || CASE WHEN i = 2 THEN 'null' ELSE '\"Directing\"' END || "
+        "',\"job\":\"Job ' || i || '\"}' FROM crew_"
     )
     return sql("", body, cast_=CAST, crew_=CREW)
 
 
+def _hydrate_pending() -> str:
+    return sql(
+        "movie_export",
+        "SELECT e.tmdb_movie_id, CASE WHEN p.tmdb_movie_id IS NULL THEN NULL WHEN e.tmdb_movie_id % 7 = 0 THEN 'failed' ELSE 'completed' END AS hydrate_status, "
+        "CAST(CASE WHEN p.tmdb_movie_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS hydrate_attempts, "
+        "CASE WHEN p.tmdb_movie_id % 7 = 0 THEN 'not found' END AS last_error, "
+        "CASE WHEN p.tmdb_movie_id % 7 <> 0 THEN 'Movie ' || p.tmdb_movie_id END AS title FROM movie_export e LEFT JOIN picked p USING (tmdb_movie_id)",
+        picked="SELECT tmdb_movie_id FROM movie_export WHERE adult = 0 ORDER BY popularity DESC NULLS LAST, tmdb_movie_id LIMIT 25",
+    )
+
+
+def _import_entities() -> str:
+    links = "(SELECT count(*) FROM title_wikidata_links SEMI JOIN titles USING (imdb_id))"
+    people = "(SELECT count(*) FROM person_wikidata_links)"
+    claims, items = "(SELECT count(*) FROM claims)", "(SELECT count(*) FROM entities)"
+    rejects = f"(SELECT count(*) FROM ({_rejected_links()}))"
+    values = {
+        "entities_seen": items, "entities_imported": items, "title_links_created": links, "person_links_created": people, "claims_imported": claims,
+        "imports_skipped": "1", "links_rejected": rejects, "wikidata_entities": items, "title_wikidata_links": links,
+        "person_wikidata_links": people, "wikidata_claims": claims, "stale": "0",
+    }
+    body = " UNION ALL ".join(f"SELECT '{n}' AS name, CAST({v} AS BIGINT) AS value" for n, v in values.items())
+    return sql("titles title_wikidata_links person_wikidata_links title_entities person_entities place_entities entities claims", body)
+
+
+ODD_ITEM = "'Q4' || lpad(CAST(p_partkey AS VARCHAR), 10, '0')"
+
+
+def _claim_kinds() -> str:
+    """(remainder, property, ordinal, kind, text, entity, datatype) of the readable statements."""
+    rows = (
+        (0, "P364", 0, "monolingual_text", "'Titel ' || p_partkey", "NULL", "monolingualtext"),
+        (1, "P577", 0, "quantity", "'+' || p_partkey", "NULL", "quantity"),
+        (1, "P577", 1, "monolingual_text", "'Titel ' || p_partkey", "NULL", "monolingualtext"),
+        (2, "P57", 0, "wikidata_item", "NULL", "'Q30000000001'", "item"),
+        (3, "P495", 1, "number", "CAST(p_partkey AS VARCHAR)", "NULL", "number"),
+    )
+    return " UNION ALL ".join(
+        f"SELECT {ODD_ITEM} AS subject_wikidata_id, '{prop}' AS property_id, '{kind}' AS value_type, {text} AS value_text, {entity} AS value_wikidata_id, "
+        f"'{datatype}' AS datatype, 'preferred' AS rank_name, CAST({ordinal} AS BIGINT) AS ordinal FROM part WHERE p_partkey % 6 = {k}"
+        for k, prop, ordinal, kind, text, entity, datatype in rows
+    )
+
+
 def _rejected_links() -> str:
     return (
         "SELECT t2.imdb_id, l.wikidata_id FROM part p JOIN title_wikidata_links l ON l.imdb_id = 'tt' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') "
@@ -778,6 +827,21 @@ def oracle_sql() -> dict[str, str]:
         "describe_title": on_triples(f"SELECT s AS subject, p AS predicate, o AS object FROM triples WHERE s = '{VOCAB.node(SERIES)}'"),
         "crew_union": role_iri,
         "nquads_lines": _nquads(),
+        "nquads_written": _nquads(),
+        "stored_bytes": "SELECT true AS same",
+        "search_by_id": sql("titles", f"SELECT imdb_id AS id FROM titles WHERE imdb_id = '{SERIES}'"),
+        "import_export": sql(
+            "movie_export",
+            "SELECT tmdb_movie_id, adult, original_title, popularity, video, CAST(NULL AS VARCHAR) AS hydrate_status, CAST(0 AS BIGINT) AS hydrate_attempts, "
+            "CAST(NULL AS VARCHAR) AS last_error, CAST(1 AS BIGINT) AS skipped_again FROM movie_export",
+        ),
+        "hydrate_pending": _hydrate_pending(),
+        "import_entities": _import_entities(),
+        "entity_texts_german": (
+            f"SELECT {ODD_ITEM} AS wikidata_id, CASE p_partkey % 6 WHEN 0 THEN 'Name ' || p_partkey WHEN 1 THEN 'name ' || p_partkey WHEN 3 THEN 'Name ' || p_partkey "
+            "WHEN 4 THEN 'name ' || p_partkey END AS label, CAST(NULL AS VARCHAR) AS description FROM part"
+        ),
+        "claim_kinds": _claim_kinds(),
         "edge_kinds": _edge_kinds(),
         "json_rows": sql(
             "titles",

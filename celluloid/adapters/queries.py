@@ -507,7 +507,7 @@ def hydrate_people(spark, sf_dir):
 
 @query
 def hydrate_movie_credits(spark, sf_dir):
-    return _hydrated(spark, sf_dir)["tmdb_movie_credits"].drop("raw_json")
+    return _hydrated(spark, sf_dir)["tmdb_movie_credits"]
 
 
 @query
@@ -600,6 +600,30 @@ def claim_value_types(spark, sf_dir):
     return counts.agg(F.count(F.lit(1)).alias("statements"))
 
 
+def _write_odd_items(spark, sf_dir, target):
+    path = films.land_lines(films.odd_dump_lines(spark, sf_dir), "odd-dump")
+    documents.scan_entity_dump(spark, path).write.parquet(target)
+
+
+_odd_items_at = _once("odd-items", _write_odd_items)
+
+
+def _odd_items(spark, sf_dir, language: str) -> DataFrame:
+    return prepare_items(spark.read.parquet(_odd_items_at(spark, sf_dir)), language)
+
+
+@query
+def entity_texts_german(spark, sf_dir):
+    """Texts in another language, in English where it has none; members of a wrong type do not count."""
+    return _odd_items(spark, sf_dir, "de").select("wikidata_id", "label", "description")
+
+
+@query
+def claim_kinds(spark, sf_dir):
+    """Statements of all kinds of value; unreadable ones are left out but counted by the ordinal."""
+    return explode_claims(_odd_items(spark, sf_dir, "en")).drop(*tsv.ORDER, "raw_json")
+
+
 # --- ledger
 
 
@@ -679,9 +703,65 @@ def import_bulk(spark, sf_dir):
     return warehouse_stats(target, tables).unionByName(repeat)
 
 
+def _queued(spark, sf_dir) -> tuple[Warehouse, dict[str, int]]:
+    """A warehouse with the imported export, and the counters of importing it again."""
+    root = scratch_path(spark, "queued")
+    target = Warehouse(spark, f"{root}/warehouse")
+    target.save("titles", films.whole_table(films.shape(spark, sf_dir, "titles"), "titles"))
+    path = films.land_lines(films.export_lines(spark, sf_dir), "export")
+    movies.import_export(spark, path, target, "movie_ids")
+    return target, movies.import_export(spark, path, target, "movie_ids")
+
+
+@query
+def import_export(spark, sf_dir):
+    """The whole import of an export, twice: the queue, with what the second import skips."""
+    target, again = _queued(spark, sf_dir)
+    queue = target.table("tmdb_movie_exports").drop("export_artifact_id", "hydrated_at")
+    return queue.withColumn("skipped_again", F.lit(again["export_rows_skipped"]).cast("long"))
+
+
+@query
+def hydrate_pending(spark, sf_dir):
+    """The most popular movies of an import hydrated, those of every seventh id without success: the whole queue."""
+    target, _ = _queued(spark, sf_dir)
+    artifact = target.table("download_artifacts").first()["id"]  # of one
+    queue = target.table("tmdb_movie_exports")
+    failures = queue.where(F.col("tmdb_movie_id") % 7 == 0).select("export_artifact_id", "tmdb_movie_id", F.lit("not found").alias("error"))
+    movies.hydrate(spark, _details(spark, sf_dir).where(F.col("tmdb_movie_id") % 7 != 0), target, artifact, failures=failures)
+    kept = target.table("tmdb_movies").select("tmdb_movie_id", "title")
+    done = target.table("tmdb_movie_exports").select("tmdb_movie_id", "hydrate_status", "hydrate_attempts", "last_error")
+    return done.join(kept, "tmdb_movie_id", "left")
+
+
+@query
+def import_entities(spark, sf_dir):
+    """The whole import of a dump over a warehouse with other entities, which a reload drops: counters and rows left."""
+    root = scratch_path(spark, "reloaded")
+    target = Warehouse(spark, f"{root}/warehouse")
+    for name in ("titles", "people"):
+        target.save(name, films.whole_table(films.shape(spark, sf_dir, name), name))
+    stale = target.table("titles").select(F.concat(F.lit("Q9"), "imdb_id").alias("wikidata_id"), "imdb_id")
+    target.save("wikidata_entities", films.whole_table(stale, "wikidata_entities"))
+    target.save("title_wikidata_links", films.whole_table(stale, "title_wikidata_links"))
+    path = films.land_lines(films.dump_lines(spark, sf_dir), "dump")
+    stats = entities.import_entities(spark, path, target)
+    again = entities.import_entities(spark, path, target)
+    counted = {**stats, "imports_skipped": again["imports_skipped"]}
+    told = spark.range(1).select(F.explode(F.create_map(*[x for n, c in counted.items() for x in (F.lit(n), F.lit(c).cast("long"))])).alias("name", "value"))
+    left = warehouse_stats(target, ["wikidata_entities", "title_wikidata_links", "person_wikidata_links", "wikidata_claims"])
+    gone = target.table("wikidata_entities").where(F.col("wikidata_id").startswith("Q9")).agg(F.lit("stale").alias("name"), F.count("*").alias("value"))
+    return told.unionByName(left.toDF("name", "value")).unionByName(gone)
+
+
 # --- search
 
 
+@query
+def search_by_id(spark, sf_dir):
+    return index("titles", spark, sf_dir).by_id(SERIES)
+
+
 @on_tables
 def title_documents(t):
     return search.title_documents(t.table("titles"), t.table("credits"), t.table("people"))
@@ -875,6 +955,24 @@ def nquads_lines(t):
     return sinks.nquads_lines(t)
 
 
+@on_triples
+def nquads_written(t):
+    """The lines as they are read back from the written files."""
+    path = scratch_path(t.sparkSession, "nquads")
+    sinks.write_nquads(t, path)
+    return t.sparkSession.read.text(path)
+
+
+@query
+def stored_bytes(spark, sf_dir):
+    """Bytes of the stored triples, against the lengths of their files."""
+    path = _triples_at(spark, sf_dir)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    lengths = files.agg(F.sum("length").alias("length"))
+    told = sinks.table_bytes(spark.read.parquet(path))
+    return told.join(lengths, F.col("store_bytes") == F.col("length"), "left").select((F.col("length") > 0).alias("same"))
+
+
 @on_triples
 def edge_kinds(t):
     """Edges between entities by kind of their ends."""

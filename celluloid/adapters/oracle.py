@@ -684,6 +684,7 @@ def oracle_sql() -> dict[str, str]:
         "expand_crew": _expand_crew(),
         "merge_entities": _merge_entities(),
         "replace_movie_credits": _replace_credits(),
+        "replace_stored_credits": _replace_credits(),
         "link_upsert": _links(False),
         "link_rejects": _links(True),
         "latest_per_title": sql("credits_raw credits", "SELECT imdb_id, max(imdb_name_id) AS imdb_name_id FROM credits GROUP BY imdb_id"),

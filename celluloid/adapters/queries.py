@@ -395,9 +395,8 @@ def merge_entities(spark, sf_dir):
     )
 
 
-@query
-def replace_movie_credits(spark, sf_dir):
-    """Early lines are the table; orders with a late line are replaced by their late lines."""
+def _credit_lines(spark, sf_dir) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Early lines as the table, late ones as the batch; key and order."""
     lines = read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as tmdb_movie_id",
         "'crew:' || cast(l_suppkey as string) || ':' || l_returnflag as credit_key",
@@ -406,14 +405,27 @@ def replace_movie_credits(spark, sf_dir):
         "l_linenumber as n",
         "l_extendedprice as price",
     )
-    order = ["part", "n", "price"]
-    late = F.col("part") % 4 == 0
-    keys = ["tmdb_movie_id", "credit_key"]
-    table = upsert(None, lines.where(~late), keys, order)
-    batch = lines.where(late)
+    late, order, keys = F.col("part") % 4 == 0, ["part", "n", "price"], ["tmdb_movie_id", "credit_key"]
+    return upsert(None, lines.where(~late), keys, order), lines.where(late), keys, order
+
+
+@query
+def replace_movie_credits(spark, sf_dir):
+    """Orders with a late line are replaced by their late lines."""
+    table, batch, keys, order = _credit_lines(spark, sf_dir)
     return replace_children(table, batch, batch, "tmdb_movie_id", keys, order)
 
 
+@query
+def replace_stored_credits(spark, sf_dir):
+    """The same in a stored table, whose folders of other orders stay as they are."""
+    table, batch, keys, order = _credit_lines(spark, sf_dir)
+    target = Warehouse(spark, scratch_path(spark, "replaced"))
+    target.save("tmdb_movie_credits", films.whole_table(table, "tmdb_movie_credits"))
+    fresh = films.whole_table(upsert(None, batch, keys, order), "tmdb_movie_credits")
+    return target.replace("tmdb_movie_credits", batch, fresh).select("tmdb_movie_id", "credit_key", "department")
+
+
 def _link_statements(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
         "l_partkey as local_id", "l_suppkey * 7 + l_linenumber as remote_id", *[f"{e} as {n}" for n, e in ARRIVAL.items()]

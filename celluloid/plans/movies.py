@@ -145,6 +145,11 @@ def hydrate(
         failures = failures.join(pending.select("tmdb_movie_id"), "tmdb_movie_id", "left_semi")
     tables = hydrate_tables(batch, warehouse, pending, failures)
     rejects = tables.pop("link_rejects").count()
+    # the movies of the batch are a few of all: only the folders that hold their credits are written again
+    key, at = TABLES["tmdb_movie_credits"].key, [*ORDER, "_pos"]
+    credits = upsert(None, explode_credits(batch).select(*TABLES["tmdb_movie_credits"].names, *at), key, at)
+    del tables["tmdb_movie_credits"]
+    warehouse.replace("tmdb_movie_credits", batch, credits)
     for name, df in tables.items():
         warehouse.save(name, df)
     linked = batch.select(external_id(F.col("doc")).alias("imdb_id")).join(

@@ -40,6 +40,10 @@ BLOOM_FILTERS = {
     "wikidata_claims": ("value_wikidata_id",),
     "download_artifacts": ("sha256",),
 }
+# Tables whose rows are replaced parent by parent: they lie in folders by a hash of the parent, and a batch
+# rewrites the folders of its parents only.
+PARTED = {"tmdb_movie_credits": "tmdb_movie_id"}
+PARTS = 64
 # Tables that others refer to.
 REFERRED = ("titles", "people")
 BUCKET_ROWS = 500_000
@@ -98,7 +102,31 @@ class Warehouse(Tables):
         version = self.version(name)
         if not version:
             return super().table(name)
-        return self.spark.read.schema(table_schema(name)).parquet(self._folder(name, version))
+        return self._in_parts(name, version).drop("part") if name in PARTED else self.spark.read.schema(table_schema(name)).parquet(self._folder(name, version))
+
+    def _in_parts(self, name: str, version: int) -> DataFrame:
+        return self.spark.read.schema(table_schema(name).add("part", "integer")).parquet(self._folder(name, version))
+
+    def replace(self, name: str, parents: DataFrame, children: DataFrame) -> DataFrame:
+        """Drop the rows of the parents and add the children, which are theirs. Only folders that hold one of the parents
+        are read and written, each is exchanged whole, and all others keep their files."""
+        version, key = self.version(name), PARTED[name]
+        rows = children.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].schema])
+        if not version:
+            return self.save(name, rows)
+        owners = parents.select(key).distinct()
+        touched = [r["part"] for r in owners.select(_part(key).alias("part")).distinct().collect()]  # PARTS at most
+        kept = self._in_parts(name, version).where(F.col("part").isin(touched)).join(owners, key, "left_anti")
+        made = kept.select(*rows.columns, "part").unionByName(rows.withColumn("part", _part(key)))
+        folder = self._folder(name, version)
+        with self._staged(made) as fresh:
+            sorted_rows = fresh.repartition("part").sortWithinPartitions("part", *TABLES[name].sort)
+            sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(folder)
+            left = {r["part"] for r in fresh.select("part").distinct().collect()}
+        fs, _ = self._fs(folder)
+        for part in sorted(set(touched) - left):  # nothing is left of these
+            fs.delete(self._fs(f"{folder}/part={part}")[1], True)
+        return self.table(name)
 
     @contextmanager
     def _staged(self, rows: DataFrame):
@@ -120,7 +148,11 @@ class Warehouse(Tables):
             # by range, so that a file's footer tells which ids it can hold; rows of a hot id are cut by the other keys
             even = rows.repartitionByRange(*sort)
             folder = self._folder(name, self.version(name) + 1)
-            even.sortWithinPartitions(*sort).write.mode("overwrite").options(**filters).parquet(folder)
+            if name in PARTED:
+                even = rows.withColumn("part", _part(PARTED[name])).repartitionByRange("part", *sort)
+                even.sortWithinPartitions("part", *sort).write.mode("overwrite").options(**filters).partitionBy("part").parquet(folder)
+            else:
+                even.sortWithinPartitions(*sort).write.mode("overwrite").options(**filters).parquet(folder)
             saved = self.table(name)
             for column in COPIES.get(name, ()):
                 # made from the same rows, under the same number; until it is there, readers take the table
@@ -163,7 +195,7 @@ class Warehouse(Tables):
     def counted(self, name: str) -> DataFrame:
         """The table as the aggregating reader sees it: ``count(*)`` of it is taken from the footers, and no column is read."""
         version = self.version(name)
-        if not version:
+        if not version or name in PARTED:
             return self.table(name)
         conf = self.spark.conf
         conf.set(PUSH_DOWN, "true")  # for this reader only; the other one does not know it
@@ -181,6 +213,10 @@ class Warehouse(Tables):
         return self.spark.read.schema(table_schema(name)).parquet(self._folder(f"{name}-by-{column}", version))
 
 
+def _part(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+
+
 def warehouse_stats(warehouse: Tables, names: list[str] | None = None) -> DataFrame:
     """Row count per table: one row (table_name, row_count) each."""
     parts = [

@@ -220,3 +220,24 @@ def test_checked_ids_stay_in_their_buckets(spark, tables, tmp_path):
         assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_batch_rewrites_only_the_folders_of_its_parents(spark, frame, tmp_path):
+    stored = Warehouse(spark, str(tmp_path))
+    row = lambda movie, key: {"tmdb_movie_id": movie, "credit_key": key, "tmdb_person_id": 1}
+    stored.save("tmdb_movie_credits", frame("tmdb_movie_credits", *[row(k, c) for k in range(500) for c in ("a", "b")]))
+    files = lambda: {str(p) for p in (tmp_path / "tmdb_movie_credits").rglob("*.parquet")}
+    before = files()
+    assert len(before) >= 60
+    parents = spark.createDataFrame([(7,), (9_999,), (11,)], "tmdb_movie_id long")
+    stored.replace("tmdb_movie_credits", parents, frame("tmdb_movie_credits", row(7, "c"), row(9_999, "d")))
+    got = sorted((r["tmdb_movie_id"], r["credit_key"]) for r in stored.table("tmdb_movie_credits").collect())
+    assert got == sorted([(k, c) for k in range(500) for c in ("a", "b") if k not in (7, 11)] + [(7, "c"), (9_999, "d")])
+    assert len(before - files()) <= 3 and len(before & files()) >= len(before) - 3
+
+
+def test_a_folder_that_is_emptied_goes(spark, frame, tmp_path):
+    stored = Warehouse(spark, str(tmp_path))
+    stored.save("tmdb_movie_credits", frame("tmdb_movie_credits", {"tmdb_movie_id": 1, "credit_key": "a"}))
+    one = spark.createDataFrame([(1,)], "tmdb_movie_id long")
+    assert stored.replace("tmdb_movie_credits", one, frame("tmdb_movie_credits")).count() == 0

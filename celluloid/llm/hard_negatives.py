@@ -53,7 +53,7 @@ BASE = 1.3
 GRID = 1_024  # roots, or blocks of queries, that meet in one task
 NO_ID = (1 << 63) - 1  # stands for a null id, so that it comes last
 FAR = 1 << 62
-EXACT = float(1 << 52)  # products of norms up to here are exact in doubles
+EXACT, SINGLE = float(1 << 52), float(1 << 23)  # products of norms up to here are exact in doubles, and in floats
 
 
 def packed(vectors: DataFrame, anchor: Column) -> DataFrame:
@@ -164,6 +164,7 @@ class CoverTree:
         made.__dict__.update(pickle.loads(data))
         made.at = made.at.astype(np.float64)[made.child_point]  # laid out as the children are
         made.laid = True
+        made.single = made.at.astype(np.float32) if made.most**2 < 4 * SINGLE else None
         return made
 
     def search(self, q: np.ndarray, label: int, same: bool, lows: list[int], highs: list[int], k: int) -> list[list[tuple[int, int]]]:
@@ -171,28 +172,31 @@ class CoverTree:
         laid = self.at if getattr(self, "laid", False) else self.at[self.child_point]
         exact = None if self.most * np.linalg.norm(q) < EXACT else (laid.astype(np.int64), q.astype(np.int64))
         squared = float(q @ q)
+        if getattr(self, "single", None) is not None and self.most * np.sqrt(squared) < SINGLE:
+            laid, q = self.single, q.astype(np.float32)
         found: list[list[tuple[int, int]]] = [[] for _ in lows]
         open_from = np.array(lows, dtype=np.float64)
         ends = np.array(highs, dtype=np.float64)
         low, high = np.full(len(self.spans), -np.inf), np.full(len(self.spans), np.inf)
-        heap, wide, whole = [(-np.inf, 0)], 1, None
+        heap, wide = [(-np.inf, 0)], 1
+        seen = np.zeros(len(laid), dtype=bool)
         while heap and -heap[0][0] >= open_from.min():
-            # the best node, then the next two, four and so on together, each looked at again before it is opened
+            # the best node, then the next four, sixteen and so on together, each looked at again before it is opened
             best = np.array([heapq.heappop(heap)[1] for _ in range(min(wide, len(heap)))])
-            wide *= 2
+            wide *= 4
             held = best[((high[best][:, None] >= open_from) & (low[best][:, None] <= ends)).any(axis=1)]
             if not len(held):
                 continue
             starts, sizes = self.spans[held, 0], self.spans[held, 1] - self.spans[held, 0]
-            under = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-            if whole is None and 4 * len(under) > len(laid):
-                whole = laid @ q if exact is None else exact[0] @ exact[1]  # cheaper than to gather the rows
-            if whole is not None:
-                score = whole[under]
+            every = 4 * sizes.sum() > len(laid) and len(held) > 1
+            if every:  # bounds tell little here: what is left is verified at once, without going down to it
+                under, heap = np.flatnonzero(~seen), []
+                score = (laid @ q if exact is None else exact[0] @ exact[1])[under]
             else:
+                under = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
                 score = laid[under] @ q if exact is None else exact[0][under] @ exact[1]
+                seen[under] = True
             child, rows = self.child_node[under], self.child_point[under]
-            inner = np.flatnonzero(child >= 0)
             fits = (child < 0) & ((self.labels[rows] == label) == same) & (score >= open_from.min()) & (score <= ends.max())
             here = np.flatnonzero(fits)
             if len(here):
@@ -203,6 +207,7 @@ class CoverTree:
                         self._keep(found[w], mine[inside], own[inside], k)
                         if len(found[w]) == k:
                             open_from[w] = max(open_from[w], found[w][-1][0])
+            inner = np.flatnonzero(child >= 0) if not every else ()
             if len(inner):
                 nodes = child[inner]
                 low[nodes], high[nodes] = bounds(score[inner].astype(np.float64), self.child_radius[under][inner], self.most, squared)

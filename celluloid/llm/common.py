@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -14,6 +15,7 @@ from celluloid.session import own_scratch, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
@@ -23,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application, as a zip of its sources, and batches
-    of fewer rows."""
+    of fewer rows and of at most 16 MB."""
     if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default; texts may be long
         spark.conf.set(ARROW_ROWS, "2000")
+    if int(re.sub("[^0-9]", "", spark.conf.get(ARROW_BYTES))) > 1 << 24:
+        spark.conf.set(ARROW_BYTES, str(1 << 24))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -680,16 +680,28 @@ def representatives(docs: DataFrame, width: int, percent: int) -> DataFrame:
     under one id, or without an id, each stays that no other links with."""
     ship(docs.sparkSession)
     groups = classes(docs.select("doc_id", "text"), width, percent)
-    repeats = groups.where("set_id is not null").groupBy("component", "set_id", "doc_id").agg(F.count("*").alias("rows"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_id", "rows"))
-    heads = staged(repeats.groupBy("component").agg(first.alias("head")).select("head.doc_id", "head.set_id", "head.rows"), "ngram-heads")
-    kept = with_sets(docs, bitmap(heads, "doc_id"), width)
-    wordless = kept.where("set_id is null").select("row.*")
-    heads = heads.select(F.col("doc_id").alias("id"), F.col("set_id").alias("set"), "rows")
-    kept = kept.join(heads, (F.col("set_id") == F.col("set")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("set", "id", "rows", "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_id"))
+    heads = groups.where("set_id is not null").groupBy("component").agg(first.alias("head"))
+    heads = staged(heads.select("head.doc_id", "head.set_id"), "ngram-heads")
+    ids = staged(groups.groupBy("doc_id").agg(F.count("*").alias("rows")), "ngram-ids")
+    # an id that one row has stands for its text
+    wordless = groups.where("set_id is null").select("doc_id")
+    plain = heads.select("doc_id").unionByName(wordless).join(ids.where("rows = 1"), "doc_id", "left_semi")
+    kept = docs.join(plain, docs["doc_id"] == plain["doc_id"], "left_semi")
+    shared = ids.where("doc_id is null or rows > 1").select("doc_id")
+    if shared.isEmpty():
+        return kept
+    return kept.unionByName(_by_text(docs.join(shared, docs["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi"), heads, width))
+
+
+def _by_text(docs: DataFrame, heads: DataFrame, width: int) -> DataFrame:
+    """The rows with the heads' ids and texts, each once, and those without words."""
+    hashed = with_sets(docs, bitmap(heads, "doc_id"), width)
+    heads = heads.select(F.col("doc_id").alias("id"), F.col("set_id").alias("set"))
+    chosen = hashed.join(heads, (F.col("set_id") == F.col("set")) & F.col("doc_id").eqNullSafe(F.col("id")))
     # rows that repeat id and text: any of them, but only one, and the same in every run
-    one = kept.where("rows > 1").groupBy("set", "id").agg(F.min("row").alias("row"))
-    return kept.where("rows = 1").select("row.*").unionByName(one.select("row.*")).unionByName(wordless)
+    one = chosen.groupBy("set", "id").agg(F.min("row").alias("row"))
+    return one.select("row.*").unionByName(hashed.where("set_id is null").select("row.*"))
 
 
 def with_sets(docs: DataFrame, ids: Broadcast, width: int) -> DataFrame:

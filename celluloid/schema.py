@@ -10,17 +10,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "s": T.StringType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "t": T.TimestampType(),
-}
+_TYPES = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType()}
 
 
 @dataclass(frozen=True)
 class Table:
-    """One warehouse table: columns as ``name:type``, upsert key, and key columns that may be null."""
+    """One warehouse table: columns as ``name type``, upsert key, and key columns that may be null."""
 
     columns: str
     key: tuple[str, ...]
@@ -29,7 +24,7 @@ class Table:
 
     @property
     def schema(self) -> T.StructType:
-        fields = (c.split(":") for c in self.columns.split())
+        fields = (c.split() for c in self.columns.split(","))
         return T.StructType([T.StructField(n, _TYPES[t]) for n, t in fields])
 
     @property
@@ -45,70 +40,70 @@ class Table:
 # The 19 warehouse tables.
 TABLES: dict[str, Table] = {
     "datasets": Table(
-        "id:l source:s dataset_name:s canonical_url:s license_note:s created_at:t",
+        "id long, source string, dataset_name string, canonical_url string, license_note string, created_at timestamp",
         ("source", "dataset_name"),
     ),
     "download_artifacts": Table(
-        "id:l dataset_id:l url:s local_path:s sha256:s byte_len:l etag:s last_modified:s fetched_at:t",
+        "id long, dataset_id long, url string, local_path string, sha256 string, byte_len long, etag string, last_modified string, fetched_at timestamp",
         ("dataset_id", "sha256"),
     ),
     "import_runs": Table(
-        "id:l artifact_id:l importer_name:s importer_version:s started_at:t finished_at:t status:s "
-        "rows_seen:l rows_inserted:l rows_updated:l rows_skipped:l error_message:s",
+        "id long, artifact_id long, importer_name string, importer_version string, started_at timestamp, finished_at timestamp, status string, "
+        "rows_seen long, rows_inserted long, rows_updated long, rows_skipped long, error_message string",
         ("artifact_id", "importer_name", "importer_version"),
     ),
     "titles": Table(
-        "imdb_id:s title_type:s primary_title:s original_title:s is_adult:l start_year:l end_year:l "
-        "runtime_minutes:l genres:s",
+        "imdb_id string, title_type string, primary_title string, original_title string, is_adult long, start_year long, end_year long, "
+        "runtime_minutes long, genres string",
         ("imdb_id",),
     ),
     "people": Table(
-        "imdb_name_id:s primary_name:s birth_year:l death_year:l primary_professions:s known_for_titles:s",
+        "imdb_name_id string, primary_name string, birth_year long, death_year long, primary_professions string, known_for_titles string",
         ("imdb_name_id",),
     ),
-    "title_ratings": Table("imdb_id:s average_rating:d num_votes:l", ("imdb_id",)),
+    "title_ratings": Table("imdb_id string, average_rating double, num_votes long", ("imdb_id",)),
     "title_akas": Table(
-        "imdb_id:s ordering:l title:s region:s language:s types:s attributes:s is_original_title:l",
+        "imdb_id string, ordering long, title string, region string, language string, types string, attributes string, is_original_title long",
         ("imdb_id", "ordering", "title"),
         nullable_key=("ordering",),
     ),
-    "title_crew": Table("imdb_id:s directors:s writers:s", ("imdb_id",)),
+    "title_crew": Table("imdb_id string, directors string, writers string", ("imdb_id",)),
     "credits": Table(
-        "imdb_id:s imdb_name_id:s ordering:l category:s job:s characters:s source:s",
+        "imdb_id string, imdb_name_id string, ordering long, category string, job string, characters string, source string",
         ("imdb_id", "imdb_name_id", "ordering", "category", "source"),
         nullable_key=("ordering", "category"),
     ),
     "episode_edges": Table(
-        "imdb_id:s parent_imdb_id:s season_number:l episode_number:l", ("imdb_id",)
+        "imdb_id string, parent_imdb_id string, season_number long, episode_number long", ("imdb_id",)
     ),
     "tmdb_movie_exports": Table(
-        "export_artifact_id:l tmdb_movie_id:l adult:l original_title:s popularity:d video:l "
-        "hydrate_status:s hydrate_attempts:l last_error:s hydrated_at:t",
+        "export_artifact_id long, tmdb_movie_id long, adult long, original_title string, popularity double, video long, "
+        "hydrate_status string, hydrate_attempts long, last_error string, hydrated_at timestamp",
         ("export_artifact_id", "tmdb_movie_id"),
     ),
     "tmdb_movies": Table(
-        "tmdb_movie_id:l imdb_id:s title:s original_title:s original_language:s overview:s "
-        "release_date:s runtime_minutes:l status:s popularity:d vote_average:d vote_count:l "
-        "raw_json:s hydrated_at:t",
+        "tmdb_movie_id long, imdb_id string, title string, original_title string, original_language string, overview string, "
+        "release_date string, runtime_minutes long, status string, popularity double, vote_average double, vote_count long, "
+        "raw_json string, hydrated_at timestamp",
         ("tmdb_movie_id",),
     ),
-    "tmdb_people": Table("tmdb_person_id:l name:s", ("tmdb_person_id",)),
+    "tmdb_people": Table("tmdb_person_id long, name string", ("tmdb_person_id",)),
     "tmdb_movie_credits": Table(
-        "tmdb_movie_id:l tmdb_person_id:l credit_key:s cast_order:l credit_kind:s department:s job:s "
-        "character_name:s raw_json:s",
+        "tmdb_movie_id long, tmdb_person_id long, credit_key string, cast_order long, credit_kind string, department string, job string, "
+        "character_name string, raw_json string",
         ("tmdb_movie_id", "credit_key"),
     ),
-    "title_tmdb_links": Table("imdb_id:s tmdb_movie_id:l linked_via:s linked_at:t", ("imdb_id",)),
+    "title_tmdb_links": Table("imdb_id string, tmdb_movie_id long, linked_via string, linked_at timestamp", ("imdb_id",)),
     "wikidata_entities": Table(
-        "wikidata_id:s label:s description:s entity_type:s", ("wikidata_id",)
+        "wikidata_id string, label string, description string, entity_type string", ("wikidata_id",)
     ),
-    "title_wikidata_links": Table("imdb_id:s wikidata_id:s linked_via:s linked_at:t", ("imdb_id",)),
+    "title_wikidata_links": Table("imdb_id string, wikidata_id string, linked_via string, linked_at timestamp", ("imdb_id",)),
     "person_wikidata_links": Table(
-        "imdb_name_id:s wikidata_id:s linked_via:s linked_at:t", ("imdb_name_id",)
+        "imdb_name_id string, wikidata_id string, linked_via string, linked_at timestamp", ("imdb_name_id",)
     ),
     "wikidata_claims": Table(
-        "subject_wikidata_id:s property_id:s value_type:s value_text:s value_wikidata_id:s datatype:s "
-        "rank_name:s ordinal:l raw_json:s",
+        "subject_wikidata_id string, property_id string, value_type string, value_text string, value_wikidata_id string, datatype string, "
+        "rank_name string, ordinal long, raw_json string",
         (
             "subject_wikidata_id",
             "property_id",

@@ -5,7 +5,8 @@ scratch folder and reads them again as the next stage's documents. The first fou
 of documents; the last returns the mixture (doc_id, source, size, source_size, target, taken).
 
 Null and empty texts fail the base rule of the first stage. Rows are kept or dropped whole. Of a group
-of linked texts the row with the smallest id stays (of equal ids, one). Empty tables give empty stages.
+of linked texts the row with the smallest id stays; of rows with equal ids and texts, one. Empty tables give
+empty stages.
 """
 
 from __future__ import annotations

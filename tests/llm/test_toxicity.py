@@ -71,3 +71,29 @@ def test_edge_rows_and_missing_labels(spark):
         assert [r["score"] for r in toxicity.score(docs, net).collect()] == [expected] * 5
     two = toxicity.learn(docs, spark.createDataFrame([(3, 1), (2, 0)], "doc_id long, toxic int"), F.lit(True), F.lit(True))
     assert all(0 <= r["score"] <= 1 for r in toxicity.score(docs, two).collect())
+
+
+def test_every_labelled_row_teaches(spark):
+    """Each text is a word of its own, whose embedding moves when the text is learned."""
+    count = 9_000
+    docs = documents(spark, [(k, f"u{k}") for k in range(count)]).repartition(4)
+    labels = spark.range(count).selectExpr("id as doc_id", "cast(id % 3 = 0 as int) as toxic")
+    net = toxicity.learn(docs, labels, F.col("doc_id") >= 0, F.lit(False))
+    own = [toxicity.numbers(f"u{k}".encode())[0] for k in range(count)]
+    assert (net.embedding[own] != toxicity.Network.new().embedding[own]).any(axis=1).all()
+
+
+def test_networks_of_shards_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    docs, labels = corpus(spark)
+    first, second = (toxicity.learn(d, labels, fold("doc_id", 5) != 0, fold("doc_id", 5) == 1) for d in (docs, docs.repartition(7)))
+    held = toxicity.score(docs, first).where(fold("doc_id", 5) == 0).select("doc_id", "score").collect()
+    assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in held]) > 0.9
+    assert np.isfinite(second.embedding).all() and second.embedding.shape == first.embedding.shape
+
+
+def test_cut_from_counts_equals_the_cut_from_rows():
+    logits, labels = np.random.default_rng(2).normal(size=400), np.arange(400) % 2.0
+    order = np.argsort(-logits)
+    ones = np.ones(400)
+    assert toxicity.best_cut(ones, labels[order], logits[order], logits[order]) == toxicity.threshold(logits, labels)

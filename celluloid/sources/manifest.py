@@ -17,20 +17,24 @@ from celluloid.functions.parse import snapshot_name
 CHUNK = 8 << 20  # bytes of a file that are held at a time
 
 
-def artifact_manifest(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, name, sha256, byte_len) of landed files, whatever their size.
+def artifact_manifest(spark: SparkSession, glob: str, names: str | None = None) -> DataFrame:
+    """(path, name, sha256, byte_len) of landed files, whatever their size. With ``names``, of all files of such
+    names in the folder and below it, whose folders are listed by tasks and not one by one by the driver.
 
     The file source lists the paths without reading any content; each file is then read as a stream by
     one task, which keeps a running hash. The source leaves out empty files.
     """
-    files = spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("byte_len"))
-    size = CHUNK
+    reader = spark.read.format("binaryFile")
+    if names:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", names)
+    files = reader.load(glob).select("path", F.col("length").alias("byte_len"))
+    size, tasks = CHUNK, 4 * spark.sparkContext.defaultParallelism  # the rows are few bytes, their files may be many or large
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
             for path in batch.column("path").to_pylist():
-                system, plain = _opened(path)
+                system, plain = opened(path)
                 running = hashlib.sha256()
                 with system.open_input_stream(plain, compression=None) as file:
                     while chunk := file.read(size):
@@ -38,11 +42,11 @@ def artifact_manifest(spark: SparkSession, glob: str) -> DataFrame:
                 made.append(running.hexdigest())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["path", "byte_len", "sha256"])
 
-    hashed = files.repartition("path").mapInArrow(hashes, "path string, byte_len long, sha256 string")
+    hashed = files.repartition(tasks, "path").mapInArrow(hashes, "path string, byte_len long, sha256 string")
     return hashed.select("path", F.substring_index("path", "/", -1).alias("name"), "sha256", "byte_len")
 
 
-def _opened(uri: str) -> tuple[fs.FileSystem, str]:
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and plain path of a listed file; the source lists paths percent-encoded."""
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), unquote("/" + uri.removeprefix("file:").lstrip("/"))

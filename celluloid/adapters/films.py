@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celluloid.adapters.shapes import ARRIVAL, PERSON_ENTITY, SHAPES, TITLE_ENTITY, claim_shapes, read
+from celluloid.adapters.shapes import ARRIVAL, PERSON_ENTITY, SHAPES, TITLE_ENTITY, claim_shapes, dealt, read
 from celluloid.operators.mutations import upsert
 from celluloid.schema import TABLES
 from celluloid.session import scratch_path
@@ -215,6 +215,7 @@ def _entity_line(df: DataFrame, kind, wid, label, description, claims: dict) ->
 def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entities as a knowledge-base dump: brackets, trailing commas and foreign entity kinds included."""
     part, supplier, nation = (read(spark, sf_dir, n) for n in ("part", "supplier", "nation"))
+    part, supplier = dealt(part), dealt(supplier)
     text = F.expr
     item = F.lit("item")
     shaped = {n: SHAPES[n].columns for n in ("title_entities", "person_entities", "place_entities")}
@@ -290,4 +291,4 @@ def odd_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     made = "case p_partkey % 6 " + " ".join(f"when {k} then '{v}'" for k, v in rest.items()) + " end"
     line = F.expr(f"'{{\"id\":\"' || {item} || '\",\"type\":\"item\",' || replace({made}, '@@', cast(p_partkey as string)) || '}},'")
-    return read(spark, sf_dir, "part").select(line.alias("value"))
+    return dealt(read(spark, sf_dir, "part")).select(line.alias("value"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _id(prefix: str, column: str) -> str:
@@ -77,6 +78,14 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
     return table
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """The rows in the order they are read in, dealt out to all cores: what one task reads would be one landing
+    file, which is one task again. Files written from them arrive in the same order."""
+    numbered = rows.withColumn("_read", F.monotonically_increasing_id())
+    ranges = numbered.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, "_read")
+    return ranges.sortWithinPartitions("_read").drop("_read")
+
+
 CATEGORY = (
     "case l_orderkey % 6 when 0 then 'director' when 1 then 'actor' when 2 then 'actress' "
     "when 3 then 'writer' when 4 then 'producer' else 'composer' end"

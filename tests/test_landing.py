@@ -9,7 +9,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from celluloid.adapters import films, queries
-from celluloid.adapters.shapes import dealt
+from celluloid.adapters.shapes import ARRIVAL, dealt
 from celluloid.session import own_scratch
 
 
@@ -45,3 +45,14 @@ def test_a_file_for_each_key_with_its_lines_in_order(spark, tmp_path):
     assert len(got) == 201
     for key, text in ((7, "7|s7|7\n7|again|1\n"), (8, "8|s8|8\n"), (None, "none|2\n")):
         assert got[key]["sha256"] == hashlib.sha256(text.encode()).hexdigest() and got[key]["byte_len"] == len(text)
+
+
+def test_landed_rows_are_numbered_by_arrival_and_keep_what_is_asked_for(spark, tmp_path):
+    own_scratch(spark)
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_shipdate string, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    rows = [((k * 7) % 50, k, k % 9, k % 4, float(k), "1997-01-01", 1.0, 0.0, 0.0, "N", "O") for k in range(200)]
+    one_file(spark.createDataFrame(rows, columns), tmp_path / "lineitem.parquet")
+    got = films.landed(spark, str(tmp_path), "credits_raw")
+    assert set(films.LANDED) == {c for c in got.columns if c in ARRIVAL}
+    wanted = [f"tt{r[1]:010d}" for r in sorted(rows, key=lambda r: (r[0], r[3], r[4]))]
+    assert [r["imdb_id"] for r in got.orderBy("_arrival").collect()] == wanted

@@ -93,6 +93,9 @@ def test_registered_queries_return_their_columns(spark):
         "op8_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
         "op9_ngram_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
         "op10_decontamination": {"doc_id": "bigint", "item_id": "bigint"},
+        "op11_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+        "op12_disclosure": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
+        "op13_hard_negatives": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
     }
     made = queries.queries()
     assert set(made) == set(wanted)

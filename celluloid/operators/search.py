@@ -4,13 +4,16 @@ The index holds term frequencies (term, field, id, tf, len), token positions for
 frequencies, each cut by range of the term on disk: a query reads the files and row groups of its
 terms and counts nothing again. A document's context is indexed part by part (one part per credited
 name), so that a title with a very long cast is never one row or one task while the index is built.
+Stored postings are lists: a term's occurrences in a batch of documents are one row, which is what is shuffled and sorted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +143,90 @@ def build_postings(words: DataFrame) -> DataFrame:
     return known.groupBy("term", "field", "id").agg(F.count(F.lit(1)).alias("tf"), F.max("len").alias("len"))
 
 
+LISTS = (
+    "term string, field string, first string, counts boolean, placed boolean, n bigint, "
+    "docs array<struct<id string, tf bigint, len bigint, part string, at array<int>>>"
+)
+LIST_ROWS = 8_192  # lists that are sent back at a time
+LIST_TOKENS = 4_000_000  # tokens of a batch's documents, beyond which it is cut
+
+
+def build_lists(words: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``LISTS`` rows: the occurrences of a term in a batch of parts, each with its positions.
+
+    Where a part is all of its field, its entry tells the term's frequency and the field's length, too; of
+    the other fields, which ``lengths`` holds, the frequencies are counted over the parts (``counted_lists``).
+    """
+    known = words.join(lengths, ["id", "field"], "left")
+    return known.select("id", "field", "part", F.col("len").isNull().alias("whole"), "n", "words").mapInArrow(_lists, LISTS)
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        block = (np.cumsum(batch.column("n").to_numpy()) - 1) // LIST_TOKENS
+        cuts = [*np.flatnonzero(np.diff(block, prepend=-1)), len(block)]
+        for begin, end in zip(cuts, cuts[1:]):
+            yield batch.slice(begin, end - begin)
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _bounded(batches):
+        lists = batch.column("words")
+        tokens_in = lists.flatten()
+        if not len(tokens_in):
+            continue
+        codes, fields = tokens_in.field("term").dictionary_encode(), batch.column("field").dictionary_encode()
+        n_terms = len(codes.dictionary)
+        kind = fields.indices.to_numpy().astype(np.int64) * 2 + batch.column("whole").to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        key = kind[row] * n_terms + codes.indices.to_numpy()
+        order = np.argsort(key.astype(np.min_scalar_type(key.max())), kind="stable")  # parts and positions stay ascending
+        key, row_of = key[order], row[order]
+        new = np.diff(key, prepend=-1) != 0
+        entry = np.flatnonzero(new | (np.diff(row_of, prepend=-1) != 0))  # a term in a part
+        begin = np.flatnonzero(new[entry])  # a term in a field of the batch
+        row_of, head = row_of[entry], order[entry[begin]]
+        owner, ends = pa.array(row_of), np.append(entry, len(order)).astype(np.int32)
+        tf, whole = np.diff(ends).astype(np.int64), kind[row_of] % 2 == 1
+        doc = batch.column("id").take(owner)
+        docs = pa.StructArray.from_arrays(
+            [
+                doc,
+                pa.array(tf, mask=~whole),
+                batch.column("n").take(owner),
+                batch.column("part").take(owner),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens_in.field("pos").to_numpy()[order])),
+            ],
+            names=["id", "tf", "len", "part", "at"],
+        )
+        counts = pa.array(whole[begin])
+        made = pa.RecordBatch.from_arrays(
+            [
+                codes.dictionary.take(codes.indices.take(pa.array(head))),
+                batch.column("field").take(pa.array(row[head])),
+                doc.take(pa.array(begin)),
+                counts,
+                pa.array(np.ones(len(begin), dtype=bool)),
+                pa.array(np.add.reduceat(tf, begin)),
+                pa.ListArray.from_arrays(pa.array(np.append(begin, len(entry)).astype(np.int32)), docs),
+            ],
+            names=["term", "field", "first", "counts", "placed", "n", "docs"],
+        )
+        for at in range(0, len(made), LIST_ROWS):
+            yield made.slice(at, LIST_ROWS)
+
+
+def counted_lists(words: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``LISTS`` rows of one entry each, for fields in several parts: frequencies and length of the field, no positions."""
+    known = words.join(lengths, ["id", "field"]).select("id", "field", "len", F.explode("words.term").alias("term"))
+    counted = known.groupBy("term", "field", "id").agg(F.count(F.lit(1)).alias("tf"), F.max("len").alias("len"))
+    entry = F.struct("id", "tf", "len", F.lit(None).cast("string").alias("part"), F.lit(None).cast("array<int>").alias("at"))
+    return counted.select(
+        "term", "field", F.col("id").alias("first"), F.lit(True).alias("counts"), F.lit(False).alias("placed"),
+        F.col("tf").alias("n"), F.array(entry).alias("docs"),
+    )
+
+
 class SearchIndex:
     """Postings with term frequencies, positions for phrases, document frequencies, totals per field."""
 
@@ -188,28 +275,48 @@ class SearchIndex:
 
     def save(self, path: str) -> SearchIndex:
         """Drop and rebuild on disk. Tables are cut by range of the term, so that a file's footer tells which
-        terms it can hold; frequent terms are cut by field and id."""
-        order = ("term", "field", "id")
-        spark = self.postings.sparkSession
-        postings, positions = self.postings, self.positions
-        if self._words is not None:
-            # texts are tokenised once; counts and positions come from the stored tokens
-            self._words.write.mode("overwrite").parquet(f"{path}/words")
-            words = spark.read.schema(self._words.schema).parquet(f"{path}/words")
-            postings, positions = build_postings(words), build_positions(words)
-        for name, df, more in (("postings", postings, ()), ("positions", positions, ("part", "pos"))):
-            df.repartitionByRange(*order).sortWithinPartitions(*order, *more).write.mode("overwrite").parquet(f"{path}/{name}")
+        terms it can hold; frequent terms are cut by field and the first id of a list."""
+        spark = self.documents.sparkSession
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+        # texts are tokenised once, and lists made once: cutting by range looks at its input twice
+        known = self._words
+        if known is None:  # the tokens of an index that was not built from texts
+            token = F.struct(F.col("pos").cast("int").alias("pos"), "term")
+            known = self.positions.groupBy("id", "field", "part").agg(F.array_sort(F.collect_list(token)).alias("words"))
+        known = known.where(F.col("id").isNotNull())  # as a join by id leaves them
+        words = staged(known.withColumn("n", F.size("words").cast("bigint")), "words")
+        lengths = words.groupBy("id", "field").agg(F.sum("n").alias("len"), F.count(F.lit(1)).alias("parts"))
+        # few or none where fields are whole texts, which then need no shuffle to learn so
+        split = staged(lengths.where("parts > 1").drop("parts"), "lengths")
+        lists = staged(build_lists(words, split).unionByName(counted_lists(words, split)), "lists")
+        order = ("term", "field", "first")
+        stored = staged(lists.repartitionByRange(*order).sortWithinPartitions(*order), "postings")
         self.documents.write.mode("overwrite").parquet(f"{path}/documents")
-        stored = SearchIndex(*(spark.read.parquet(f"{path}/{n}") for n in ("postings", "positions", "documents")))
-        terms = stored.term_stats().repartitionByRange("term", "field").sortWithinPartitions("term", "field")
-        terms.write.mode("overwrite").parquet(f"{path}/frequencies")
-        stored.field_totals().write.mode("overwrite").parquet(f"{path}/totals")
+        counts = stored.where("counts").select("field", "term", F.size("docs").alias("docs"), "n")
+        terms = staged(
+            counts.groupBy("field", "term").agg(F.sum("docs").alias("doc_freq"), F.sum("n").alias("n")), "terms"
+        )
+        frequencies = terms.drop("n").repartitionByRange("term", "field").sortWithinPartitions("term", "field")
+        frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+        tokens_of = terms.select("field", F.col("n").alias("tf"))
+        SearchIndex(tokens_of, tokens_of, spark.read.parquet(f"{path}/documents")).field_totals().write.mode("overwrite").parquet(f"{path}/totals")
         return SearchIndex.load(spark, path)
 
     @classmethod
     def load(cls, spark, path: str) -> SearchIndex:
-        names = ("postings", "positions", "documents", "frequencies", "totals")
-        return cls(*(spark.read.parquet(f"{path}/{name}") for name in names))
+        def read(flag: str, entry: str) -> DataFrame:
+            # only the members that are asked for are read
+            schema = f"term string, field string, {flag} boolean, docs array<struct<{entry}>>"
+            return spark.read.schema(schema).parquet(f"{path}/postings").where(flag).select("term", "field", F.inline("docs"))
+
+        postings = read("counts", "id string, tf bigint, len bigint").select("term", "field", "id", "tf", "len")
+        placed = read("placed", "id string, part string, at array<int>")
+        positions = placed.select("term", "id", "field", "part", F.explode("at").alias("pos")).withColumn("pos", F.col("pos").cast("bigint"))
+        return cls(postings, positions, *(spark.read.parquet(f"{path}/{name}") for name in ("documents", "frequencies", "totals")))
 
     def search(
         self,

@@ -5,6 +5,10 @@ winning numbers are a fixed-width hash aggregate, and the rows are picked by the
 already, so they meet the winners in a join and are not aggregated again. Rows with a null in the key are groups of
 their own in the same pass.
 
+With ``cut``, rows that are numbered by arrival are folded where a stored table wants them: stored and incoming rows are
+cut by range of the key in the only exchange, and the rows of a key, which meet in one task, settle there in a window.
+That is for tables that are written as they then lie; a key with very many rows is not combined before it is moved.
+
 Rows with several order columns are folded by structs: each mutation is one aggregation over ``existing`` and ``incoming`` with map-side combine: repeats of a key
 collapse before the shuffle, so a key that holds a third of the rows arrives as one row per task.
 Existing rows come before incoming ones; among incoming rows ``order`` decides, and must be a total
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ARRIVAL = "_arrival"
@@ -90,6 +94,41 @@ def _merge_dense(existing, incoming, keys):
     return both.select(*(c if c in keys else F.coalesce(c, f"_old_{c}").alias(c) for c in order))
 
 
+def _cut(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], nullable: Sequence[str]) -> DataFrame:
+    """Both sides cut by range of the key; stored rows get negative numbers of arrival. Nulls match nothing: a row with
+    a null in a nullable key column, or a stored one with any, is a group of its own."""
+    columns = [c for c in incoming.columns if c != ARRIVAL]
+    rows = incoming.select(*columns, ARRIVAL)
+    if existing is not None:
+        rows = existing.select(*columns, (F.lit(-1) - F.monotonically_increasing_id()).alias(ARRIVAL)).unionByName(rows)
+    unknown = lambda names: F.greatest(F.lit(False), F.lit(False), *(F.col(c).isNull() for c in names))
+    alone = unknown(nullable) | ((F.col(ARRIVAL) < 0) & unknown(keys))
+    return rows.repartitionByRange(*keys).withColumn("_alone", F.when(alone, F.col(ARRIVAL)))
+
+
+def _group(keys: Sequence[str]):
+    return Window.partitionBy(*keys, "_alone")
+
+
+def _upsert_cut(existing, incoming, keys, nullable):
+    rows = _cut(existing, incoming, keys, nullable).withColumn("_last", F.max(ARRIVAL).over(_group(keys)))
+    return rows.where((F.col(ARRIVAL) == F.col("_last")) | (F.col("_last") < 0)).drop(ARRIVAL, "_alone", "_last")
+
+
+def _insert_cut(existing, incoming, keys, nullable):
+    rows = _cut(existing, incoming, keys, nullable).withColumn("_first", F.min(ARRIVAL).over(_group(keys)))
+    return rows.where((F.col(ARRIVAL) == F.col("_first")) | (F.col(ARRIVAL) < 0)).drop(ARRIVAL, "_alone", "_first")
+
+
+def _columns_cut(existing, incoming, keys, columns, nullable):
+    marks = {"_first": F.min(ARRIVAL), "_last": F.max(ARRIVAL), "_new": F.max_by(F.struct(*columns), ARRIVAL)}
+    rows = _cut(existing, incoming, keys, nullable).withColumns({c: a.over(_group(keys)) for c, a in marks.items()})
+    # a stored row keeps its other columns
+    changes = {c: F.when(F.col("_last") >= 0, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in columns}
+    kept = rows.where((F.col(ARRIVAL) < 0) | (F.col(ARRIVAL) == F.col("_first")))
+    return kept.withColumns(changes).drop(ARRIVAL, "_alone", *marks)
+
+
 def _stack(existing: DataFrame | None, incoming: DataFrame, order: Sequence[str]) -> DataFrame:
     """Both sides under one order column ``_at``; existing rows sort first."""
     columns = [c for c in incoming.columns if c not in order]
@@ -137,10 +176,11 @@ def upsert(
     keys: Sequence[str],
     order: Sequence[str],
     nullable: Sequence[str] = (),
+    cut: bool = False,
 ) -> DataFrame:
     """Insert or overwrite: per key, the last row wins."""
     if _dense(order):
-        return _upsert_dense(existing, incoming, keys, nullable)
+        return (_upsert_cut if cut else _upsert_dense)(existing, incoming, keys, nullable)
     rest = _rest(incoming, keys, order)
     if not rest:
         return insert_ignore(existing, incoming, keys, order, nullable)
@@ -153,10 +193,11 @@ def insert_ignore(
     keys: Sequence[str],
     order: Sequence[str],
     nullable: Sequence[str] = (),
+    cut: bool = False,
 ) -> DataFrame:
     """Insert only unseen keys: per key, the first row wins."""
     if _dense(order):
-        return _insert_dense(existing, incoming, keys, nullable)
+        return (_insert_cut if cut else _insert_dense)(existing, incoming, keys, nullable)
     rest = _rest(incoming, keys, order)
     stacked = _stack(existing, incoming, order)
     picks = [_pick(F.min_by, rest, 0)] if rest else []
@@ -172,10 +213,11 @@ def upsert_columns(
     order: Sequence[str],
     columns: Sequence[str],
     nullable: Sequence[str] = (),
+    cut: bool = False,
 ) -> DataFrame:
     """A conflict overwrites only ``columns``; all other columns keep their first value."""
     if _dense(order):
-        return _columns_dense(existing, incoming, keys, columns, nullable)
+        return (_columns_cut if cut else _columns_dense)(existing, incoming, keys, columns, nullable)
     kept = [c for c in _rest(incoming, keys, order) if c not in columns]
     picks = [_pick(F.max_by, columns, 0)] + ([_pick(F.min_by, kept, 1)] if kept else [])
     return _fold(_stack(existing, incoming, order), keys, nullable, picks)

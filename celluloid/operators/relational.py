@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,17 +50,21 @@ def hydrate(hits: DataFrame, records: DataFrame, key: str, limit: int | None = N
     return (hits if limit is None else F.broadcast(hits)).join(records, key, "inner").orderBy(F.desc("score"), key)
 
 
-def gate(df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+def gate(
+    df: DataFrame, parents: Sequence[tuple[DataFrame, str, str]], stored: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Rows whose references all exist.
 
-    ``parents`` holds (parent table, its id column, referring column of ``df``).
+    ``parents`` holds (parent table, its id column, referring column of ``df``). ``stored`` writes rows and reads
+    them back: the ids that are missing are then few bytes of known size, and the rows need not be shuffled to meet them.
     """
     kept = df
     for parent, key, ref in parents:
         # the references, each once for every task, meet the parent's ids, which stay where they are when they are in
-        # buckets; a title or person with very many rows is then split by adaptive execution
-        known = df.select(ref).distinct().join(parent.select(F.col(key).alias(ref)), ref, "left_semi")
-        kept = kept.join(known, ref, "left_semi")
+        # buckets; where the rows are shuffled, a title or person with very many rows is split by adaptive execution
+        there = F.col(ref).isNotNull()
+        missing = df.where(there).select(ref).distinct().join(parent.select(F.col(key).alias(ref)), ref, "left_anti")
+        kept = kept.where(there).join(stored(missing) if stored else missing, ref, "left_anti")
     return kept.select(*df.columns)
 
 

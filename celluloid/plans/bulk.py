@@ -6,6 +6,8 @@ write a new table version. The order of datasets matters, as later ones refer to
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +44,23 @@ REFERENCES = {
 }
 
 
-def gate_table(rows: DataFrame, table: str, warehouse) -> DataFrame:
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once under the shared folder."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def missing_ids(ids: DataFrame) -> DataFrame:
+    return written(ids, "missing")
+
+
+def gate_table(rows: DataFrame, table: str, warehouse, stored: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows whose references all exist in the warehouse."""
     parents = [
         (warehouse.keys(parent), TABLES[parent].key[0], column) for column, parent in REFERENCES.get(table, ())
     ]
-    return gate(rows, parents)
+    return gate(rows, parents, stored)
 
 
 def import_counters(seen: int, kept: int, before: int, after: int) -> dict[str, int]:
@@ -58,19 +71,18 @@ def import_counters(seen: int, kept: int, before: int, after: int) -> dict[str,
 def fold_counted(table: str, staged: DataFrame, warehouse: Warehouse) -> tuple[DataFrame, dict[str, int]]:
     """Gate and fold staged rows into a stored table: (kept rows, counters).
 
-    The gated rows are written once; the fold, the crew list and the counters all read them. All four counts come from
-    footers. (Metrics that are observed on a plan count a stage again when a lost executor makes Spark run it again.)
+    The gated rows are written once; the fold, the crew list and the counters all read them, and the fold moves them
+    once, to where the table has them. All four counts come from footers. (Metrics that are observed on a plan count a stage again when a lost executor makes Spark run it again.)
     """
-    spark = staged.sparkSession
-    kept_at = scratch_path(spark, f"kept-{table}")
-    gate_table(staged, table, warehouse).write.parquet(kept_at)
-    kept = spark.read.schema(staged.schema).parquet(kept_at)
+    kept = written(gate_table(staged, table, warehouse, missing_ids), f"kept-{table}")
     before = warehouse.counted(table).count()
-    warehouse.save(table, fold_table(table, warehouse.table(table), kept))
+    warehouse.save(table, fold_table(table, warehouse.table(table), kept, cut=True), cut=True)
     return kept, import_counters(staged.count(), kept.count(), before, warehouse.counted(table).count())
 
 
-def expand_crew(crew: DataFrame, titles: DataFrame, people: DataFrame) -> DataFrame:
+def expand_crew(
+    crew: DataFrame, titles: DataFrame, people: DataFrame, stored: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Crew lists as credits: directors, then writers, numbered by list position, known people only."""
     parts = [
         explode_ids(crew.select("imdb_id", column, *[c for c in (ARRIVAL,) if c in crew.columns]), column, "imdb_name_id")
@@ -78,18 +90,18 @@ def expand_crew(crew: DataFrame, titles: DataFrame, people: DataFrame) -> DataFr
         for column, category in (("directors", "director"), ("writers", "writer"))
     ]
     both = parts[0].unionByName(parts[1])
-    known = gate(both, [(titles, "imdb_id", "imdb_id"), (people, "imdb_name_id", "imdb_name_id")])
+    known = gate(both, [(titles, "imdb_id", "imdb_id"), (people, "imdb_name_id", "imdb_name_id")], stored)
     return known.withColumns(
         {"job": F.lit(None).cast("string"), "characters": F.lit(None).cast("string"), "source": F.lit("imdb")}
     )
 
 
-def fold_table(table: str, existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Fold gated rows into a table by the table's conflict rule."""
+def fold_table(table: str, existing: DataFrame, incoming: DataFrame, cut: bool = False) -> DataFrame:
+    """Fold gated rows into a table by the table's conflict rule; with ``cut``, where the table has them."""
     spec = TABLES[table]
     if table == "credits":
-        return upsert_columns(existing, incoming, spec.key, [ARRIVAL], ["job", "characters"], spec.nullable_key)
-    return upsert(existing, incoming, spec.key, [ARRIVAL], spec.nullable_key)
+        return upsert_columns(existing, incoming, spec.key, [ARRIVAL], ["job", "characters"], spec.nullable_key, cut)
+    return upsert(existing, incoming, spec.key, [ARRIVAL], spec.nullable_key, cut)
 
 
 def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, warehouse: Warehouse) -> dict[str, int]:
@@ -103,10 +115,9 @@ def import_dataset(spark: SparkSession, path: str, dataset: str, table: str, war
     kept, counters = fold_counted(table, arrived(spark.read.parquet(staged_at)), warehouse)
     if table == "title_crew":
         # the same rows also become credits; a line gives several, so they have its number in common
-        credits = warehouse.table("credits")
-        crew = expand_crew(kept, warehouse.keys("titles"), warehouse.keys("people")).withColumnRenamed(ARRIVAL, "_line")
-        spec = TABLES["credits"]
-        warehouse.save("credits", insert_ignore(credits, crew, spec.key, ["_line"], spec.nullable_key))
+        spec, credits = TABLES["credits"], warehouse.table("credits")
+        crew = written(expand_crew(kept, warehouse.keys("titles"), warehouse.keys("people"), missing_ids), "crew")
+        warehouse.save("credits", insert_ignore(credits, crew, spec.key, [ARRIVAL], spec.nullable_key, cut=True), cut=True)
     return counters
 
 

@@ -42,11 +42,13 @@ def scan_tsv(spark: SparkSession, path: str | list[str], columns: Sequence[str])
 def arrived(staged: DataFrame) -> DataFrame:
     """Staged rows with one number of arrival in place of the order columns: the place of the row's split among
     all splits, by file and block, and the line within it."""
-    splits = staged.select("_file", "_block").distinct()  # as many rows as the reader had splits
+    splits = staged.select("_file", "_block").distinct()
     ranked = splits.withColumn("_split", F.row_number().over(Window.orderBy("_file", "_block")).cast("long"))
     line = F.col("_line").bitwiseAND(F.lit((1 << 33) - 1))
     number = F.shiftleft(F.col("_split"), 33).bitwiseOR(line)
-    return staged.join(ranked, ["_file", "_block"]).withColumn("_arrival", number).drop("_split", *ORDER)
+    # as many rows as the reader had splits; unless told so, Spark takes them for as large as what they are made from and
+    # shuffles all staged rows
+    return staged.join(F.broadcast(ranked), ["_file", "_block"]).withColumn("_arrival", number).drop("_split", *ORDER)
 
 
 def _text(name: str) -> Column:

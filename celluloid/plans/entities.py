@@ -20,9 +20,13 @@ VERSION = "0.1.0"
 
 
 def resolve_links(ids: DataFrame, known: DataFrame, key: str, prefix: str) -> DataFrame:
-    """External ids of one kind that exist locally: (key, wikidata_id, order columns, _pos)."""
+    """External ids of one kind that exist locally: (key, wikidata_id, order columns, _pos).
+
+    Ids are made of, or stored in, few bytes of a file each: by the size of its files Spark would send a table of
+    millions of them through the driver, so they are merged.
+    """
     mine = ids.where(F.col("external_id").startswith(prefix)).withColumnRenamed("external_id", key)
-    return mine.join(known.select(key), key, "left_semi").select(key, "wikidata_id", *ORDER, "_pos")
+    return mine.join(known.select(key).hint("merge"), key, "left_semi").select(key, "wikidata_id", *ORDER, "_pos")
 
 
 def entity_tables(items: DataFrame, warehouse: Tables, dedup: bool = False) -> dict[str, DataFrame]:
@@ -37,7 +41,7 @@ def entity_tables(items: DataFrame, warehouse: Tables, dedup: bool = False) -> d
     people = resolve_links(ids, warehouse.table("people"), "imdb_name_id", "nm")
 
     lines = titles.select("wikidata_id", *ORDER).unionByName(people.select("wikidata_id", *ORDER)).distinct()
-    linked = items.join(lines, ["wikidata_id", *ORDER], "left_semi")
+    linked = items.join(lines.hint("merge"), ["wikidata_id", *ORDER], "left_semi")
     claims = explode_claims(linked)
     stubs = claims.where(F.col("value_wikidata_id").isNotNull()).select(
         F.col("value_wikidata_id").alias("wikidata_id"),

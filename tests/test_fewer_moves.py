@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from celluloid.adapters import films
 from celluloid.operators import mutations as m
+from celluloid.operators import search
 from celluloid.plans import entities
 from celluloid.session import own_scratch
 from celluloid.sources.warehouse import Tables, Warehouse
@@ -64,6 +65,46 @@ def test_stored_credits_are_the_landed_ones_moved_once(spark, tmp_path):
     assert bag(stored, *names) == bag(landed, *names)
 
 
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """400 titles with nine credited names each, made of few words; credits are repeated, some of unknown titles."""
+    titles = spark.range(400).selectExpr(
+        "format_string('tt%06d', id) as imdb_id", "'movie' as title_type", "concat('Film ', id) as primary_title", "cast(null as string) as original_title", "'drama' as genres"
+    )
+    people = spark.range(60).selectExpr("format_string('nm%06d', id) as imdb_name_id", "concat('Player name ', id % 20) as primary_name", "'actor' as primary_professions")
+    credits = spark.range(8000).selectExpr("format_string('tt%06d', id % 420) as imdb_id", "format_string('nm%06d', (id * 7) % 60) as imdb_name_id")
+    return titles, people, credits
+
+
+def test_counted_frequencies_of_a_task_are_a_row_for_each_term(spark, crowd, tmp_path, monkeypatch):
+    titles, people, credits = crowd
+    documents = titles.withColumnRenamed("imdb_id", "id")
+    built = search.SearchIndex.build(search.title_parts(titles, credits, people), documents)
+    counted = built.postings.where("field = 'context'").count()
+    order = ("term", "field", "id", "tf", "len")
+    wanted = bag(built.postings, *order)
+    for number, rows in enumerate((search.COUNTED_ROWS, 100)):
+        monkeypatch.setattr(search, "COUNTED_ROWS", rows)
+        stored = built.save(str(tmp_path / str(number)))
+        lists = spark.read.parquet(str(tmp_path / str(number) / "postings")).where("counts and not placed")
+        assert lists.count() < counted / 4  # each was a row of its own
+        assert bag(stored.postings, *order) == wanted
+        assert bag(stored.term_stats(), "field", "term", "doc_freq") == bag(built.term_stats(), "field", "term", "doc_freq")
+        assert bag(stored.positions, "term", "id", "field", "part", "pos") == bag(built.positions, "term", "id", "field", "part", "pos")
+        assert rows_of(stored.field_totals().orderBy("field")) == rows_of(built.field_totals().orderBy("field"))
+
+
+def test_credits_move_to_their_title_once(spark, crowd, tmp_path, no_broadcast):
+    titles, people, credits = crowd
+    credits.write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    assert exchanges_over(search.title_parts(titles, stored, people), str(tmp_path)[:20]) <= 3  # four before
+    assert exchanges_over(search.person_parts(people, stored, titles), str(tmp_path)[:20]) <= 3
+    parts = search.title_parts(titles, stored, people).where("part <> ''")
+    brute = {(c["imdb_id"], p["primary_name"]) for c in credits.collect() for p in people.collect() if c["imdb_name_id"] == p["imdb_name_id"] and c["imdb_id"] < "tt000400"}
+    assert bag(parts, "id", "text") == Counter(brute)
+
+
 def test_ids_in_small_files_are_not_sent_through_the_driver(spark, tmp_path):
     """By the size of their files all of these tables would be broadcast."""
     for name, prefix, key in (("titles", "tt", "imdb_id"), ("people", "nm", "imdb_name_id")):

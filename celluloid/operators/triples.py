@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from celluloid.functions.iri import Vocabulary
@@ -277,5 +277,19 @@ def as_set(triples: DataFrame) -> DataFrame:
     return triples.groupBy(*keys).agg(F.first("o_num").alias("o_num")).select(*TRIPLE)
 
 
-def project_graph(warehouse: Tables, vocab: Vocabulary | None = None) -> DataFrame:
-    return as_set(project_families(warehouse, vocab))
+def as_set_cut(triples: DataFrame) -> DataFrame:
+    """The triples as a set, cut by range of (p, s, o) and sorted by these, as they are stored: equal ones meet in the
+    only exchange, and the first of them stays."""
+    keys = ["p", "s", "o", "o_kind", "o_type"]
+    cut = triples.select(*TRIPLE).repartitionByRange("p", "s", "o")
+    nth = cut.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy("o_num")))
+    return nth.where("_nth = 1").select(*TRIPLE)
+
+
+def project_graph(warehouse: Tables, vocab: Vocabulary | None = None, cut: bool = False) -> DataFrame:
+    """The set of all triples; with ``cut``, where their table wants them."""
+    if not cut:
+        return as_set(project_families(warehouse, vocab))
+    # a value that many claims have is named by each of them: its repeats collapse before they are moved
+    parts = [f.triples().select(*TRIPLE) for f in graph_families(warehouse, vocab)]
+    return as_set_cut(reduce(DataFrame.unionByName, [*parts[:-1], as_set(parts[-1])]))

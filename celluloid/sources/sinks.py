@@ -33,17 +33,17 @@ def write_nquads(triples: DataFrame, path: str) -> None:
     nquads_lines(triples).write.mode("overwrite").text(path)
 
 
-def save_triples(triples: DataFrame, path: str) -> None:
+def save_triples(triples: DataFrame, path: str, cut: bool = False) -> None:
     """One folder per predicate, sorted by subject: patterns read the folders of their predicates.
 
     The rows are cut by range of (p, s, o): frequent predicates get several files, each with a range of
-    subjects that its footer tells.
+    subjects that its footer tells. Rows that are ``cut`` so already are written as they lie.
     """
-    even = triples.repartitionByRange("p", "s", "o").sortWithinPartitions("p", "s", "o")
-    even.write.mode("overwrite").partitionBy("p").parquet(path)
+    even = (triples if cut else triples.repartitionByRange("p", "s", "o")).sortWithinPartitions("p", "s", "o")
+    even.write.mode("overwrite").option("compression", "zstd").partitionBy("p").parquet(path)
     edges = load_triples(triples.sparkSession, path).where(F.col("o_kind") == "iri")
     edges = edges.repartitionByRange("o", "p", "s").sortWithinPartitions("o", "p", "s")
-    edges.write.mode("overwrite").parquet(_by_object(path))
+    edges.write.mode("overwrite").option("compression", "zstd").parquet(_by_object(path))
 
 
 def _by_object(path: str) -> str:

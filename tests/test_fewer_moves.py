@@ -9,13 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from celluloid.adapters import films
+from celluloid.functions.iri import Vocabulary
 from celluloid.operators import mutations as m
-from celluloid.operators import search
+from celluloid.operators import search, triples
 from celluloid.plans import entities
 from celluloid.session import own_scratch
+from celluloid.sources import sinks
 from celluloid.sources.warehouse import Tables, Warehouse
 from conftest import rows_of
-from test_layout import exchanges_over
+from test_layout import exchanges_over, many_files
 
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 
@@ -105,6 +107,28 @@ def test_credits_move_to_their_title_once(spark, crowd, tmp_path, no_broadcast):
     assert bag(parts, "id", "text") == Counter(brute)
 
 
+def test_triples_are_cut_and_made_a_set_in_one_move(spark, frame, tmp_path, no_broadcast):
+    vocab = Vocabulary()
+    credit = lambda k, n: {"imdb_id": f"tt{k:04}", "imdb_name_id": f"nm{k % 7}", "ordering": n, "category": "director", "source": "imdb"}
+    Warehouse(spark, str(tmp_path / "w")).save("credits", frame("credits", *[credit(k, n) for k in range(900) for n in (1, 2)]))
+    held = {
+        "titles": frame("titles", *[{"imdb_id": f"tt{k:04}", "primary_title": f"n{k % 5}"} for k in range(900)]),
+        "credits": Warehouse(spark, str(tmp_path / "w")).table("credits"),
+        "wikidata_entities": frame("wikidata_entities", *[{"wikidata_id": f"Q{k}", "label": f"l{k}"} for k in range(30)]),
+        "title_wikidata_links": frame("title_wikidata_links", *[{"imdb_id": f"tt{k:04}", "wikidata_id": f"Q{k}"} for k in range(20)]),
+        "wikidata_claims": frame("wikidata_claims", *[{"subject_wikidata_id": f"Q{k}", "property_id": "P136", "value_wikidata_id": "Q29", "ordinal": n} for k in range(20) for n in (0, 1)]),
+    }
+    tables = Tables(spark, held)
+    wanted = bag(triples.project_graph(tables, vocab), *triples.TRIPLE)
+    with many_files(spark):
+        cut = triples.project_graph(tables, vocab, cut=True)
+        assert exchanges_over(cut, "FileScan parquet") == 1
+        sinks.save_triples(cut, str(tmp_path / "t"), cut=True)
+    assert bag(sinks.load_triples(spark, str(tmp_path / "t")), *triples.TRIPLE) == wanted and max(wanted.values()) == 1
+    edges = Counter({row: n for row, n in wanted.items() if row[3] == "iri"})
+    assert bag(sinks.load_edges_by_object(spark, str(tmp_path / "t")), *triples.TRIPLE) == edges
+
+
 def test_ids_in_small_files_are_not_sent_through_the_driver(spark, tmp_path):
     """By the size of their files all of these tables would be broadcast."""
     for name, prefix, key in (("titles", "tt", "imdb_id"), ("people", "nm", "imdb_name_id")):
